@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from .. import schema
 from ..functions.dates import epoch_ms, utc_date
-from ..functions.numbers import cents
+from ..functions.numbers import cents, net_amount
 from ..functions.text import split_name
 from ..operators.dedupe import first_per_key
 
@@ -51,6 +51,13 @@ def whole_quantity(quantity: Column) -> Column:
     return F.when(quantity == F.floor(quantity), quantity.try_cast("bigint"))
 
 
+def sales_from_lines(orders: DataFrame) -> DataFrame:
+    """The lines that fit the sales table: a product, and a whole number of units."""
+    lines = order_lines(orders).withColumn("quantity", whole_quantity(F.col("quantity")))
+    fitting = lines.filter(F.col("quantity").isNotNull() & F.col("product_id").isNotNull())
+    return fitting.withColumn("net_amount", net_amount(F.col("quantity"), F.col("unit_price"), F.col("discount")))
+
+
 def catalog_rows(items: DataFrame) -> DataFrame:
     """One row per item and store. Format and condition are not in the feed and stay blank."""
     artist, title = split_name(F.col("name"))
