@@ -18,8 +18,9 @@ def money(c: Column) -> Column:
 
 def integer(c: Column, kind: str = "int") -> Column:
     """Text such as `12` or `2011.0` to an integer; null when it is no whole number."""
-    exact = strip(c).try_cast("decimal(38,18)")
-    return F.when(exact == F.floor(exact), exact.try_cast(kind))
+    text = strip(c)
+    exact = text.try_cast("decimal(38,18)")
+    return F.coalesce(text.try_cast(kind), F.when(exact == F.floor(exact), exact.try_cast(kind)))
 
 
 def cents(c: Column) -> Column:

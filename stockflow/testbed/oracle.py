@@ -351,9 +351,9 @@ METRICS = " UNION ALL ".join(
                 "price_dollar_stripped": "sum(copies) FILTER (raw_price LIKE '$%')",
                 "release_year_missing": "count(*) FILTER (release_year IS NULL)",
                 "sku_missing": "count(*) FILTER (sku IS NULL)",
-                "invalid_price_dropped": "count(*) - (SELECT count(*) FROM good_products)",
-                "rows_quarantined": "count(*) - (SELECT count(*) FROM good_products)",
-                "rows_clean": "(SELECT count(*) FROM good_products)",
+                "invalid_price_dropped": "count(*) FILTER (price IS NULL OR cost IS NULL OR price <= 0)",
+                "rows_quarantined": "count(*) FILTER (price IS NULL OR cost IS NULL OR price <= 0)",
+                "rows_clean": "count(*) FILTER (price > 0 AND cost IS NOT NULL)",
             },
         ),
         _counts(
