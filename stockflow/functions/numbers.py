@@ -12,15 +12,17 @@ from .text import strip
 
 
 def money(c: Column) -> Column:
-    """Text with optional leading dollar signs to money; null when it is not a number."""
-    return strip(F.ltrim(strip(c), F.lit("$"))).try_cast(MONEY)
+    """Text with optional leading dollar signs to money; null when it is not a number.
+
+    Most amounts are plain numbers and never reach the second attempt.
+    """
+    return F.coalesce(c.try_cast(MONEY), strip(F.ltrim(strip(c), F.lit("$"))).try_cast(MONEY))
 
 
 def integer(c: Column, kind: str = "int") -> Column:
     """Text such as `12` or `2011.0` to an integer; null when it is no whole number."""
-    text = strip(c)
-    exact = text.try_cast("decimal(38,18)")
-    return F.coalesce(text.try_cast(kind), F.when(exact == F.floor(exact), exact.try_cast(kind)))
+    exact = strip(c).try_cast("decimal(38,18)")
+    return F.coalesce(c.try_cast(kind), F.when(exact == F.floor(exact), exact.try_cast(kind)))
 
 
 def cents(c: Column) -> Column:

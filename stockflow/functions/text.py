@@ -19,7 +19,8 @@ _BREAK = "\u0001 "
 
 
 def strip(c: Column) -> Column:
-    return F.btrim(c, F.lit(WHITESPACE))
+    """Without whitespace at either end; plain text only needs its spaces taken off."""
+    return F.when(c.rlike(r"[^\x20-\x7e]"), F.btrim(c, F.lit(WHITESPACE))).otherwise(F.trim(c))
 
 
 def title_case(c: Column) -> Column:

@@ -109,14 +109,15 @@ def margin_by_format_display(t: Tables) -> DataFrame:
 def genre_share_by_location(t: Tables) -> DataFrame:
     """A genre's share of each store's revenue, and against its share in the other stores.
 
-    All windows run over grouped rows: one per store and genre.
+    The windows run over grouped rows, one per store and genre; the grand total is a scalar
+    subquery over them, so that no task has to hold all of them.
     """
     rolled = A.sales_rollup(t, ["location"], ["genre"]).select("location", "genre", "revenue")
-    store, genre, everything = Window.partitionBy("location"), Window.partitionBy("genre"), Window.partitionBy()
+    total = rolled.agg(F.sum("revenue")).scalar()
     summed = (
-        rolled.withColumn("store_revenue", F.sum("revenue").over(store))
-        .withColumn("other_genre", F.sum("revenue").over(genre) - F.col("revenue"))
-        .withColumn("other_all", F.sum("revenue").over(everything) - F.col("store_revenue"))
+        rolled.withColumn("store_revenue", F.sum("revenue").over(Window.partitionBy("location")))
+        .withColumn("other_genre", F.sum("revenue").over(Window.partitionBy("genre")) - F.col("revenue"))
+        .withColumn("other_all", total - F.col("store_revenue"))
     )
     share = F.col("revenue").cast("double") / F.nullif(F.col("store_revenue").cast("double"), F.lit(0.0))
     others = F.col("other_genre").cast("double") / F.nullif(F.col("other_all").cast("double"), F.lit(0.0))
@@ -130,13 +131,13 @@ def genre_share_by_location(t: Tables) -> DataFrame:
 
 
 def condition_share(t: Tables) -> DataFrame:
-    """Each condition's share of revenue and of gross profit; the window sees grouped rows only."""
+    """Each condition's share of revenue and of gross profit."""
     rows = A.sales_rollup(t, [], ["condition"])
-    everything = Window.partitionBy()
+    revenue, profit = (rows.agg(F.sum(c)).scalar() for c in ("revenue", "gross_profit"))
     return rows.select(
         "condition",
         "revenue",
         "gross_profit",
-        percent(F.col("revenue"), F.sum("revenue").over(everything)).alias("revenue_share_pct"),
-        percent(F.col("gross_profit"), F.sum("gross_profit").over(everything)).alias("profit_share_pct"),
+        percent(F.col("revenue"), revenue).alias("revenue_share_pct"),
+        percent(F.col("gross_profit"), profit).alias("profit_share_pct"),
     ).orderBy("condition")

@@ -52,16 +52,18 @@ def append_new_lines(batch: DataFrame, batch_id: int, sink: str) -> None:
     sink, in the months the batch touches only, so a line pulled again at any later time is still
     recognised and no state has to be kept. A batch that runs again replaces its own output.
     """
-    lines = order_lines(batch).dropDuplicates().withColumn("sale_month", month(F.col("sale_date")))
+    spark = batch.sparkSession
+    # A stream plans without adaptive execution; this batch wants it for peak months and small files.
+    spark.conf.set("spark.sql.adaptive.enabled", True)
+    lines = order_lines(batch).dropDuplicates().withColumn("sale_month", month(F.col("sale_date"))).persist()
     oldest, newest = (lines.agg(f("sale_month")).scalar() for f in (F.min, F.max))
-    earlier = read_lines(batch.sparkSession, sink).filter(
+    earlier = read_lines(spark, sink).filter(
         (F.col("batch_id") != batch_id) & F.col("sale_month").between(oldest, newest)
     )
-    same = reduce(
-        lambda a, b: a & b, [lines[c].eqNullSafe(earlier[c]) for c in LINES.names]
-    )
-    fresh = lines.join(earlier, same, "left_anti")
-    _write_lines(fresh.withColumn("batch_id", F.lit(batch_id).cast("bigint")), sink)
+    same = reduce(lambda a, b: a & b, [lines[c].eqNullSafe(earlier[c]) for c in LINES.names])
+    fresh = lines.join(earlier, same, "left_anti").withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+    _write_lines(fresh.hint("rebalance", "sale_month"), sink)
+    lines.unpersist()
 
 
 def ingest_orders(
