@@ -8,12 +8,15 @@ sum does not depend on the order in which tasks finish; percentages are doubles.
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.dates import month
-from ..functions.numbers import percent
+from ..functions.numbers import money_sum, percent, to_cents
 from ..operators.recent import latest_snapshot, sold_since
+from ..session import settle
 from ..sources.tables import Tables
 
 
@@ -22,7 +25,7 @@ def _units() -> Column:
 
 
 def _revenue() -> Column:
-    return F.sum("net_amount").alias("revenue")
+    return money_sum(to_cents(F.col("net_amount"))).alias("revenue")
 
 
 def _desc(name: str) -> Column:
@@ -39,29 +42,37 @@ def sales_rollup(t: Tables, sale_keys: list[str], product_keys: list[str]) -> Da
     grouped, and only the groups are shuffled. With a large one, sales are first summed per
     product, so that a best seller crosses the network as one row per task.
     """
-    products = t.product_columns("cost", *product_keys)
     keys = sale_keys + product_keys
+    if t.cube is not None and set(keys) <= set(t.cube.columns):
+        return _add_up(t.cube, keys)
+    products = t.product_columns("cost", *product_keys)
+    per_unit = to_cents(F.col("unit_price")) - to_cents(F.col("discount"))
     if t.products_fit:
-        profit = F.col("quantity") * (F.col("unit_price") - F.col("discount") - F.col("cost"))
+        profit = F.col("quantity") * (per_unit - to_cents(F.col("cost")))
         joined = t.sales.join(products, "product_id")
-        return joined.groupBy(*keys).agg(_units(), _revenue(), F.sum(profit).alias("gross_profit"))
-    takings = F.col("quantity") * (F.col("unit_price") - F.col("discount"))
-    summed = t.sales.groupBy("product_id", *sale_keys).agg(_units(), _revenue(), F.sum(takings).alias("takings"))
+        return joined.groupBy(*keys).agg(_units(), _revenue(), money_sum(profit).alias("gross_profit"))
+    takings = money_sum(F.col("quantity") * per_unit).alias("takings")
+    summed = t.sales.groupBy("product_id", *sale_keys).agg(_units(), _revenue(), takings)
     profit = F.col("takings") - F.col("units") * F.col("cost")
-    return (
-        summed.join(products, "product_id")
-        .groupBy(*keys)
-        .agg(
-            F.sum("units").alias("units"),
-            F.sum("revenue").alias("revenue"),
-            F.sum(profit).alias("gross_profit"),
-        )
+    return _add_up(summed.join(products, "product_id").withColumn("gross_profit", profit), keys)
+
+
+def _add_up(parts: DataFrame, keys: list[str]) -> DataFrame:
+    return parts.groupBy(*keys).agg(
+        *[F.sum(c).alias(c) for c in ("units", "revenue", "gross_profit")]
     )
 
 
+def with_cube(t: Tables) -> Tables:
+    """The tables with their sales cube written, for running many roll-ups after one scan of sales."""
+    cube = settle(sales_rollup(t, ["location"], ["genre", "format", "condition"]), "sales-cube")
+    return replace(t, cube=cube)
+
+
 def monthly_revenue(t: Tables) -> DataFrame:
-    """Revenue and units by calendar month."""
-    return t.sales.groupBy(month(F.col("sale_date")).alias("month")).agg(_revenue(), _units()).orderBy("month")
+    """Revenue and units by calendar month; only the grouped months are put into words."""
+    by_month = t.sales.groupBy(F.trunc("sale_date", "MM").alias("first_day")).agg(_revenue(), _units())
+    return by_month.select(month(F.col("first_day")).alias("month"), "revenue", "units").orderBy("month")
 
 
 def revenue_by_location(t: Tables) -> DataFrame:

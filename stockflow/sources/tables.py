@@ -17,8 +17,9 @@ from pyspark.sql import types as T
 from .. import schema
 from ..functions.dates import month
 
-# Rows of (id, a few attributes) that any executor can hold as a hash table.
+# What any executor can hold as a hash table: rows, and bytes of text in them.
 BROADCAST_ROWS = 500_000
+BROADCAST_TEXT_BYTES = 128 * 1024 * 1024
 
 PARTITIONED_BY = {"products": None, "sales": "sale_month", "inventory": "snapshot_date"}
 
@@ -29,11 +30,20 @@ class Tables:
     sales: DataFrame
     inventory: DataFrame
     broadcast_rows: int = BROADCAST_ROWS
+    # Sales summed by store, genre, format and condition, when a suite has made them beforehand.
+    cube: DataFrame | None = None
 
     @cached_property
     def products_fit(self) -> bool:
-        """Whether the product table is small enough to broadcast, by a count of its rows."""
-        return self.products.count() <= self.broadcast_rows
+        """Whether the product table is small enough to broadcast, by its counted rows and bytes.
+
+        The row count comes from the file footers, so a large catalogue is not read for this.
+        """
+        if self.products.count() > self.broadcast_rows:
+            return False
+        text = [f.name for f in self.products.schema.fields if isinstance(f.dataType, T.StringType)]
+        size = sum((F.coalesce(F.octet_length(c), F.lit(0)).cast("bigint") for c in text), F.lit(0).cast("bigint"))
+        return (self.products.agg(F.sum(size)).first()[0] or 0) <= BROADCAST_TEXT_BYTES
 
     def product_columns(self, *columns: str) -> DataFrame:
         """Product attributes for joining, broadcast only when counted and found small."""

@@ -221,12 +221,12 @@ STOCKOUTS = """stockouts AS (
 TR_COLUMNS = """from_location, to_location, artist, title, format, genre, from_qty, from_days_sitting,
     to_location_demand_90d, suggested_transfer_qty, CAST(est_90d_revenue_at_dest AS DOUBLE) AS est_90d_revenue_at_dest"""
 
-AGING = f"""SELECT CASE WHEN days_in_stock <= 30 THEN 'a. 0-30 days' WHEN days_in_stock <= 60 THEN 'b. 31-60 days'
-        WHEN days_in_stock <= 90 THEN 'c. 61-90 days' ELSE 'd. 90+ days' END AS age_bucket,
-        {_big('sum(quantity_on_hand)', 'units')},
+AGING = f"""SELECT label AS age_bucket, {_big('sum(quantity_on_hand)', 'units')},
         round(100.0 * CAST(sum(quantity_on_hand) AS DOUBLE) / (SELECT CAST(sum(quantity_on_hand) AS DOUBLE) FROM latest), 1)
             AS pct_of_units
-    FROM latest WHERE quantity_on_hand > 0 GROUP BY age_bucket"""
+    FROM latest JOIN (VALUES (0, 30, 'a. 0-30 days'), (31, 60, 'b. 31-60 days'), (61, 90, 'c. 61-90 days'),
+        (91, 1000000, 'd. 90+ days')) AS bucket(low, high, label) ON days_in_stock BETWEEN low AND high
+    WHERE quantity_on_hand > 0 GROUP BY label"""
 
 TOP = """SELECT artist, title, format, genre, condition, CAST(units AS BIGINT) AS units, {revenue}
     FROM (SELECT product_id, sum(quantity) AS units, sum(net_amount) AS total FROM sales GROUP BY product_id)
@@ -408,6 +408,7 @@ CLEANING = {
     "scan_raw_products": _sql(RP, "SELECT * FROM raw_products"),
     "scan_raw_sales": _sql(RS, "SELECT * FROM raw_sales"),
     "scan_raw_inventory": _sql(RI, "SELECT * FROM raw_inventory"),
+    "scan_clean_sales": _sql(S, f"SELECT {SALE_COLUMNS} FROM sales"),
     "load_row_counts": _sql(
         [PRODUCTS, SALES, INVENTORY],
         """SELECT 'products' AS table_name, count(*) AS n_rows FROM products UNION ALL SELECT 'sales', count(*) FROM sales

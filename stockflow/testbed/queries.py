@@ -18,6 +18,7 @@ from ..operators.impute import fill_with_median
 from ..plans import cleaning, feed
 from ..plans.suite import RESULTS
 from ..session import new_path
+from ..sources.clean_csv import read_clean_csv, write_clean_csv
 from ..sources.landed_json import read_landed
 from ..sources.raw_csv import read_raw_csv
 from ..sources.tables import row_counts, write_snapshots
@@ -53,6 +54,13 @@ def load_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return row_counts(land.tables(spark, sf_dir))
 
 
+def scan_clean_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The clean sales out to CSV and back."""
+    path, kind = new_path(spark, "clean-csv"), schema.sales(land.ID)
+    write_clean_csv(land.tables(spark, sf_dir).sales.select(*kind.names), path)
+    return plain(read_clean_csv(spark, path, kind))
+
+
 # -- cleaning ------------------------------------------------------------------------------------
 
 
@@ -247,6 +255,7 @@ def stream_monthly_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     **{name: _result(name) for name in RESULTS},
     "load_row_counts": load_row_counts,
+    "scan_clean_sales": scan_clean_sales,
     "scan_raw_products": _raw("products", lambda df: df),
     "scan_raw_sales": _raw("sales", lambda df: df),
     "scan_raw_inventory": _raw("inventory", lambda df: df),

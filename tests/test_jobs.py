@@ -112,3 +112,28 @@ def test_work_dir_follows_the_setting(spark):
     assert work_dir(spark).endswith(spark.sparkContext.applicationId)
     if shared:
         assert work_dir(spark).startswith(shared.rstrip("/"))
+
+
+def test_command_line(spark, sf_dir, tmp_path, capsys):
+    from stockflow.__main__ import main
+
+    main(["clean", land.raw_exports(spark, sf_dir), f"{tmp_path}/clean"])
+    main(["analyse", f"{tmp_path}/clean", f"{tmp_path}/out", "--names", "margin_by_condition", "--preview", "2"])
+    assert "margin_by_condition" in capsys.readouterr().out
+    main(["ingest", land.documents(spark, sf_dir), f"{tmp_path}/sink"])
+    days = spark.read.parquet(f"{tmp_path}/sink/revenue/days")
+    lines = spark.read.parquet(f"{tmp_path}/sink/lines")
+    assert days.count() == lines.select("sale_date").distinct().count()
+
+
+def test_clean_csv_refuses_values_that_do_not_fit(spark, tables, tmp_path):
+    from stockflow.sources.clean_csv import read_clean_csv, write_clean_csv
+
+    kind = schema.products(land.ID)
+    write_clean_csv(tables.products, f"{tmp_path}/p")
+    assert spark_rows(read_clean_csv(spark, f"{tmp_path}/p", kind)) == spark_rows(tables.products)
+    (tmp_path / "bad").mkdir()
+    (tmp_path / "bad" / "a.csv").write_text("a,b\nx,not a date\n")
+    bad = read_clean_csv(spark, f"{tmp_path}/bad", schema._struct(a=schema.T.StringType(), b=schema.T.DateType()))
+    with pytest.raises(Exception):
+        bad.collect()

@@ -76,6 +76,21 @@ def test_skewed_sales_agree_on_both_paths(spark, skewed, name):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_roll_ups_from_the_cube_are_the_same(tables):
+    from_cube = A.with_cube(tables)
+    for name in ("revenue_by_genre", "genre_by_location", "margin_by_format_condition", "condition_share", "kpi_totals"):
+        assert spark_rows(RESULTS[name](from_cube)) == spark_rows(RESULTS[name](tables)), name
+    assert "sale_month" not in plan(A.margin_by_genre(from_cube))
+
+
+def test_wide_texts_are_not_broadcast(tables, monkeypatch):
+    from stockflow.sources import tables as module
+
+    monkeypatch.setattr(module, "BROADCAST_TEXT_BYTES", 100)
+    assert not Tables(tables.products, tables.sales, tables.inventory).products_fit
+    assert tables.products_fit
+
+
 def test_hot_product_is_one_row_per_task_after_the_partial_sum(skewed):
     per_product = skewed.sales.groupBy("product_id").agg(F.sum("quantity"))
     assert re.search(r"Exchange hashpartitioning\(product_id.*\n.*HashAggregate\(keys=\[product_id.*partial_sum", plan(per_product))
