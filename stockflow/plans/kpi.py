@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.numbers import percent
 from ..operators.dedupe import first_per_key
+from ..session import settle
 from ..sources.tables import Tables
 from . import analyses as A
 
@@ -109,10 +110,11 @@ def margin_by_format_display(t: Tables) -> DataFrame:
 def genre_share_by_location(t: Tables) -> DataFrame:
     """A genre's share of each store's revenue, and against its share in the other stores.
 
-    The windows run over grouped rows, one per store and genre; the grand total is a scalar
-    subquery over them, so that no task has to hold all of them.
+    The grouped rows, one per store and genre, are written first, so that sales are scanned once.
+    The windows run over them; the grand total is a scalar subquery, so that no task has to hold
+    all of them.
     """
-    rolled = A.sales_rollup(t, ["location"], ["genre"]).select("location", "genre", "revenue")
+    rolled = settle(A.sales_rollup(t, ["location"], ["genre"]).select("location", "genre", "revenue"), "genre-sums")
     total = rolled.agg(F.sum("revenue")).scalar()
     summed = (
         rolled.withColumn("store_revenue", F.sum("revenue").over(Window.partitionBy("location")))
@@ -131,8 +133,8 @@ def genre_share_by_location(t: Tables) -> DataFrame:
 
 
 def condition_share(t: Tables) -> DataFrame:
-    """Each condition's share of revenue and of gross profit."""
-    rows = A.sales_rollup(t, [], ["condition"])
+    """Each condition's share of revenue and of gross profit, from one scan of sales."""
+    rows = settle(A.sales_rollup(t, [], ["condition"]), "condition-sums")
     revenue, profit = (rows.agg(F.sum(c)).scalar() for c in ("revenue", "gross_profit"))
     return rows.select(
         "condition",

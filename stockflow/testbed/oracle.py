@@ -304,17 +304,17 @@ KPIS = {
     "genre_revenue_ascending": _sql(S, f"SELECT genre, {REV}, {UNITS} FROM {SP} GROUP BY genre"),
     "margin_by_format_display": _sql(
         S,
-        f"""SELECT CASE format WHEN 'LP' THEN 1 WHEN 'CD' THEN 2 WHEN '7"' THEN 3 WHEN 'Cassette' THEN 4 ELSE 5 END
-            AS format_position, format, condition, margin_pct FROM ({_margin('format, condition')})""",
+        f"""SELECT CAST(CASE format WHEN 'LP' THEN 1 WHEN 'CD' THEN 2 WHEN '7"' THEN 3 WHEN 'Cassette' THEN 4 ELSE 5 END
+            AS BIGINT) AS format_position, format, condition, margin_pct FROM ({_margin('format, condition')})""",
     ),
     "genre_share_by_location": _sql(
         [*S, f"""rolled AS (SELECT location, genre, sum(net_amount) AS r FROM {SP} GROUP BY location, genre),
         totals AS (SELECT *, (SELECT sum(r) FROM rolled x WHERE x.location = y.location) AS store,
-            (SELECT coalesce(sum(r), 0) FROM rolled x WHERE x.genre = y.genre AND x.location <> y.location) AS og,
+            (SELECT coalesce(sum(r), 0) FROM rolled x WHERE x.genre IS NOT DISTINCT FROM y.genre AND x.location <> y.location) AS og,
             (SELECT sum(r) FROM rolled x WHERE x.location <> y.location) AS oa FROM rolled y)"""],
         """SELECT location, genre, CAST(r AS DOUBLE) AS revenue,
             round(100.0 * (CAST(r AS DOUBLE) / CAST(store AS DOUBLE)), 1) AS share_pct,
-            round((CAST(r AS DOUBLE) / CAST(store AS DOUBLE)) / (CAST(og AS DOUBLE) / CAST(oa AS DOUBLE)), 2)
+            round((CAST(r AS DOUBLE) / CAST(store AS DOUBLE)) / nullif(CAST(og AS DOUBLE) / CAST(oa AS DOUBLE), 0), 2)
                 AS ratio_to_other_stores
         FROM totals""",
     ),
@@ -503,7 +503,7 @@ CATALOG = """catalog AS (
         CASE WHEN product_id % 6 <> 0 THEN '0' || product_id END AS upc,
         CASE product_id % 5 WHEN 3 THEN artist || ' — ' || title WHEN 4 THEN '' ELSE artist END AS artist,
         CASE product_id % 5 WHEN 3 THEN format ELSE title END AS title, '' AS format,
-        CASE WHEN product_id % 9 = 0 OR product_id % 11 = 0 THEN '' ELSE genre END AS genre, '' AS condition,
+        CASE WHEN product_id % 9 = 0 OR product_id % 11 = 0 THEN '' ELSE coalesce(genre, '') END AS genre, '' AS condition,
         CASE WHEN product_id % 17 <> 0 THEN CAST(cost AS DOUBLE) END AS cost,
         CAST(price + CAST(r_regionkey AS DECIMAL(4,0)) * CAST(0.01 AS DECIMAL(3,2)) AS DOUBLE) AS price,
         CAST(NULL AS INTEGER) AS release_year, r_name AS location
