@@ -24,6 +24,7 @@ def read_clean_csv(spark: SparkSession, path: str, schema: T.StructType) -> Data
     return (
         spark.read.schema(schema)
         .option("header", True)
+        .option("enforceSchema", False)
         .option("escape", '"')
         .option("dateFormat", "yyyy-MM-dd")
         .option("mode", "FAILFAST")

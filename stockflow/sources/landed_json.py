@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from ..schema import LANDED
 
@@ -12,6 +13,18 @@ def read_landed(spark: SparkSession, root: str, entity: str) -> DataFrame:
     return spark.read.schema(LANDED[entity]).json(f"{root}/{entity}")
 
 
+def read_corrupt(spark: SparkSession, root: str, entity: str) -> DataFrame:
+    """Lines that are no document of this entity: what could be read of them, and their text.
+
+    The other readers see null in a field of the wrong type, and nothing of a line that is no JSON.
+    """
+    kind = LANDED[entity]
+    marked = T.StructType(kind.fields + [T.StructField("corrupt_line", T.StringType())])
+    docs = spark.read.schema(marked).option("columnNameOfCorruptRecord", "corrupt_line").json(f"{root}/{entity}")
+    # Every field is kept, since Spark only finds fault with the fields it is asked for.
+    return docs.filter("corrupt_line IS NOT NULL")
+
+
 def stream_landed(spark: SparkSession, root: str, entity: str, files_per_batch: int | None = None) -> DataFrame:
     """The same documents as a stream of newly landed files."""
     reader = spark.readStream.schema(LANDED[entity])

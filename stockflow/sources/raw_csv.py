@@ -16,12 +16,14 @@ def read_raw_csv(
 ) -> DataFrame:
     """An export as strings; empty fields are null, and so are `null_words`.
 
+    A header that differs from the schema stops the read, so that no column is taken for another.
     `multi_line` admits line breaks inside quotes. It is off by default, because a file read that
     way cannot be split between tasks.
     """
     raw = (
         spark.read.schema(schema)
         .option("header", True)
+        .option("enforceSchema", False)
         .option("escape", '"')
         .option("multiLine", multi_line)
         .csv(path)

@@ -3,6 +3,7 @@
 import datetime
 from decimal import Decimal
 
+import pytest
 from stockflow import schema
 from stockflow.operators.dedupe import count_copies, first_per_key
 from stockflow.operators.impute import fill_with_median, group_medians
@@ -157,3 +158,10 @@ def test_copies_and_nulls(spark):
     assert got == {(1, None): 2, (1, "a"): 1, (None, None): 1}
     counts = {r.column_name: r.null_rows for r in null_counts(df, ["a", "b"], "t").collect()}
     assert counts == {"a": 1, "b": 3}
+
+
+def test_csv_with_other_columns_is_refused(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("b,a\n1,2\n")
+    kind = schema._struct(a=schema.T.StringType(), b=schema.T.StringType())
+    with pytest.raises(Exception, match="(?i)header"):
+        read_raw_csv(spark, str(tmp_path), kind).collect()

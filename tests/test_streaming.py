@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from stockflow.plans.feed import order_lines
-from stockflow.sources.landed_json import read_landed
+from stockflow.sources.landed_json import read_corrupt, read_landed
 from stockflow.streaming.orders import LINES, ingest_orders, read_lines
 from stockflow.streaming.revenue import keep_daily_revenue, monthly_from_daily
 
@@ -80,3 +80,13 @@ def test_daily_revenue_follows_the_lines(spark, landed, tmp_path):
 
 def test_line_schema(spark, landed):
     assert order_lines(read_landed(spark, str(landed), "orders")).dtypes == [(f.name, f.dataType.simpleString()) for f in LINES.fields]
+
+
+def test_corrupt_lines_are_shown_and_wrong_types_read_as_null(spark, tmp_path):
+    land_docs(tmp_path, "2025-08-01", "s1", "1.json", [order("o1", JULY, A), order("o2", JULY, ("b", "abc", None, None))])
+    folder = tmp_path / "orders" / "pull_date=2025-08-01" / "location=s1"
+    (folder / "2.json").write_text('{"id": "o3", "createdTime"\n')
+    lines = order_lines(read_landed(spark, str(tmp_path), "orders"))
+    assert {r.sale_id for r in lines.collect()} >= {"a"}
+    bad = [r.corrupt_line for r in read_corrupt(spark, str(tmp_path), "orders").collect()]
+    assert any("o3" in b for b in bad) and not any('"o1"' in b for b in bad)
