@@ -29,3 +29,8 @@ def first_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataFr
     ranked = F.struct(*[o.alias(f"o{i}") for i, o in enumerate(order)], *[F.col(c) for c in rest])
     first = df.groupBy(*keys).agg(F.min(ranked).alias("first"))
     return first.select(*[F.col(c) if c in keys else F.col(f"first.{c}").alias(c) for c in df.columns])
+
+
+def largest_first(column: str) -> list[Column]:
+    """Order keys for `first_per_key` that prefer large numbers and put nulls last."""
+    return [F.col(column).isNull(), -F.col(column)]

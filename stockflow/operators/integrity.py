@@ -7,16 +7,19 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import settle
+
 
 def known_ids(products: DataFrame) -> DataFrame:
-    return products.select("product_id").filter(F.col("product_id").isNotNull()).distinct()
+    return products.select("product_id").filter(F.col("product_id").isNotNull())
 
 
 def keep_known(df: DataFrame, products: DataFrame) -> DataFrame:
     """Rows whose product exists.
 
     No hint: a small product table is broadcast by its size, a large one is shuffled and the
-    runtime splits a product that holds a large share of the rows.
+    runtime splits a product that holds a large share of the rows. The ids are not made distinct
+    first, as a grouping right below the join would keep the runtime from splitting.
     """
     return df.join(known_ids(products), "product_id", "left_semi")
 
@@ -27,8 +30,12 @@ def keep_orphans(df: DataFrame, products: DataFrame) -> DataFrame:
 
 
 def flag_known(df: DataFrame, products: DataFrame, flag: str = "known_product") -> DataFrame:
-    """Every row, with whether its product exists."""
-    ids = known_ids(products).withColumn(flag, F.lit(True))
+    """Every row, with whether its product exists.
+
+    The distinct ids are written first: the join then sees their real size, and their grouping
+    is not part of its plan.
+    """
+    ids = settle(known_ids(products).distinct(), "product-ids").withColumn(flag, F.lit(True))
     joined = df.join(ids, "product_id", "left")
     return joined.withColumn(flag, F.coalesce(flag, F.lit(False)))
 

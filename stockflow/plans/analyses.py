@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import month
 from ..functions.numbers import money_sum, percent, to_cents
+from ..operators.dedupe import first_per_key, largest_first
 from ..operators.recent import latest_snapshot, sold_since
 from ..session import settle
 from ..sources.tables import Tables
@@ -194,12 +195,8 @@ def aging_buckets(t: Tables) -> DataFrame:
 # -- transfers -------------------------------------------------------------------------------
 
 
-def transfer_rows(t: Tables, days: int = 90, min_source_quantity: int = 5) -> DataFrame:
-    """Every (source store, empty store) pair of a product, with the demand at the empty one.
-
-    Both sides are cut down and given all their other columns before they meet, so that the only
-    join that multiplies rows comes last and is followed by no shuffle of its result.
-    """
+def _transfer_sides(t: Tables, days: int, min_source_quantity: int) -> tuple[DataFrame, DataFrame]:
+    """Piles that could give, with their product; and empty shelves, with the demand at their store."""
     latest = latest_snapshot(t.inventory)
     demand = (
         sold_since(t.sales, days)
@@ -232,11 +229,51 @@ def transfer_rows(t: Tables, days: int = 90, min_source_quantity: int = 5) -> Da
             F.coalesce("to_location_demand_90d", F.lit(0)).alias("to_location_demand_90d"),
         )
     )
+    return source, empty
+
+
+def _matched(source: DataFrame, empty: DataFrame) -> DataFrame:
     pairs = source.join(empty, "product_id").filter(F.col("from_location") != F.col("to_location"))
     value = F.round(F.col("to_location_demand_90d") * F.col("price"), 2)
     return pairs.withColumn("est_90d_revenue_at_dest", value)
 
 
+def transfer_rows(t: Tables, days: int = 90, min_source_quantity: int = 5) -> DataFrame:
+    """Every (source store, empty store) pair of a product, with the demand at the empty one.
+
+    Both sides are cut down and given all their other columns before they meet, so that the only
+    join that multiplies rows comes last.
+    """
+    return _matched(*_transfer_sides(t, days, min_source_quantity))
+
+
+def best_transfer_rows(t: Tables, days: int = 90, min_source_quantity: int = 5) -> DataFrame:
+    """One row per empty shelf that some store could fill: from the pile that has sat longest.
+
+    The value of a move does not depend on its source, so the best source of a product is the same
+    for every destination and is found before the join: one row per product meets the empty
+    shelves, where the full report grows with the square of the number of stores. A store is
+    never both, as a snapshot holds a product once per store.
+    """
+    source, empty = _transfer_sides(t, days, min_source_quantity)
+    best = first_per_key(source, ["product_id"], [*largest_first("from_days_sitting"), F.col("from_location")])
+    return _matched(best, empty)
+
+
+def transfer_count(t: Tables, min_source_quantity: int = 5) -> DataFrame:
+    """How many pairs the report has, without making them: sources times empty shelves per product."""
+    on_hand = F.col("quantity_on_hand")
+    per_store = (
+        latest_snapshot(t.inventory)
+        .groupBy("product_id", "location")
+        .agg(F.count_if(on_hand >= min_source_quantity).alias("gives"), F.count_if(on_hand == 0).alias("lacks"))
+    )
+    pairs = F.sum("gives") * F.sum("lacks") - F.sum(F.col("gives") * F.col("lacks"))
+    per_product = per_store.groupBy("product_id").agg(pairs.alias("pairs"))
+    counted = per_product.join(t.product_columns(), "product_id").agg(F.sum("pairs").alias("pairs"))
+    return counted.select(F.coalesce("pairs", F.lit(0)).alias("n_transfers"))
+
+
 def spare_quantity(on_hand: Column, reorder_level: Column) -> Column:
     """Half the pile, rounded up, while the reorder level stays behind; null without a level."""
     half = F.floor((on_hand + 1) / 2).cast("int")

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.numbers import percent
-from ..operators.dedupe import first_per_key
+from ..operators.dedupe import first_per_key, largest_first
 from ..session import settle
 from ..sources.tables import Tables
 from . import analyses as A
@@ -26,7 +26,7 @@ def kpi_totals(t: Tables) -> DataFrame:
         F.sum("gross_profit").alias("gross_profit"),
     )
     n_stockouts = A.stockout_rows(t).agg(F.count(F.lit(1))).scalar()
-    n_transfers = A.transfer_rows(t).agg(F.count(F.lit(1))).scalar()
+    n_transfers = A.transfer_count(t).scalar()
     return totals.select(
         "revenue",
         "units",
@@ -43,8 +43,13 @@ def transfer_unique_rows(t: Tables, by: str = "title") -> DataFrame:
     products can share those, so `by="product_id"` keeps products apart.
     """
     keys = ["to_location", "product_id"] if by == "product_id" else ["to_location", "artist", "title"]
-    best_first = [-F.col("est_90d_revenue_at_dest"), -F.col("from_days_sitting"), F.col("product_id"), F.col("from_location")]
-    rows = A.transfer_rows(t).select("product_id", *A.TRANSFER_COLUMNS)
+    best_first = [
+        *largest_first("est_90d_revenue_at_dest"),
+        *largest_first("from_days_sitting"),
+        F.col("product_id"),
+        F.col("from_location"),
+    ]
+    rows = A.best_transfer_rows(t).select("product_id", *A.TRANSFER_COLUMNS)
     return first_per_key(rows, keys, best_first)
 
 

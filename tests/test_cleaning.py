@@ -5,7 +5,7 @@ from decimal import Decimal
 
 import pytest
 from stockflow import schema
-from stockflow.operators.dedupe import count_copies, first_per_key
+from stockflow.operators.dedupe import count_copies, first_per_key, largest_first
 from stockflow.operators.impute import fill_with_median, group_medians
 from stockflow.operators.integrity import duplicate_keys, flag_known, keep_known, keep_orphans, null_counts
 from stockflow.plans import cleaning
@@ -152,6 +152,11 @@ def test_first_per_key_with_a_hot_key(spark):
     assert got == {"k": (0, "v0"), "z": (None, "only")}
 
 
+def test_largest_first_puts_nulls_last(spark):
+    df = spark.createDataFrame([("k", None, "n"), ("k", 3, "a"), ("k", 7, "b"), ("z", None, "n")], "k string, d int, v string")
+    assert {r.k: r.v for r in first_per_key(df, ["k"], largest_first("d")).collect()} == {"k": "b", "z": "n"}
+
+
 def test_copies_and_nulls(spark):
     df = spark.createDataFrame([(1, None), (1, None), (1, "a"), (None, None)], "a int, b string")
     got = {(r.a, r.b): r.copies for r in count_copies(df).collect()}

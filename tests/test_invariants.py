@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from stockflow.operators.dedupe import first_per_key
 from stockflow.plans import analyses as A
 from stockflow.plans import kpi as K
 from stockflow.plans.suite import ANALYSES, RESULTS
@@ -43,6 +44,20 @@ def test_transfers(tables):
     assert top == sorted(top, reverse=True) and len(top) == 10
 
 
+def test_transfers_are_counted_without_making_them(tables):
+    assert A.transfer_count(tables).first().n_transfers == A.transfer_rows(tables).count()
+    assert A.transfer_count(tables, min_source_quantity=12).first().n_transfers == A.transfer_rows(tables, min_source_quantity=12).count()
+
+
+def test_the_best_source_is_the_first_of_all_pairs(tables):
+    keys = ["to_location", "product_id"]
+    order = [-F.col("from_days_sitting"), F.col("from_location")]
+    pairs = A.transfer_rows(tables)
+    expected = first_per_key(pairs, keys, order).select(*sorted(pairs.columns))
+    got = A.best_transfer_rows(tables).select(*sorted(pairs.columns))
+    assert got.exceptAll(expected).count() == 0 and expected.exceptAll(got).count() == 0
+
+
 def test_reporting_order(tables):
     for name, column in (("revenue_by_genre", "revenue"), ("overstock", "days_in_stock"), ("dead_stock", "cost_tied_up")):
         values = [r[column] for r in ANALYSES[name](tables).collect()]

@@ -7,6 +7,7 @@ from compare import spark_rows
 from pyspark.sql import functions as F
 
 import __spark_entry__ as driver
+from stockflow.operators.integrity import flag_known, keep_known, keep_orphans
 from stockflow.plans import analyses as A
 from stockflow.plans.suite import RESULTS
 from stockflow.sources.tables import Tables, read_tables, write_table
@@ -96,6 +97,37 @@ def test_hot_product_is_one_row_per_task_after_the_partial_sum(skewed):
     assert re.search(r"Exchange hashpartitioning\(product_id.*\n.*HashAggregate\(keys=\[product_id.*partial_sum", plan(per_product))
 
 
+def test_a_hot_product_is_split_in_shuffled_lookups(spark, tables):
+    """With a product holding a third of the rows and nothing to broadcast, the join is split."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": -1,
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": 2,
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64KB",
+        "spark.sql.shuffle.partitions": 16,
+    }
+    ids = spark.range(0, 90_000, numPartitions=8)
+    rows = ids.select(
+        F.when(F.col("id") % 3 == 0, 5).otherwise(F.col("id") % 400).alias("product_id"),
+        F.sha2(F.col("id").cast("string"), 256).alias("text"),
+    )
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        for lookup, expected in (
+            (flag_known(rows, tables.products), 90_000),
+            (keep_known(rows, tables.products), rows.filter("product_id < 200").count()),
+            (keep_orphans(rows, tables.products), rows.filter("product_id >= 200").count()),
+        ):
+            counted = lookup.agg(F.count("text"), F.max("text"))
+            assert counted.collect()[0][0] == expected
+            assert "skew=true" in plan(counted)
+    finally:
+        for name in settings:
+            spark.conf.unset(name)
+        spark.conf.set("spark.sql.shuffle.partitions", 4)
+
+
 NO_STREAM = sorted(n for n in driver.queries() if not n.startswith("stream"))
 
 
