@@ -15,8 +15,8 @@ from pyspark.sql import functions as F
 D = Decimal
 
 PRODUCTS = [
-    ("P1", "S1", "  Celia Cruz ", "Nights", "LP", "latin", "NEW", "5.87", "$11.34", "2011.0"),
-    ("P1", "S1", "  Celia Cruz ", "Nights", "LP", "latin", "NEW", "5.87", "$11.34", "2011.0"),
+    ("P1", "S1", "  Ann Example ", "Nights", "LP", "latin", "NEW", "5.87", "$11.34", "2011.0"),
+    ("P1", "S1", "  Ann Example ", "Nights", "LP", "latin", "NEW", "5.87", "$11.34", "2011.0"),
     ("P2", None, "Nas", "Echoes", '7"', "hip-hop", "used ", "$2", "8.29", None),
     ("P3", "S3", "Nas", "Free", "CD", "Soul/FUNK", "Used", "1.00", "0.00", "1999.0"),
     ("P4", "S4", "Nas", "Costly", "CD", None, "Used", "1.00", "1,234.50", "1999.0"),
@@ -24,24 +24,24 @@ PRODUCTS = [
 ]
 
 SALES = [
-    ("S1", "2025-07-04", " dania beach", "P1", "2", "11.34", None),
-    ("S1", "2025-07-04", " dania beach", "P1", "2", "11.34", None),
-    ("S1", "2025-07-04", "Dania Beach", "P1", "2", "11.34", None),
-    ("S2", "7/5/2025", "LAKE WORTH", "P2", "1.0", "$8.29", "0.29"),
-    ("S3", "soon", "Lake Worth", "P2", "1", "8.29", "0"),
-    ("S4", "2025-07-06", "Lake Worth", "P9", "1", "8.29", "0"),
-    ("S5", "2025-07-06", "Lake Worth", "P2", "1.5", "8.29", "0"),
-    ("S6", "2025-07-06", "Lake Worth", "P2", "1", "8,29", "x"),
-    ("S7", "2025-07-06", "Lake Worth", "P3", "1", "8.29", "x"),
-    ("S8", "2025-07-07", "Lake Worth", None, "1", "8.29", "x"),
+    ("S1", "2025-07-04", " harbor row", "P1", "2", "11.34", None),
+    ("S1", "2025-07-04", " harbor row", "P1", "2", "11.34", None),
+    ("S1", "2025-07-04", "Harbor Row", "P1", "2", "11.34", None),
+    ("S2", "7/5/2025", "MILL LANE", "P2", "1.0", "$8.29", "0.29"),
+    ("S3", "soon", "Mill Lane", "P2", "1", "8.29", "0"),
+    ("S4", "2025-07-06", "Mill Lane", "P9", "1", "8.29", "0"),
+    ("S5", "2025-07-06", "Mill Lane", "P2", "1.5", "8.29", "0"),
+    ("S6", "2025-07-06", "Mill Lane", "P2", "1", "8,29", "x"),
+    ("S7", "2025-07-06", "Mill Lane", "P3", "1", "8.29", "x"),
+    ("S8", "2025-07-07", "Mill Lane", None, "1", "8.29", "x"),
 ]
 
 INVENTORY = [
-    ("2025-07-31", "lake worth", "P1", "3", "10", "1"),
-    ("2025-07-31", "lake worth", "P2", "0", "0", None),
-    ("7/31/2025", "Lake Worth", "P9", "1", "1", "2"),
-    ("never", "Lake Worth", "P1", "1", "1", "2"),
-    ("2025-08-31", "Dania Beach", "P1", "4", "1", None),
+    ("2025-07-31", "mill lane", "P1", "3", "10", "1"),
+    ("2025-07-31", "mill lane", "P2", "0", "0", None),
+    ("7/31/2025", "Mill Lane", "P9", "1", "1", "2"),
+    ("never", "Mill Lane", "P1", "1", "1", "2"),
+    ("2025-08-31", "Harbor Row", "P1", "4", "1", None),
 ]
 
 
@@ -57,7 +57,7 @@ def test_products(spark):
     raw, _, _ = frames(spark)
     got = {r.product_id: r for r in cleaning.clean_products(raw).collect()}
     assert set(got) == {"P1", "P2"}
-    assert got["P1"].artist == "Celia Cruz" and got["P1"].genre == "Latin" and got["P1"].condition == "New"
+    assert got["P1"].artist == "Ann Example" and got["P1"].genre == "Latin" and got["P1"].condition == "New"
     assert got["P1"].price == D("11.34") and got["P1"].release_year == 2011
     assert got["P2"].format == '7"' and got["P2"].genre == "Hip-Hop" and got["P2"].cost == D("2.00")
     assert cleaning.clean_products(raw).schema == schema.products() or cleaning.clean_products(raw).columns == schema.products().names
@@ -73,7 +73,7 @@ def test_sales(spark):
     assert sorted(r.sale_id for r in clean.collect()) == ["S1", "S1", "S2"]
     assert [r.sale_id for r in duplicate_keys(clean, ["sale_id"]).collect()] == ["S1"]
     s2 = clean.filter("sale_id = 'S2'").first()
-    assert s2.sale_date == datetime.date(2025, 7, 5) and s2.location == "Lake Worth"
+    assert s2.sale_date == datetime.date(2025, 7, 5) and s2.location == "Mill Lane"
     assert s2.net_amount == D("8.00") and s2.quantity == 1
     reasons = {r.sale_id: r.reject_reason for r in cleaning.rejected(cleaning.annotate_sales(raw, products), "sales").collect()}
     assert reasons == {
@@ -90,7 +90,7 @@ def test_inventory_median_counts_orphans_and_unparsed_rows(spark):
     raw_products, _, raw = frames(spark)
     annotated = cleaning.annotate_inventory(raw, cleaning.clean_products(raw_products))
     clean = {(r.location, r.product_id): r.reorder_level for r in cleaning.accepted(annotated, "inventory").collect()}
-    assert clean == {("Lake Worth", "P1"): 1, ("Lake Worth", "P2"): 2}
+    assert clean == {("Mill Lane", "P1"): 1, ("Mill Lane", "P2"): 2}
     reasons = sorted(r.reject_reason for r in cleaning.rejected(annotated, "inventory").collect())
     assert reasons == ["no reorder level", "unknown product", "unparseable date"]
 
