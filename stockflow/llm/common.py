@@ -2,12 +2,20 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
 from collections.abc import Iterator
+from pathlib import Path
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import stockflow
+
+_shipped: set[str] = set()
+
 #: Texts are worked on in slices of about so many bytes, which bounds a Python worker's memory; a longer text is a slice of its own.
 SLICE_BYTES = 4 << 20
 
@@ -16,6 +24,20 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def ship(spark: SparkSession) -> None:
+    """Gives the executors' Python this package, once for an application, as Spark gives them any file."""
+    app = spark.sparkContext.applicationId
+    if app in _shipped:
+        return
+    top = Path(stockflow.__file__).parent
+    archive = Path(tempfile.mkdtemp(prefix="stockflow-"), "stockflow.zip")
+    with zipfile.ZipFile(archive, "w") as z:
+        for file in sorted(top.rglob("*.py")):
+            z.write(file, file.relative_to(top.parent))
+    spark.sparkContext.addPyFile(str(archive))
+    _shipped.add(app)
+
+
 def fold(key: Column, folds: int) -> Column:
     """crc32 of the key as text, modulo `folds`; a null key counts as an empty text."""
     return F.crc32(F.coalesce(key.cast("string"), F.lit(""))) % folds
@@ -34,7 +56,7 @@ def word_count(text: Column) -> Column:
 def text_slices(batches: Iterator[pa.RecordBatch], column: str = "text", most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Consecutive rows of each batch, as many as have at most `most` bytes of text together (one row at least)."""
     for batch in batches:
-        sizes = pa.compute.fill_null(pa.compute.binary_length(batch.column(column).cast(pa.large_binary())), 0).to_numpy(zero_copy_only=False)
+        sizes = pc.fill_null(pc.binary_length(batch.column(column).cast(pa.large_binary())), 0).to_numpy(zero_copy_only=False)
         start, held = 0, 0
         for i, n in enumerate(sizes):
             if i > start and held + n > most:

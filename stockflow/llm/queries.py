@@ -3,16 +3,36 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from stockflow.llm import exact_dedup
+from stockflow.llm import chat, exact_dedup, mixing, toxicity
 from stockflow.llm.common import read
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    return toxicity.scored(docs, toxicity.learn(docs, read(spark, sf_dir, "labels")))
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.groups(read(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op4_exact_dedup,)}
+def op8_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = "</s>[INST] ok [/INST]"
+    turns = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    planted = spark.range(2).select(
+        F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(said).alias("text"),
+    )
+    return chat.read_back(chat.windows(turns.unionByName(planted)))
+
+
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(read(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op2_toxicity, op4_exact_dedup, op8_chat_windows, op9_mixing)}
 
 ORACLES = {
     "op4_exact_dedup": """

@@ -16,6 +16,11 @@ SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 PRIME = 0x9E3779B97F4A7C15
 INVERSE = pow(PRIME, -1, 1 << 64)
 
+#: ASCII marks that may surround a word.
+MARK = np.zeros(256, dtype=bool)
+MARK[33:127] = True
+MARK[[*range(48, 58), *range(65, 91), *range(97, 123)]] = False
+
 _powers = np.ones(1, dtype=np.uint64)
 _inverses = np.ones(1, dtype=np.uint64)
 
@@ -73,18 +78,24 @@ class Words:
         self.end = np.flatnonzero(closes) + 1
         self.first = np.searchsorted(self.begin, offsets)
         self.doc = np.repeat(np.arange(len(offsets) - 1), np.diff(self.first))
-        self.hash = self._hash()
-
-    def _hash(self) -> np.ndarray:
-        n = len(self.bytes)
         _grow(n + 1)
-        total = np.zeros(n + 1, np.uint64)
-        np.cumsum((self.bytes.astype(np.uint64) + np.uint64(1)) * _powers[:n], out=total[1:])
-        h = (total[self.end] - total[self.begin]) * _inverses[self.begin]
-        return mix(h ^ ((self.end - self.begin).astype(np.uint64) << np.uint64(48)))
+        self._sums = np.zeros(n + 1, np.uint64)
+        np.cumsum((self.bytes.astype(np.uint64) + np.uint64(1)) * _powers[:n], out=self._sums[1:])
+        self.hash = self.hash_of(self.begin, self.end)
+
+    def hash_of(self, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """Hashes of byte ranges; equal bytes have equal hashes wherever they lie."""
+        h = (self._sums[end] - self._sums[begin]) * _inverses[begin]
+        return mix(h ^ ((end - begin).astype(np.uint64) << np.uint64(48)))
+
+    def trimmed(self) -> tuple[np.ndarray, np.ndarray]:
+        """Begin and end of each word without the ASCII marks around it; a word of marks alone keeps one."""
+        begin, end = self.begin.copy(), self.end.copy()
+        while len(more := np.flatnonzero(MARK[self.bytes[end - 1]] & (end - begin > 1))):
+            end[more] -= 1
+        while len(more := np.flatnonzero(MARK[self.bytes[begin]] & (end - begin > 1))):
+            begin[more] += 1
+        return begin, end
 
     def __len__(self) -> int:
         return len(self.begin)
-
-    def word(self, i: int) -> bytes:
-        return self.bytes[self.begin[i] : self.end[i]].tobytes()
