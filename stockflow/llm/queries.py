@@ -2,13 +2,21 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stockflow.llm import chat, exact_dedup, mixing, toxicity
+from stockflow.llm import chat, exact_dedup, mixing, packing, toxicity
 from stockflow.llm.common import read
 
 
+def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.pack(read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return pieces.select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
+    )
+
+
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     return toxicity.scored(docs, toxicity.learn(docs, read(spark, sf_dir, "labels")))
@@ -32,7 +40,7 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_toxicity, op4_exact_dedup, op8_chat_windows, op9_mixing)}
+QUERIES = {f.__name__: f for f in (op1_packing, op2_toxicity, op4_exact_dedup, op8_chat_windows, op9_mixing)}
 
 ORACLES = {
     "op4_exact_dedup": """

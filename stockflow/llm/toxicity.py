@@ -142,11 +142,12 @@ def vocabulary(chosen: DataFrame, features: int) -> np.ndarray:
     spread = chosen.select("text", "positive").mapInArrow(_spread, "key long, p long, u long").groupBy("key").agg(F.sum("p").alias("p"), F.sum("u").alias("u"))
     ratio = ((F.col("p") + 0.5) / (p_all + 1)) / ((F.col("u") + 0.5) / (u_all + 1))
     gain = F.abs(F.log(ratio)) * F.when(ratio > 1, F.col("p") / p_all).otherwise(F.col("u") / u_all)
-    top = spread.where((F.col("p") + F.col("u")) >= 3).orderBy(gain.desc(), "key").limit(features).select("key")
+    often = (F.col("p") >= max(4, 0.01 * p_all)) | (F.col("u") >= max(20, 0.02 * u_all))
+    top = spread.where(often).orderBy(gain.desc(), "key").limit(features).select("key")
     return np.sort(np.array([r.key for r in top.collect()], np.int64).view(np.uint64))
 
 
-def train(rows: list[tuple[bool, np.ndarray, np.ndarray]], size: int, prior: float, epochs: int = 60, rate: float = 0.05, decay: float = 1e-4) -> tuple[np.ndarray, float]:
+def train(rows: list[tuple[bool, np.ndarray, np.ndarray]], size: int, prior: float, epochs: int = 60, rate: float = 0.05, decay: float = 5e-4) -> tuple[np.ndarray, float]:
     """Weights and bias of the non-negative risk estimator, by Adam over paired batches of the two samples."""
     rng = np.random.default_rng(SEED)
     sets = [[(at, x) for positive, at, x in rows if positive is kind] for kind in (True, False)]
