@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stockflow.llm import chat, exact_dedup, mixing, packing, toxicity
+from stockflow.llm import chat, exact_dedup, mixing, ngram_join, packing, toxicity
 from stockflow.llm.common import read
 
 
@@ -22,6 +22,10 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.scored(docs, toxicity.learn(docs, read(spark, sf_dir, "labels")))
 
 
+def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.join(read(spark, sf_dir, "documents"))
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.groups(read(spark, sf_dir, "documents"))
 
@@ -40,7 +44,7 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_packing, op2_toxicity, op4_exact_dedup, op8_chat_windows, op9_mixing)}
+QUERIES = {f.__name__: f for f in (op1_packing, op2_toxicity, op3_ngram_join, op4_exact_dedup, op8_chat_windows, op9_mixing)}
 
 ORACLES = {
     "op4_exact_dedup": """
