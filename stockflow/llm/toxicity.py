@@ -195,7 +195,7 @@ def train(rows: list[tuple[bool, np.ndarray, np.ndarray]], size: int, prior: flo
     return w[:size], float(w[size] + (low + high) / 2)
 
 
-def learn(docs: DataFrame, labels: DataFrame, positives: int = 8000, unlabelled: int = 24000, features: int = 4096) -> Model:
+def learn(docs: DataFrame, labels: DataFrame, positives: int = 6000, unlabelled: int = 18000, features: int = 2048) -> Model:
     ship(docs.sparkSession)
     chosen, prior = sample(docs, labels, positives, unlabelled)
     keys = vocabulary(chosen, features)
@@ -207,13 +207,17 @@ def learn(docs: DataFrame, labels: DataFrame, positives: int = 8000, unlabelled:
     def known(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in text_slices(batches):
             doc, at, x = model.known(Words(part.column("text")))
-            cuts = pa.array(np.searchsorted(doc, np.arange(part.num_rows + 1)).astype(np.int32))
-            lists = [pa.ListArray.from_arrays(cuts, pa.array(a)) for a in (at.astype(np.int32), x)]
-            yield pa.RecordBatch.from_arrays([part.column("positive"), *lists], ["positive", "at", "x"])
-
-    found = chosen.select("doc_id", "text", "positive").mapInArrow(known, "positive boolean, at array<int>, x array<double>")
-    rows = [(r.positive, np.array(r.at, np.int64), np.array(r.x)) for r in found.collect()]
-    rows.sort(key=lambda r: (not r[0], len(r[1]), r[1].tolist(), r[2].tolist()))  # whatever order tasks ended in
+            cuts = np.searchsorted(doc, np.arange(part.num_rows + 1))
+            columns = (part.column("positive").to_numpy(zero_copy_only=False), cuts.astype(np.int32), at.astype(np.int32), x.astype(np.float32))
+            yield pa.RecordBatch.from_arrays([pa.array([c.tobytes()], pa.binary()) for c in columns], ["positive", "cuts", "at", "x"])
+
+    # A row per slice of texts: the samples and the vocabulary are bounded by their parameters, so this is too.
+    found = chosen.select("doc_id", "text", "positive").mapInArrow(known, "positive binary, cuts binary, at binary, x binary")
+    rows = []
+    for r in found.toLocalIterator():
+        kinds, cuts, at, x = (np.frombuffer(v, t) for v, t in ((r.positive, bool), (r.cuts, np.int32), (r.at, np.int32), (r.x, np.float32)))
+        rows += [(bool(k), at[i:j], x[i:j]) for k, i, j in zip(kinds, cuts[:-1], cuts[1:], strict=True)]
+    rows.sort(key=lambda r: (not r[0], len(r[1]), r[1].tobytes(), r[2].tobytes()))  # whatever order tasks ended in
     if not any(r[0] for r in rows) or all(r[0] for r in rows):
         return blank
     return Model(keys, *train(rows, len(keys), prior))
