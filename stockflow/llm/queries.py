@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stockflow.llm import chat, exact_dedup, html_text, language, mixing, ngram_join, packing, toxicity
+from stockflow.llm import chat, embedding_dedup, exact_dedup, html_text, language, mixing, ngram_join, packing, toxicity
 from stockflow.llm.common import read
 
 
@@ -35,6 +35,10 @@ def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(docs, language.learn(docs))
 
 
+def op6_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(read(spark, sf_dir, "embeddings"))
+
+
 def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(read(spark, sf_dir, "pages"))
 
@@ -53,7 +57,7 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_packing, op2_toxicity, op3_ngram_join, op4_exact_dedup, op5_language, op7_html_text, op8_chat_windows, op9_mixing)}
+QUERIES = {f.__name__: f for f in (op1_packing, op2_toxicity, op3_ngram_join, op4_exact_dedup, op5_language, op6_embedding_dedup, op7_html_text, op8_chat_windows, op9_mixing)}
 
 ORACLES = {
     "op4_exact_dedup": """
