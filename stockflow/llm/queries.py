@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stockflow.llm import chat, embedding_dedup, exact_dedup, html_text, language, mixing, ngram_join, packing, toxicity
+from stockflow.llm import chat, embedding_dedup, exact_dedup, html_text, language, lm_scoring, mixing, ngram_join, packing, toxicity
 from stockflow.llm.common import read
 
 
@@ -57,7 +57,11 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_packing, op2_toxicity, op3_ngram_join, op4_exact_dedup, op5_language, op6_embedding_dedup, op7_html_text, op8_chat_windows, op9_mixing)}
+def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.score(read(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_packing, op2_toxicity, op3_ngram_join, op4_exact_dedup, op5_language, op6_embedding_dedup, op7_html_text, op8_chat_windows, op9_mixing, op10_lm_scoring)}
 
 ORACLES = {
     "op4_exact_dedup": """
