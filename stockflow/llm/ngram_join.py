@@ -3,11 +3,12 @@
 1. A text's set: its distinct `gram`-word shingles as 51-bit hashes, sorted. Texts with the same set are one node.
 2. Tiles. Sizes fall into bands; sets that can link are in one band or in two that touch, and a set near its band's upper
    border also enters the next band's tiles. Two sets that link differ in at most `d` elements, d from the band's greatest size; a
-   band's tiles divide the hash range into d + 1 parts, so two sets that link agree on one part at least. A tile
-   holds the sets with the same content of one part: no link is missed, and a phrase in many texts makes no large tile.
-3. Within a tile, sets are compared with its least member; what links is then one component. Tiles that still hold more than one
-   component are compared in blocks, pairs of different components only: bit counts of hashed bitmaps bound the overlap
-   from above, and only pairs within the bound go on to the intersection. No pairs are made within what is already linked.
+   band's tiles divide the hash range into d + 1 + m parts, so two sets that link agree on m + 1 parts at least. A tile
+   holds the sets with the same content of one part: no link is missed, and a phrase in many texts makes no large tile. A set with
+   at most m empty parts agrees on a part that is not empty, so its empty parts make no tiles. Tiles with the same members count once.
+3. Within a tile, all sets are compared with one of them, which then leaves the tile: some rounds of this join what is alike. Tiles that
+   still hold more than one component are compared in blocks, pairs of different components only. Bit counts of hashed bitmaps
+   bound the overlap from above, and only pairs within the bound go on to the intersection. No pairs are made within what is already linked.
 4. Components of the links, named by the smallest doc_id.
 
 Defined results: words are lower-cased (A-Z); a text with fewer words than a shingle has one shingle, the whole sequence; null and empty
@@ -18,7 +19,7 @@ its component is null; an empty table gives an empty result; further columns are
 from __future__ import annotations
 
 from collections.abc import Iterator
-from math import floor
+from math import ceil, floor
 
 import numpy as np
 import pyarrow as pa
@@ -50,7 +51,10 @@ class Bands:
             edges.append(max(edges[-1] + 1, int(edges[-1] * max(BAND, 110 / percent))))
         self.edges = np.array(edges, np.int64)
         # |A xor B| <= (1 - s) * |A or B|, and |A or B| <= 2 * greatest / (1 + s).
-        self.parts = [floor(2 * (e - 1) * (100 - percent) / (100 + percent) + 1e-9) + 1 for e in edges[1:]]
+        apart = [floor(2 * (e - 1) * (100 - percent) / (100 + percent) + 1e-9) for e in edges[1:]]
+        #: The parts that may be empty without making tiles: a little more than those that chance leaves empty.
+        self.empty = [ceil(0.08 * d) + 3 if d else 0 for d in apart]
+        self.parts = [d + 1 + m for d, m in zip(apart, self.empty, strict=True)]
 
     def of(self, sizes: np.ndarray) -> np.ndarray:
         return np.searchsorted(self.edges, sizes, side="right") - 1
@@ -112,18 +116,20 @@ def tiles(elements: np.ndarray, offsets: np.ndarray, bands: Bands) -> tuple[np.n
                 cuts = np.searchsorted(placed, grid.ravel()).reshape(grid.shape)
                 content = total[cuts[:, 1:]] - total[cuts[:, :-1]]
                 salt = mix(np.arange(parts, dtype=np.uint64) + np.uint64(tile << 44))
-                texts.append(np.repeat(some, parts))
-                keys.append(mix(content ^ salt).ravel())
+                bare = cuts[:, 1:] == cuts[:, :-1]
+                wanted = ~bare | (bare.sum(axis=1) > bands.empty[tile])[:, None]
+                texts.append(np.broadcast_to(some[:, None], wanted.shape)[wanted])
+                keys.append(mix(content ^ salt)[wanted])
     return np.concatenate(texts or [np.zeros(0, np.int64)]), np.concatenate(keys or [np.zeros(0, np.uint64)])
 
 
 def bitmaps(elements: np.ndarray, offsets: np.ndarray, bands: Bands) -> list[bytes]:
-    """Each text's bitmap: as many bits as the power of two over twice the largest size of its band."""
+    """Each text's bitmap: as many bits as the power of two over eight times the largest size of its band."""
     sizes = np.diff(offsets)
     own = bands.of(np.maximum(sizes, 1))
     found = []
     for d, n in enumerate(sizes):
-        width = 1 << max(6, int(2 * bands.edges[own[d] + 1]).bit_length()) if n else 64
+        width = 1 << max(6, int(8 * bands.edges[own[d] + 1]).bit_length()) if n else 64
         bits = np.zeros(width, np.uint8)
         bits[elements[offsets[d] : offsets[d + 1]] & np.uint64(width - 1)] = 1
         found.append(np.packbits(bits).tobytes())
@@ -244,7 +250,10 @@ class Join:
         member = named.select("node", F.explode("tiles").alias("tile"))
         shared = member.groupBy(F.col("tile").alias("shared")).agg(F.min("node").alias("least"), F.max("node").alias("most"))
         shared = settle(shared.where("least < most").select("shared"), "ngram-tiles")
-        self.members = settle(member.join(shared, F.col("tile") == F.col("shared")).select("tile", "node").distinct(), "ngram-members")
+        members = settle(member.join(shared, F.col("tile") == F.col("shared")).select("tile", "node").distinct(), "ngram-members")
+        alike = members.groupBy("tile").agg(F.count("*").alias("n"), F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("sum"))
+        once = settle(alike.groupBy("n", "sum").agg(F.min("tile").alias("once")).select("once"), "ngram-tiles-once")
+        self.members = settle(members.join(once, F.col("tile") == F.col("once"), "left_semi"), "ngram-members-once")
         self.near = self._near()
 
     def _near(self) -> DataFrame:
@@ -276,31 +285,29 @@ class Join:
         )
         return settle(sides.select("a", "b", "set1", "set2").mapInArrow(_linked(self.percent), "a long, b long").distinct(), "ngram-links")
 
-    def _open(self, links: DataFrame | None) -> DataFrame:
+    @staticmethod
+    def _open(members: DataFrame, links: DataFrame | None) -> DataFrame:
         """(tile, node, component) of the tiles that hold more than one component."""
         if links is None:
-            return self.members.withColumn("component", F.col("node"))
+            return members.withColumn("component", F.col("node"))
         known = settle(components(links), "ngram-components").select(F.col("node").alias("of"), "component")
-        told = settle(
-            self.members.join(known, F.col("node") == F.col("of"), "left").select("tile", "node", F.coalesce("component", "node").alias("component")),
-            "ngram-told",
-        )
+        told = members.select("tile", "node").join(known, F.col("node") == F.col("of"), "left")
+        told = settle(told.select("tile", "node", F.coalesce("component", "node").alias("component")), "ngram-told")
         split = told.groupBy(F.col("tile").alias("open")).agg(F.min("component").alias("c1"), F.max("component").alias("c2")).where("c1 < c2")
         return settle(told.join(settle(split.select("open"), "ngram-open"), F.col("tile") == F.col("open"), "left_semi"), "ngram-open-members")
 
     def node_links(self) -> DataFrame:
         """Links between nodes that join all that is joined; within a component not every link is listed."""
-        links, open_ = None, self._open(None)
-        for i in range(self.stars):
-            # The centre: another member each time, so that a text far from one centre meets the next.
-            centre = open_.groupBy(F.col("tile").alias("of")).agg(F.min_by(F.struct("node", "component"), F.xxhash64("node", F.lit(i))).alias("centre"))
+        links, open_ = None, self._open(self.members, None)
+        for _ in range(self.stars):
+            centre = open_.groupBy(F.col("tile").alias("of")).agg(F.min_by(F.struct("node", "component"), F.xxhash64("node")).alias("centre"))
             centre = settle(centre, "ngram-centres")
-            pairs = open_.join(centre, F.col("tile") == F.col("of")).where(F.col("component") != F.col("centre.component"))
-            pairs = pairs.select(F.least("node", "centre.node").alias("a"), F.greatest("node", "centre.node").alias("b")).distinct()
-            found = self.links(pairs)
-            if links is None or found.count():
-                links = found if links is None else links.unionByName(found)
-                open_ = self._open(links)
+            around = settle(open_.join(centre, F.col("tile") == F.col("of")).where(F.col("node") != F.col("centre.node")), "ngram-around")
+            pairs = around.where(F.col("component") != F.col("centre.component"))
+            found = self.links(pairs.select(F.least("node", "centre.node").alias("a"), F.greatest("node", "centre.node").alias("b")).distinct())
+            links = found if links is None else links.unionByName(found)
+            # The centre has met every member, so it leaves the tile.
+            open_ = self._open(around, links)
             if not open_.count():
                 return links
         return links.unionByName(self.links(self._rest(open_)))
