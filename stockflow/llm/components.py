@@ -8,17 +8,21 @@ from pyspark.sql import functions as F
 from stockflow.session import settle
 
 
-def _stars(links: DataFrame, large: bool) -> DataFrame:
+#: Links per file of what is written between steps: few links make few tasks, whatever the shuffles' number of partitions.
+LINKS_PER_FILE = 500_000
+
+
+def _stars(links: DataFrame, large: bool, files: int) -> DataFrame:
     """Large: each node's greater neighbours link to its least one; small: its lesser neighbours do, and it itself."""
     both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
     near = both if large else both.where("b < a")
     # Written, so that the join below deals both sides anew and a node with very many links is split over tasks.
-    least = settle(near.groupBy(F.col("a").alias("node")).agg(F.least(F.min("a"), F.min("b")).alias("least")), "star-least")
+    least = settle(near.groupBy(F.col("a").alias("node")).agg(F.least(F.min("a"), F.min("b")).alias("least")).coalesce(files), "star-least")
     hung = near.join(least, F.col("a") == F.col("node")).where(F.col("b") > F.col("a") if large else F.col("b") != F.col("least"))
     hung = hung.select(F.col("least").alias("a"), "b")
     if not large:
         hung = hung.unionByName(least.where("node != least").select(F.col("least").alias("a"), F.col("node").alias("b")))
-    return hung.where("a != b").distinct()
+    return settle(hung.where("a != b").distinct().coalesce(files), "star-links")
 
 
 def components(links: DataFrame, rounds: int = 40) -> DataFrame:
@@ -29,8 +33,10 @@ def components(links: DataFrame, rounds: int = 40) -> DataFrame:
     """
     links = links.where("a != b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     links, seen = settle(links, "links"), None
+    files = links.count() // LINKS_PER_FILE + 1  # stars never have more links than they began with
+    links = settle(links.coalesce(files), "links")
     for _ in range(rounds):
-        links = settle(_stars(settle(_stars(links, large=True), "large-star"), large=False), "small-star")
+        links = _stars(_stars(links, True, files), False, files)
         now = tuple(links.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
         if now == seen:
             break
