@@ -8,8 +8,8 @@ from pyspark.sql import SparkSession
 
 from .plans.jobs import DATASETS, clean_exports, flatten_pull, write_suite
 from .plans.suite import RESULTS
+from .sources.raw_csv import NULL_WORDS
 from .sources.tables import read_tables
-from .streaming.orders import ingest_orders
 from .streaming.revenue import keep_daily_revenue
 
 
@@ -20,6 +20,8 @@ def parser() -> argparse.ArgumentParser:
     clean = jobs.add_parser("clean", help="raw CSV exports to clean tables, quarantine and quality metrics")
     clean.add_argument("raw")
     clean.add_argument("out")
+    clean.add_argument("--null-words", nargs="*", default=list(NULL_WORDS), help="texts that mean a missing value")
+    clean.add_argument("--multi-line", action="store_true", help="admit line breaks inside quotes; such files are not split")
 
     analyse = jobs.add_parser("analyse", help="write the named results of a set of clean tables")
     analyse.add_argument("tables")
@@ -46,7 +48,7 @@ def main(argv: list[str] | None = None) -> None:
     args = parser().parse_args(argv)
     spark = SparkSession.builder.appName(f"stockflow-{args.job}").getOrCreate()
     if args.job == "clean":
-        clean_exports(spark, args.raw, args.out)
+        clean_exports(spark, args.raw, args.out, tuple(args.null_words), args.multi_line)
     elif args.job == "analyse":
         written = write_suite(read_tables(spark, args.tables), args.out, args.names, args.format, args.preview)
         if args.preview:
@@ -56,8 +58,7 @@ def main(argv: list[str] | None = None) -> None:
     elif args.job == "flatten":
         flatten_pull(spark, args.landed, args.out, args.pull_date, args.stores, args.only)
     else:
-        ingest_orders(spark, args.landed, args.sink, args.files_per_batch).awaitTermination()
-        keep_daily_revenue(spark, f"{args.sink}/lines", f"{args.sink}/revenue").awaitTermination()
+        keep_daily_revenue(spark, args.landed, args.sink, args.files_per_batch).awaitTermination()
 
 
 if __name__ == "__main__":

@@ -8,6 +8,7 @@ sum does not depend on the order in which tasks finish; percentages are doubles.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, Window
@@ -29,6 +30,10 @@ def _revenue() -> Column:
     return money_sum(to_cents(F.col("net_amount"))).alias("revenue")
 
 
+def _products(t: Tables, *columns: str) -> DataFrame:
+    return t.products.select("product_id", *columns)
+
+
 def _desc(name: str) -> Column:
     return F.col(name).desc_nulls_last()
 
@@ -39,22 +44,19 @@ def _desc(name: str) -> Column:
 def sales_rollup(t: Tables, sale_keys: list[str], product_keys: list[str]) -> DataFrame:
     """Units, revenue and gross profit by sale columns and product columns.
 
-    With a product table that was counted and found small, sales meet it before they are
-    grouped, and only the groups are shuffled. With a large one, sales are first summed per
-    product, so that a best seller crosses the network as one row per task.
+    Sales are first summed per product, so that a best seller crosses the network as one row per
+    task, and the sums meet the products. A sale whose price or discount is not known counts in the
+    units, and in the revenue if that is known, but neither its takings nor its cost enter the profit.
     """
     keys = sale_keys + product_keys
     if t.cube is not None and set(keys) <= set(t.cube.columns):
         return _add_up(t.cube, keys)
-    products = t.product_columns("cost", *product_keys)
     per_unit = to_cents(F.col("unit_price")) - to_cents(F.col("discount"))
-    if t.products_fit:
-        profit = F.col("quantity") * (per_unit - to_cents(F.col("cost")))
-        joined = t.sales.join(products, "product_id")
-        return joined.groupBy(*keys).agg(_units(), _revenue(), money_sum(profit).alias("gross_profit"))
+    known_units = F.sum(F.when(per_unit.isNotNull(), F.col("quantity"))).alias("known_units")
     takings = money_sum(F.col("quantity") * per_unit).alias("takings")
-    summed = t.sales.groupBy("product_id", *sale_keys).agg(_units(), _revenue(), takings)
-    profit = F.col("takings") - F.col("units") * F.col("cost")
+    summed = t.sales.groupBy("product_id", *sale_keys).agg(_units(), _revenue(), takings, known_units)
+    profit = F.col("takings") - F.col("known_units") * F.col("cost")
+    products = t.products.select("product_id", "cost", *product_keys)
     return _add_up(summed.join(products, "product_id").withColumn("gross_profit", profit), keys)
 
 
@@ -70,6 +72,34 @@ def with_cube(t: Tables) -> Tables:
     return replace(t, cube=cube)
 
 
+def sharing(t: Tables) -> Tables:
+    """The tables for running many results: what several of them start from is made once, when it is first asked for."""
+    return replace(t, made={})
+
+
+def made_once(t: Tables, name: str, make: Callable[[Tables], DataFrame]) -> DataFrame:
+    """`make(t)`, written the first time if the tables are shared between results."""
+    if t.made is None:
+        return make(t)
+    if name not in t.made:
+        t.made[name] = settle(make(t), name)
+    return t.made[name]
+
+
+def latest(t: Tables) -> DataFrame:
+    """Stock of the newest snapshot."""
+    return made_once(t, "latest-stock", lambda t: latest_snapshot(t.inventory, t.snapshots))
+
+
+def recent_demand(t: Tables, days: int) -> DataFrame:
+    """Units sold in the last days, by store and product."""
+    return made_once(
+        t,
+        f"demand-{days}",
+        lambda t: sold_since(t.sales, days, t.months).groupBy("location", "product_id").agg(F.sum("quantity").alias("sold")),
+    )
+
+
 def monthly_revenue(t: Tables) -> DataFrame:
     """Revenue and units by calendar month; only the grouped months are put into words."""
     by_month = t.sales.groupBy(F.trunc("sale_date", "MM").alias("first_day")).agg(_revenue(), _units())
@@ -104,7 +134,7 @@ def genre_by_location(t: Tables) -> DataFrame:
 
 def _product_totals(t: Tables) -> DataFrame:
     totals = t.sales.groupBy("product_id").agg(_units(), _revenue())
-    return totals.join(t.product_columns("artist", "title", "format", "genre", "condition"), "product_id")
+    return totals.join(_products(t, "artist", "title", "format", "genre", "condition"), "product_id")
 
 
 _PRODUCT_TOTALS = ["artist", "title", "format", "genre", "condition", "units", "revenue"]
@@ -112,7 +142,9 @@ _PRODUCT_TOTALS = ["artist", "title", "format", "genre", "condition", "units", "
 
 def top_products(t: Tables, limit: int = 15) -> DataFrame:
     """The best sellers by revenue."""
-    return _product_totals(t).orderBy(_desc("revenue"), "product_id").limit(limit).select(*_PRODUCT_TOTALS)
+    order = [_desc("revenue"), "product_id"]
+    top = made_once(t, f"top-products-{limit}", lambda t: _product_totals(t).orderBy(*order).limit(limit))
+    return top.orderBy(*order).select(*_PRODUCT_TOTALS)
 
 
 def bottom_products(t: Tables, limit: int = 15) -> DataFrame:
@@ -127,10 +159,10 @@ def bottom_products(t: Tables, limit: int = 15) -> DataFrame:
 
 def dead_stock(t: Tables, days: int = 90, limit: int | None = 25) -> DataFrame:
     """Stock on the shelf of products no store has sold lately, by the cost tied up in it."""
-    sold = sold_since(t.sales, days).select("product_id").distinct()
-    on_shelf = latest_snapshot(t.inventory).filter("quantity_on_hand > 0")
+    sold = recent_demand(t, days).select("product_id").distinct()
+    on_shelf = latest(t).filter("quantity_on_hand > 0")
     unsold = on_shelf.join(sold, "product_id", "left_anti").join(
-        t.product_columns("artist", "title", "genre", "condition", "cost"), "product_id"
+        _products(t, "artist", "title", "genre", "condition", "cost"), "product_id"
     )
     tied_up = F.round(F.col("quantity_on_hand") * F.col("cost"), 2).alias("cost_tied_up")
     rows = unsold.select(
@@ -144,22 +176,20 @@ def dead_stock(t: Tables, days: int = 90, limit: int | None = 25) -> DataFrame:
 
 def overstock(t: Tables, min_quantity: int = 6, min_days: int = 60) -> DataFrame:
     """Piles that have been sitting."""
-    piles = latest_snapshot(t.inventory).filter(
+    piles = latest(t).filter(
         (F.col("quantity_on_hand") >= min_quantity) & (F.col("days_in_stock") >= min_days)
     )
     return (
-        piles.join(t.product_columns("artist", "title", "genre"), "product_id")
+        piles.join(_products(t, "artist", "title", "genre"), "product_id")
         .orderBy(_desc("days_in_stock"), "product_id", "location")
         .select("location", "artist", "title", "genre", "quantity_on_hand", "days_in_stock")
     )
 
 
 def stockout_rows(t: Tables, days: int = 60) -> DataFrame:
-    demand = (
-        sold_since(t.sales, days).groupBy("product_id").agg(F.sum("quantity").alias("sold_last_60d_all_stores"))
-    )
-    empty = latest_snapshot(t.inventory).filter("quantity_on_hand = 0")
-    return empty.join(demand, "product_id").join(t.product_columns("artist", "title", "genre"), "product_id")
+    demand = recent_demand(t, days).groupBy("product_id").agg(F.sum("sold").alias("sold_last_60d_all_stores"))
+    empty = latest(t).filter("quantity_on_hand = 0")
+    return empty.join(demand, "product_id").join(_products(t, "artist", "title", "genre"), "product_id")
 
 
 def stockouts(t: Tables, days: int = 60) -> DataFrame:
@@ -184,9 +214,13 @@ def age_bucket(days: Column) -> Column:
 
 def aging_buckets(t: Tables) -> DataFrame:
     """Units on the shelf by age, and their share. The window sees the four bucket rows only."""
-    on_shelf = latest_snapshot(t.inventory).filter("quantity_on_hand > 0")
-    buckets = on_shelf.groupBy(age_bucket(F.col("days_in_stock")).alias("age_bucket")).agg(
-        F.sum("quantity_on_hand").alias("units")
+    buckets = made_once(
+        t,
+        "aging",
+        lambda t: latest(t)
+        .filter("quantity_on_hand > 0")
+        .groupBy(age_bucket(F.col("days_in_stock")).alias("age_bucket"))
+        .agg(F.sum("quantity_on_hand").alias("units")),
     )
     share = percent(F.col("units"), F.sum("units").over(Window.partitionBy()))
     return buckets.withColumn("pct_of_units", share).orderBy("age_bucket")
@@ -197,15 +231,11 @@ def aging_buckets(t: Tables) -> DataFrame:
 
 def _transfer_sides(t: Tables, days: int, min_source_quantity: int) -> tuple[DataFrame, DataFrame]:
     """Piles that could give, with their product; and empty shelves, with the demand at their store."""
-    latest = latest_snapshot(t.inventory)
-    demand = (
-        sold_since(t.sales, days)
-        .groupBy("location", "product_id")
-        .agg(F.sum("quantity").alias("to_location_demand_90d"))
-    )
+    stock = latest(t)
+    demand = recent_demand(t, days).withColumnRenamed("sold", "to_location_demand_90d")
     source = (
-        latest.filter(F.col("quantity_on_hand") >= min_source_quantity)
-        .join(t.product_columns("artist", "title", "format", "genre", "price"), "product_id")
+        stock.filter(F.col("quantity_on_hand") >= min_source_quantity)
+        .join(_products(t, "artist", "title", "format", "genre", "price"), "product_id")
         .select(
             "product_id",
             F.col("location").alias("from_location"),
@@ -220,7 +250,7 @@ def _transfer_sides(t: Tables, days: int, min_source_quantity: int) -> tuple[Dat
         )
     )
     empty = (
-        latest.filter("quantity_on_hand = 0")
+        stock.filter("quantity_on_hand = 0")
         .select("location", "product_id")
         .join(demand, ["location", "product_id"], "left")
         .select(
@@ -248,29 +278,32 @@ def transfer_rows(t: Tables, days: int = 90, min_source_quantity: int = 5) -> Da
 
 
 def best_transfer_rows(t: Tables, days: int = 90, min_source_quantity: int = 5) -> DataFrame:
-    """One row per empty shelf that some store could fill: from the pile that has sat longest.
+    """One row per product and empty store that some other store could fill: from the pile that has sat longest.
 
     The value of a move does not depend on its source, so the best source of a product is the same
-    for every destination and is found before the join: one row per product meets the empty
-    shelves, where the full report grows with the square of the number of stores. A store is
-    never both, as a snapshot holds a product once per store.
+    for every destination but the source's own store. The best piles of the two best stores are found before
+    the join: at most two rows per product meet the empty shelves, where the full report grows with the
+    square of the number of stores. Rows that repeat a store and product are allowed on either side.
     """
     source, empty = _transfer_sides(t, days, min_source_quantity)
-    best = first_per_key(source, ["product_id"], [*largest_first("from_days_sitting"), F.col("from_location")])
-    return _matched(best, empty)
+    longest = [*largest_first("from_days_sitting"), F.col("from_location")]
+    per_store = first_per_key(source, ["product_id", "from_location"], longest)
+    rank = F.row_number().over(Window.partitionBy("product_id").orderBy(_desc("from_days_sitting"), "from_location"))
+    best = per_store.withColumn("rank", rank).filter("rank <= 2").drop("rank")
+    return first_per_key(_matched(best, empty), ["product_id", "to_location"], longest)
 
 
 def transfer_count(t: Tables, min_source_quantity: int = 5) -> DataFrame:
     """How many pairs the report has, without making them: sources times empty shelves per product."""
     on_hand = F.col("quantity_on_hand")
     per_store = (
-        latest_snapshot(t.inventory)
+        latest(t)
         .groupBy("product_id", "location")
         .agg(F.count_if(on_hand >= min_source_quantity).alias("gives"), F.count_if(on_hand == 0).alias("lacks"))
     )
     pairs = F.sum("gives") * F.sum("lacks") - F.sum(F.col("gives") * F.col("lacks"))
     per_product = per_store.groupBy("product_id").agg(pairs.alias("pairs"))
-    counted = per_product.join(t.product_columns(), "product_id").agg(F.sum("pairs").alias("pairs"))
+    counted = per_product.join(_products(t), "product_id").agg(F.sum("pairs").alias("pairs"))
     return counted.select(F.coalesce("pairs", F.lit(0)).alias("n_transfers"))
 
 
@@ -340,37 +373,19 @@ def _sell_through(grouped: DataFrame) -> DataFrame:
     return grouped.withColumn("sell_through_pct", percent(sold, sold + on_hand))
 
 
-def sell_through_by_genre(t: Tables) -> DataFrame:
-    """Units sold against units left, over the whole catalogue, sold or not."""
-    if t.products_fit:
-        # The small catalogue is broadcast to both facts, and only genre rows are shuffled.
-        genres = t.product_columns("genre")
-        zero = F.lit(0).cast("bigint")
-        sold = t.sales.join(genres, "product_id").groupBy("genre").agg(F.sum("quantity").alias("units_sold"))
-        left = (
-            latest_snapshot(t.inventory)
-            .join(genres, "product_id")
-            .groupBy("genre")
-            .agg(F.sum("quantity_on_hand").alias("units_on_hand"))
-        )
-        parts = (
-            t.products.select("genre", zero.alias("units_sold"), zero.alias("units_on_hand"))
-            .unionByName(sold.withColumn("units_on_hand", zero))
-            .unionByName(left.withColumn("units_sold", zero))
-        )
-    else:
-        sold = t.sales.groupBy("product_id").agg(F.sum("quantity").alias("units_sold"))
-        left = (
-            latest_snapshot(t.inventory).groupBy("product_id").agg(F.sum("quantity_on_hand").alias("units_on_hand"))
-        )
-        parts = (
-            t.products.select("product_id", "genre").join(sold, "product_id", "left").join(left, "product_id", "left")
-        )
-    grouped = parts.groupBy("genre").agg(
+def _genre_units(t: Tables) -> DataFrame:
+    sold = t.sales.groupBy("product_id").agg(F.sum("quantity").alias("units_sold"))
+    left = latest(t).groupBy("product_id").agg(F.sum("quantity_on_hand").alias("units_on_hand"))
+    parts = t.products.select("product_id", "genre").join(sold, "product_id", "left").join(left, "product_id", "left")
+    return parts.groupBy("genre").agg(
         F.sum(F.coalesce("units_sold", F.lit(0))).alias("units_sold"),
         F.sum(F.coalesce("units_on_hand", F.lit(0))).alias("units_on_hand"),
     )
-    return _sell_through(grouped).orderBy(_desc("sell_through_pct"), "genre")
+
+
+def sell_through_by_genre(t: Tables) -> DataFrame:
+    """Units sold against units left, over the whole catalogue, sold or not."""
+    return _sell_through(made_once(t, "genre-units", _genre_units)).orderBy(_desc("sell_through_pct"), "genre")
 
 
 def sell_through_by_location(t: Tables) -> DataFrame:
@@ -378,7 +393,7 @@ def sell_through_by_location(t: Tables) -> DataFrame:
     zero = F.lit(0).cast("bigint")
     sold = t.sales.groupBy("location").agg(F.sum("quantity").alias("units_sold"))
     left = (
-        latest_snapshot(t.inventory).groupBy("location").agg(F.sum("quantity_on_hand").alias("units_on_hand"))
+        latest(t).groupBy("location").agg(F.sum("quantity_on_hand").alias("units_on_hand"))
     )
     parts = sold.withColumn("units_on_hand", zero).unionByName(left.withColumn("units_sold", zero))
     grouped = parts.groupBy("location").agg(

@@ -14,6 +14,7 @@ from ..functions.dates import epoch_ms, utc_date
 from ..functions.numbers import cents, net_amount
 from ..functions.text import split_name
 from ..operators.dedupe import first_per_key
+from ..operators.integrity import union_all
 
 
 def _or_zero(c: Column) -> Column:
@@ -32,9 +33,9 @@ def line_quantity(unit_qty: Column) -> Column:
     return F.when(unit_qty != 0, weighed).otherwise(F.lit(1).cast(schema.WEIGHED))
 
 
-def order_lines(orders: DataFrame) -> DataFrame:
-    """One row per line item; an order without items gives none."""
-    lines = orders.select("location", "createdTime", F.explode("lineItems.elements").alias("line"))
+def order_lines(orders: DataFrame, *kept: str) -> DataFrame:
+    """One row per line item, with the `kept` columns of its document; an order without items gives none."""
+    lines = orders.select("location", "createdTime", *kept, F.explode("lineItems.elements").alias("line"))
     return lines.select(
         F.col("line.id").alias("sale_id"),
         utc_date(F.col("createdTime")).alias("sale_date"),
@@ -43,6 +44,7 @@ def order_lines(orders: DataFrame) -> DataFrame:
         line_quantity(F.col("line.unitQty")).alias("quantity"),
         cents(F.col("line.price")).alias("unit_price"),
         cents(line_discount_cents(F.col("line.discounts.elements"))).alias("discount"),
+        *kept,
     )
 
 
@@ -51,13 +53,68 @@ def whole_quantity(quantity: Column) -> Column:
     return F.when(quantity == F.floor(quantity), quantity.try_cast("bigint"))
 
 
+REJECT = "reject_reason"
+
+
+def judged_lines(orders: DataFrame) -> DataFrame:
+    """Every line with the reason why it does not fit the sales table, or null."""
+    lines = order_lines(orders)
+    reason = (
+        F.when(F.col("sale_id").isNull(), "no id")
+        .when(F.col("sale_date").isNull(), "no date")
+        .when(F.col("product_id").isNull(), "no product")
+        .when(F.col("unit_price").isNull(), "no price")
+        .when(whole_quantity(F.col("quantity")).isNull(), "no whole quantity")
+    )
+    return lines.withColumn(REJECT, reason)
+
+
 def sales_from_lines(orders: DataFrame) -> DataFrame:
-    """The lines that fit the sales table: a product, and a whole number of units."""
-    lines = order_lines(orders).withColumn("quantity", whole_quantity(F.col("quantity")))
-    fitting = lines.filter(F.col("quantity").isNotNull() & F.col("product_id").isNotNull())
+    """The lines that fit the sales table; `rejected_lines` has the others."""
+    fitting = judged_lines(orders).filter(F.col(REJECT).isNull()).drop(REJECT)
+    fitting = fitting.withColumn("quantity", whole_quantity(F.col("quantity")))
     return fitting.withColumn("net_amount", net_amount(F.col("quantity"), F.col("unit_price"), F.col("discount")))
 
 
+def rejected_lines(orders: DataFrame) -> DataFrame:
+    return judged_lines(orders).filter(F.col(REJECT).isNotNull())
+
+
+def judged_stock(stocks: DataFrame) -> DataFrame:
+    """Stock rows with the reason why they do not fit the inventory table, or null."""
+    on_hand = F.col("quantity_on_hand")
+    reason = F.when(F.col("product_id").isNull(), "no product").when(on_hand != F.floor(on_hand), "no whole quantity")
+    return stock_rows(stocks).withColumn(REJECT, reason)
+
+
+def inventory_from_stock(stocks: DataFrame) -> DataFrame:
+    fitting = judged_stock(stocks).filter(F.col(REJECT).isNull()).drop(REJECT)
+    return fitting.withColumn("quantity_on_hand", F.col("quantity_on_hand").cast("int"))
+
+
+def rejected_stock(stocks: DataFrame) -> DataFrame:
+    return judged_stock(stocks).filter(F.col(REJECT).isNotNull())
+
+
+def metrics(landed: dict[str, DataFrame]) -> DataFrame:
+    """(entity, metric, n): rows in, rows kept, and rows of each reason; in = kept + all reasons."""
+    judged = {
+        "orders": judged_lines,
+        "item_stocks": judged_stock,
+        "items": lambda d: catalog_rows(d).withColumn(REJECT, F.lit(None).cast("string")),
+        "payments": lambda d: payment_rows(d).withColumn(REJECT, F.lit(None).cast("string")),
+        "refunds": lambda d: refund_rows(d).withColumn(REJECT, F.lit(None).cast("string")),
+    }
+    counted = []
+    for entity, docs in landed.items():
+        by_reason = judged[entity](docs).groupBy(REJECT).agg(F.count(F.lit(1)).alias("n"))
+        # A handful of rows per entity: each counts towards the rows in, and towards its own reason or the rows kept.
+        names = F.array(F.lit("rows_in"), F.coalesce(F.col(REJECT), F.lit("rows_kept")))
+        rows = by_reason.select(F.explode(names).alias("metric"), "n").groupBy("metric").agg(F.sum("n").alias("n"))
+        counted.append(rows.select(F.lit(entity).alias("entity"), "metric", "n"))
+    return union_all(counted)
+
+
 def catalog_rows(items: DataFrame) -> DataFrame:
     """One row per item and store. Format and condition are not in the feed and stay blank."""
     artist, title = split_name(F.col("name"))

@@ -53,6 +53,10 @@ def transfer_unique_rows(t: Tables, by: str = "title") -> DataFrame:
     return first_per_key(rows, keys, best_first)
 
 
+def _unique(t: Tables, by: str = "title") -> DataFrame:
+    return A.made_once(t, f"unique-transfers-{by}", lambda t: transfer_unique_rows(t, by))
+
+
 def _best_first() -> list[Column]:
     return [
         F.col("est_90d_revenue_at_dest").desc_nulls_last(),
@@ -64,19 +68,19 @@ def _best_first() -> list[Column]:
 
 
 def transfer_unique(t: Tables, by: str = "title") -> DataFrame:
-    return transfer_unique_rows(t, by).orderBy(*_best_first()).select(*A.TRANSFER_COLUMNS)
+    return _unique(t, by).orderBy(*_best_first()).select(*A.TRANSFER_COLUMNS)
 
 
 def transfer_top(t: Tables, limit: int = 10) -> DataFrame:
     """The most valuable unique opportunities, labelled for a chart."""
     label = F.concat_ws(" — ", "artist", "title").alias("label")
-    top = transfer_unique_rows(t).orderBy(*_best_first()).limit(limit)
+    top = _unique(t).orderBy(*_best_first()).limit(limit)
     return top.select("to_location", label, "est_90d_revenue_at_dest")
 
 
 def transfer_total(t: Tables) -> DataFrame:
     """Revenue that moving stock could recover, every opportunity counted once."""
-    return transfer_unique_rows(t).agg(
+    return _unique(t).agg(
         F.count(F.lit(1)).alias("n_opportunities"), F.sum("est_90d_revenue_at_dest").alias("est_revenue")
     )
 

@@ -45,3 +45,18 @@ KPIS: dict[str, Callable[[Tables], DataFrame]] = {
 }
 
 RESULTS = {**ANALYSES, **KPIS}
+
+# Results that add up the sales cube.
+CUBED = {
+    "revenue_by_genre",
+    "genre_by_location",
+    "margin_by_condition",
+    "margin_by_format_condition",
+    "margin_by_genre",
+    "revenue_by_format",
+    "kpi_totals",
+    "genre_revenue_ascending",
+    "margin_by_format_display",
+    "genre_share_by_location",
+    "condition_share",
+}

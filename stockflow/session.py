@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -34,7 +35,8 @@ def work_dir(spark: SparkSession) -> str:
     app = spark.sparkContext.applicationId
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
-        if not spark.sparkContext.master.startswith("local"):
+        # "local-cluster[...]" has executors of its own, which do not see this process's folder.
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
             raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
         if app not in _local_dirs:
             _local_dirs[app] = tempfile.mkdtemp(prefix="stockflow-")

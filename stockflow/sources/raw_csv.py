@@ -7,30 +7,42 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+# The texts that pandas reads as missing by default.
+NULL_WORDS = (
+    "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a",
+    "nan", "null",
+)
+CORRUPT = "corrupt_line"
+
+
 def read_raw_csv(
     spark: SparkSession,
     path: str,
     schema: T.StructType,
     null_words: tuple[str, ...] = (),
     multi_line: bool = False,
+    corrupt: bool = False,
 ) -> DataFrame:
     """An export as strings; empty fields are null, and so are `null_words`.
 
     A header that differs from the schema stops the read, so that no column is taken for another.
     `multi_line` admits line breaks inside quotes. It is off by default, because a file read that
-    way cannot be split between tasks.
+    way cannot be split between tasks. With `corrupt`, a column holds the text of each row that has
+    more or fewer fields than the header; those rows are otherwise read as far as they go.
     """
+    kind = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())]) if corrupt else schema
     raw = (
-        spark.read.schema(schema)
+        spark.read.schema(kind)
         .option("header", True)
         .option("enforceSchema", False)
         .option("escape", '"')
         .option("multiLine", multi_line)
+        .option("columnNameOfCorruptRecord", CORRUPT)
         .csv(path)
     )
     if not null_words:
         return raw
-    return raw.select(*[F.when(~F.col(c).isin(*null_words), F.col(c)).alias(c) for c in raw.columns])
+    return raw.select(*[F.when(~F.col(c).isin(*null_words), F.col(c)).alias(c) if c != CORRUPT else F.col(c) for c in raw.columns])
 
 
 def write_raw_csv(df: DataFrame, path: str) -> None:

@@ -11,8 +11,8 @@ row groups outside a filter's range are skipped by their minimum and maximum.
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import cached_property
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,10 +20,6 @@ from pyspark.sql import types as T
 from .. import schema
 from ..functions.dates import month
 
-# What any executor can hold as a hash table: rows, and bytes of text in them.
-BROADCAST_ROWS = 500_000
-BROADCAST_TEXT_BYTES = 128 * 1024 * 1024
-
 PARTITIONED_BY = {"products": None, "sales": "sale_month", "inventory": "snapshot_date"}
 
 
@@ -32,26 +28,13 @@ class Tables:
     products: DataFrame
     sales: DataFrame
     inventory: DataFrame
-    broadcast_rows: int = BROADCAST_ROWS
     # Sales summed by store, genre, format and condition, when a suite has made them beforehand.
     cube: DataFrame | None = None
-
-    @cached_property
-    def products_fit(self) -> bool:
-        """Whether the product table is small enough to broadcast, by its counted rows and bytes.
-
-        The row count comes from the file footers, so a large catalogue is not read for this.
-        """
-        if self.products.count() > self.broadcast_rows:
-            return False
-        text = [f.name for f in self.products.schema.fields if isinstance(f.dataType, T.StringType)]
-        size = sum((F.coalesce(F.octet_length(c), F.lit(0)).cast("bigint") for c in text), F.lit(0).cast("bigint"))
-        return (self.products.agg(F.sum(size)).first()[0] or 0) <= BROADCAST_TEXT_BYTES
-
-    def product_columns(self, *columns: str) -> DataFrame:
-        """Product attributes for joining, broadcast only when counted and found small."""
-        picked = self.products.select("product_id", *columns)
-        return F.broadcast(picked) if self.products_fit else picked
+    # One row per partition: the snapshot dates of inventory and the months of sales, where they are listed.
+    snapshots: DataFrame | None = None
+    months: DataFrame | None = None
+    # What several results of a suite start from, by name.
+    made: dict[str, DataFrame] | None = None
 
 
 def layout(df: DataFrame, name: str) -> DataFrame:
@@ -72,10 +55,19 @@ def layout(df: DataFrame, name: str) -> DataFrame:
 def write_table(df: DataFrame, root: str, name: str) -> None:
     """Replace a table: drop, recreate, append in one overwrite."""
     column = PARTITIONED_BY[name]
-    writer = layout(df, name).write.mode("overwrite")
+    arranged = layout(df, name)
+    writer = arranged.write.mode("overwrite")
     if column:
         writer = writer.partitionBy(column)
     writer.parquet(f"{root}/{name}")
+    if column:
+        written = df.sparkSession.read.schema(arranged.schema).parquet(f"{root}/{name}")
+        _list_partitions(written, root, name, "overwrite")
+
+
+def _list_partitions(rows: DataFrame, root: str, name: str, mode: str) -> None:
+    """A row per partition value beside the table, so that the newest is found without opening the files of all."""
+    rows.select(PARTITIONED_BY[name]).distinct().write.mode(mode).parquet(f"{root}/partitions/{name}")
 
 
 def write_snapshots(df: DataFrame, root: str) -> None:
@@ -87,6 +79,7 @@ def write_snapshots(df: DataFrame, root: str) -> None:
         .partitionBy("snapshot_date")
         .parquet(f"{root}/inventory")
     )
+    _list_partitions(df, root, "inventory", "append")
 
 
 def table_schema(name: str, id_type: T.DataType) -> T.StructType:
@@ -100,8 +93,19 @@ def read_table(spark: SparkSession, root: str, name: str, id_type: T.DataType =
     return spark.read.schema(table_schema(name, id_type)).parquet(f"{root}/{name}")
 
 
+def _listed(spark: SparkSession, root: str, name: str, kind: str) -> DataFrame | None:
+    try:
+        return spark.read.schema(f"{PARTITIONED_BY[name]} {kind}").parquet(f"{root}/partitions/{name}")
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None  # written by something else: the newest partition is then looked for in the table
+
+
 def read_tables(spark: SparkSession, root: str, id_type: T.DataType = T.StringType()) -> Tables:
-    return Tables(*[read_table(spark, root, name, id_type) for name in PARTITIONED_BY])
+    tables = [read_table(spark, root, name, id_type) for name in PARTITIONED_BY]
+    lists = {"snapshots": _listed(spark, root, "inventory", "date"), "months": _listed(spark, root, "sales", "string")}
+    return Tables(*tables, **lists)
 
 
 def row_counts(t: Tables) -> DataFrame:

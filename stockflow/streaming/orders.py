@@ -1,16 +1,19 @@
-"""Landed orders to sales lines, as a stream of newly landed files."""
+"""Landed orders to sales lines, as a stream of newly landed files.
 
-from __future__ import annotations
+The sink holds versions of lines: a line that is pulled again unchanged is not written again, and one that is pulled
+again with other values is written as a new version. The version of the newest pull counts.
+"""
 
-from functools import reduce
+from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from .. import schema
 from ..functions.dates import month
+from ..operators.dedupe import first_per_key
 from ..plans.feed import order_lines
 from ..sources.landed_json import stream_landed
 
@@ -25,19 +28,49 @@ LINES = T.StructType(
         T.StructField("discount", schema.MONEY),
     ]
 )
-LANDED_LINES = T.StructType(
-    LINES.fields + [T.StructField("sale_month", T.StringType()), T.StructField("batch_id", T.LongType())]
+VERSIONS = T.StructType(
+    LINES.fields
+    + [
+        T.StructField("pull_date", T.DateType()),
+        T.StructField("values", T.LongType()),
+        T.StructField("sale_month", T.StringType()),
+        T.StructField("batch_id", T.LongType()),
+    ]
 )
+# The partition of lines without a date.
+NO_DATE = "no-date"
+
+
+def read_versions(spark: SparkSession, sink: str) -> DataFrame:
+    """All versions of all lines; `sale_month` and `batch_id` are partition columns."""
+    return spark.read.schema(VERSIONS).parquet(f"{sink}/lines")
+
+
+def newest_first() -> list[Column]:
+    """Of a line's versions, the newest pull first; the other columns settle ties."""
+    return [-F.unix_date("pull_date"), -F.col("batch_id")]
 
 
-def read_lines(spark: SparkSession, sink: str) -> DataFrame:
-    """The landed lines; `sale_month` and `batch_id` are partition columns."""
-    return spark.read.schema(LANDED_LINES).parquet(f"{sink}/lines")
+def read_lines(spark: SparkSession, sink: str, months: list[str] | None = None) -> DataFrame:
+    """The newest version of every line, or of those in some months. A line without an id is told by its values."""
+    versions = read_versions(spark, sink)
+    if months is not None:
+        versions = versions.filter(F.col("sale_month").isin(months))
+    key = F.coalesce("sale_id", F.concat(F.lit("#"), F.col("values").cast("string")))
+    newest = first_per_key(versions.withColumn("line", key), ["line"], newest_first())
+    return newest.select(*VERSIONS.names)
 
 
-def _write_lines(lines: DataFrame, sink: str) -> None:
+def superseded_lines(spark: SparkSession, sink: str) -> DataFrame:
+    """The versions that a newer pull replaced."""
+    versions, newest = read_versions(spark, sink), read_lines(spark, sink)
+    same = versions["sale_id"].eqNullSafe(newest["sale_id"]) & (versions["values"] == newest["values"])
+    return versions.join(newest, same, "left_anti")
+
+
+def _write_versions(lines: DataFrame, sink: str) -> None:
     (
-        lines.select(*LANDED_LINES.names)
+        lines.select(*VERSIONS.names)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("sale_month", "batch_id")
@@ -45,39 +78,57 @@ def _write_lines(lines: DataFrame, sink: str) -> None:
     )
 
 
-def append_new_lines(batch: DataFrame, batch_id: int, sink: str) -> None:
-    """Add the batch's lines that no earlier batch brought.
+def batch_versions(batch: DataFrame, batch_id: int) -> DataFrame:
+    """The batch's lines, the newest version of each, with a hash of their values."""
+    lines = order_lines(batch, "pull_date")
+    lines = lines.withColumn("values", F.xxhash64(*LINES.names)).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+    lines = lines.withColumn("sale_month", F.coalesce(month(F.col("sale_date")), F.lit(NO_DATE)))
+    key = F.coalesce("sale_id", F.concat(F.lit("#"), F.col("values").cast("string")))
+    return first_per_key(lines.withColumn("line", key), ["line"], newest_first()).drop("line")
+
+
+def append_new_lines(batch: DataFrame, batch_id: int, sink: str) -> list[str]:
+    """Add the batch's lines that no earlier batch brought with the same values or from a newer pull; gives the months it touched.
 
-    Copies inside the batch collapse before the shuffle. Copies of earlier lines are found in the
-    sink, in the months the batch touches only, so a line pulled again at any later time is still
-    recognised and no state has to be kept. A batch that runs again replaces its own output.
+    Versions inside the batch collapse before the shuffle. Earlier versions are looked up in the months
+    that the batch touches, by four narrow columns. A batch that runs again replaces its own output.
     """
     spark = batch.sparkSession
     # A stream plans without adaptive execution; this batch wants it for peak months and small files.
     spark.conf.set("spark.sql.adaptive.enabled", True)
-    lines = order_lines(batch).dropDuplicates().withColumn("sale_month", month(F.col("sale_date"))).persist()
-    oldest, newest = (lines.agg(f("sale_month")).scalar() for f in (F.min, F.max))
-    earlier = read_lines(spark, sink).filter(
-        (F.col("batch_id") != batch_id) & F.col("sale_month").between(oldest, newest)
-    )
-    same = reduce(lambda a, b: a & b, [lines[c].eqNullSafe(earlier[c]) for c in LINES.names])
-    fresh = lines.join(earlier, same, "left_anti").withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-    _write_lines(fresh.hint("rebalance", "sale_month"), sink)
-    lines.unpersist()
+    lines = batch_versions(batch, batch_id).persist()
+    try:
+        # A row per month: the list bounds what is read of the sink.
+        months = sorted(r.sale_month for r in lines.select("sale_month").distinct().collect())
+        earlier = read_versions(spark, sink).filter((F.col("batch_id") < batch_id) & F.col("sale_month").isin(months))
+        earlier = earlier.groupBy("sale_month", "sale_id").agg(
+            F.max("pull_date").alias("known_pull"),
+            F.max_by("values", F.struct("pull_date", "batch_id")).alias("known_values"),
+        )
+        same = (lines["sale_month"] == earlier["sale_month"]) & lines["sale_id"].eqNullSafe(earlier["sale_id"])
+        stale = (F.col("known_values") == F.col("values")) | (F.col("known_pull") > F.col("pull_date"))
+        fresh = lines.join(earlier, same & stale, "left_anti")
+        _write_versions(fresh.hint("rebalance", "sale_month"), sink)
+    finally:
+        lines.unpersist()
+    return months
 
 
-def ingest_orders(
-    spark: SparkSession, landed_root: str, sink: str, files_per_batch: int | None = None
-) -> StreamingQuery:
-    """Start the ingest; it stops by itself once every landed file has been taken in.
+def start(spark: SparkSession, landed_root: str, sink: str, handle, files_per_batch: int | None = None) -> StreamingQuery:
+    """A stream of landed orders through `handle(batch, batch_id)`; it stops once every landed file has been taken in.
 
     The sink keeps the checkpoint, so a restart goes on where the last run ended.
     """
-    _write_lines(spark.createDataFrame([], LANDED_LINES), sink)
+    _write_versions(spark.createDataFrame([], VERSIONS), sink)
     return (
         stream_landed(spark, landed_root, "orders", files_per_batch)
-        .writeStream.foreachBatch(lambda batch, batch_id: append_new_lines(batch, batch_id, sink))
+        .writeStream.foreachBatch(handle)
         .option("checkpointLocation", f"{sink}/checkpoint")
         .trigger(availableNow=True)
         .start()
     )
+
+
+def ingest_orders(spark: SparkSession, landed_root: str, sink: str, files_per_batch: int | None = None) -> StreamingQuery:
+    """Start the ingest of lines."""
+    return start(spark, landed_root, sink, lambda batch, batch_id: append_new_lines(batch, batch_id, sink), files_per_batch)

@@ -17,7 +17,7 @@ PRODUCTS = """products AS (
     FROM part)"""
 
 SALES = """sales AS (
-    SELECT concat_ws('-', l_orderkey, l_partkey, l_suppkey, l_linenumber) AS sale_id, l_orderkey AS k,
+    SELECT concat_ws('-', l_orderkey, l_partkey, l_suppkey, l_linenumber, CAST(l_quantity AS BIGINT)) AS sale_id, l_orderkey AS k,
         CAST(o_orderdate AS DATE) AS sale_date, r_name AS location, product_id,
         CAST(l_quantity AS BIGINT) AS quantity, price AS unit_price,
         CAST(CASE l_orderkey % 20 WHEN 0 THEN 5 WHEN 1 THEN 2 WHEN 2 THEN 2 ELSE 0 END AS DECIMAL(12,2)) AS discount,
@@ -495,7 +495,14 @@ lines AS (
         CASE WHEN k % 211 <> 0 THEN CAST(product_id AS VARCHAR) END AS product_id,
         q + CASE WHEN k % 113 = 0 THEN 0.5 ELSE 0 END AS quantity, unit_price, discount, k
     FROM pieces)"""
+PULLED = f"""pulled AS (
+    SELECT l.*, pull FROM lines l, (VALUES (DATE '{FIRST_PULL}'), (DATE '{SECOND_PULL}')) AS p(pull)
+    WHERE pull = DATE '{FIRST_PULL}' OR k % 31 = 0),
+judged AS (
+    SELECT *, CASE WHEN product_id IS NULL THEN 'no product' WHEN k % 113 = 0 THEN 'no whole quantity' END AS reject_reason
+    FROM pulled)"""
 L = [*S, LINES]
+LP = [*L, PULLED]
 LINE_COLUMNS = f"sale_id, sale_date, location, product_id, {_dbl('quantity')}, {_dbl('unit_price')}, {_dbl('discount')}"
 
 CATALOG = """catalog AS (
@@ -535,14 +542,27 @@ FEED = {
             (VALUES (DATE '{FIRST_PULL}'), (DATE '{SECOND_PULL}')) AS p(pull)
         WHERE (kind = 'full' OR k % 50 = 0) AND (pull = DATE '{FIRST_PULL}' OR k % 31 = 0)""",
     ),
-    "json_order_lines": _sql(L, f"SELECT {LINE_COLUMNS} FROM lines"),
-    "json_line_discount": _sql(L, "SELECT sale_id, CAST(discount * 100 AS BIGINT) AS discount_cents FROM lines"),
-    "json_weighed_lines": _sql(L, f"SELECT {LINE_COLUMNS} FROM lines WHERE k % 113 = 0"),
+    "json_order_lines": _sql(LP, f"SELECT {LINE_COLUMNS} FROM pulled"),
+    "json_line_discount": _sql(LP, "SELECT sale_id, CAST(discount * 100 AS BIGINT) AS discount_cents FROM pulled"),
+    "json_weighed_lines": _sql(LP, f"SELECT {LINE_COLUMNS} FROM pulled WHERE k % 113 = 0"),
+    "quarantine_documents": _sql(LP, f"SELECT {LINE_COLUMNS}, reject_reason FROM judged WHERE reject_reason IS NOT NULL"),
+    "feed_metrics": _sql(
+        [*LP, CATALOG, PAID, INVENTORY, STOCKS],
+        """SELECT 'orders' AS entity, 'rows_in' AS metric, count(*) AS n FROM judged
+        UNION ALL SELECT 'orders', 'rows_kept', count(*) FROM judged WHERE reject_reason IS NULL
+        UNION ALL SELECT 'orders', reject_reason, count(*) FROM judged WHERE reject_reason IS NOT NULL GROUP BY ALL
+        UNION ALL SELECT 'item_stocks', 'rows_in', count(*) FROM stocks
+        UNION ALL SELECT 'item_stocks', 'rows_kept', count(*) FROM stocks WHERE product_id IS NOT NULL
+        UNION ALL SELECT 'item_stocks', 'no product', count(*) FROM stocks WHERE product_id IS NULL GROUP BY ALL
+        UNION ALL SELECT 'items', unnest(['rows_in', 'rows_kept']), count(*) FROM catalog
+        UNION ALL SELECT 'payments', unnest(['rows_in', 'rows_kept']), count(*) FROM paid
+        UNION ALL SELECT 'refunds', unnest(['rows_in', 'rows_kept']), count(*) FROM paid WHERE k % 7 = 0""",
+    ),
     "json_sales": _sql(
-        L,
+        LP,
         f"""SELECT sale_id, sale_date, location, product_id, CAST(quantity AS BIGINT) AS quantity, {_dbl('unit_price')},
             {_dbl('discount')}, {_dbl('quantity * (unit_price - discount)', 'net_amount')}
-        FROM lines WHERE k % 113 <> 0 AND product_id IS NOT NULL""",
+        FROM judged WHERE reject_reason IS NULL""",
     ),
     "split_artist_title": _sql([PRODUCTS, CATALOG], "SELECT product_id, location, artist, title FROM catalog"),
     "json_products": _sql([PRODUCTS, CATALOG], "SELECT * FROM catalog"),
@@ -572,22 +592,21 @@ FEED = {
     ),
     "json_inventory": _sql([INVENTORY, STOCKS], "SELECT * FROM stocks"),
     "union_stores": _sql(
-        [*L, CATALOG, PAID, INVENTORY, STOCKS],
-        f"""SELECT 'catalog' AS entity, location, count(*) AS n_rows FROM catalog GROUP BY location
-        UNION ALL SELECT 'orders', location, count(*) FROM lines GROUP BY location
+        [*LP, CATALOG, PAID, INVENTORY, STOCKS],
+        """SELECT 'catalog' AS entity, location, count(*) AS n_rows FROM catalog GROUP BY location
+        UNION ALL SELECT 'orders', location, count(*) FROM pulled GROUP BY location
         UNION ALL SELECT 'payments', location, count(*) FROM paid GROUP BY location
         UNION ALL SELECT 'refunds', location, count(*) FROM paid WHERE k % 7 = 0 GROUP BY location
-        UNION ALL SELECT 'item_stocks', location, count(*) FROM stocks WHERE snapshot_date = DATE '{FIRST_PULL}'
-            GROUP BY location""",
+        UNION ALL SELECT 'item_stocks', location, count(*) FROM stocks GROUP BY location""",
     ),
     "month_windows": _sql(
-        [*S, """bounds AS (SELECT min(sale_date) + 10 AS since, max(sale_date) - 10 AS today FROM sales)"""],
+        [*S, """bounds AS (SELECT min(sale_date) AS since, max(sale_date) AS today FROM sales)"""],
         """SELECT CAST(date_trunc('month', sale_date) AS DATE) AS month_start,
             CAST(epoch_ms(CAST(greatest(any_value(since), CAST(date_trunc('month', sale_date) AS DATE)) AS TIMESTAMP))
                 AS BIGINT) AS start_ms,
             CAST(epoch_ms(CAST(least(CAST(date_trunc('month', sale_date) + INTERVAL 1 MONTH AS DATE), any_value(today) + 1)
                 AS TIMESTAMP)) AS BIGINT) AS end_ms,
-            count(*) + count(*) FILTER (k % 50 = 0) AS n_orders
+            count(*) + count(*) FILTER (k % 50 = 0) + count(*) FILTER (k % 31 = 0) + count(*) FILTER (k % 31 = 0 AND k % 50 = 0) AS n_orders
         FROM sales, bounds WHERE sale_date >= since AND sale_date <= today GROUP BY date_trunc('month', sale_date)""",
     ),
     "snapshot_append": _sql(
@@ -609,4 +628,24 @@ STREAMS = {
     ),
 }
 
-ORACLES = {**ANALYSES, **KPIS, **CLEANING, **FEED, **STREAMS}
+
+
+def _positions(name: str, label: str, order: str, limit: str = "") -> str:
+    return f"""SELECT * FROM (SELECT '{name}' AS result, row_number() OVER (ORDER BY {order}) AS position, {label} AS label
+        FROM ({ {**ANALYSES, **KPIS}[name] }) AS r) {limit}"""
+
+
+_ORDERS = {
+    "genre_revenue_ascending": ("genre", "revenue, genre"),
+    "revenue_by_genre": ("genre", "revenue DESC, genre"),
+    "monthly_revenue": ("month", "month"),
+    "margin_by_genre": ("genre", "gross_profit DESC, genre"),
+    "sell_through_by_genre": ("genre", "sell_through_pct DESC NULLS LAST, genre"),
+}
+SUITE = {
+    "suite_export": ANALYSES["margin_by_format_condition"],
+    "suite_preview": " UNION ALL ".join(_positions(n, *_ORDERS[n], "WHERE position <= 3") for n in ("monthly_revenue", "revenue_by_genre")),
+    "reporting_order": " UNION ALL ".join(_positions(n, *o) for n, o in _ORDERS.items()),
+}
+
+ORACLES = {**ANALYSES, **KPIS, **CLEANING, **FEED, **STREAMS, **SUITE}

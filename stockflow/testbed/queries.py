@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -16,6 +16,7 @@ from ..operators import integrity
 from ..operators.dedupe import drop_copies
 from ..operators.impute import fill_with_median
 from ..plans import cleaning, feed
+from ..plans.jobs import write_suite
 from ..plans.suite import RESULTS
 from ..session import new_path
 from ..sources.clean_csv import read_clean_csv, write_clean_csv
@@ -23,7 +24,7 @@ from ..sources.landed_json import read_landed
 from ..sources.raw_csv import read_raw_csv
 from ..sources.tables import row_counts, write_snapshots
 from ..streaming.orders import LINES, ingest_orders, read_lines
-from ..streaming.revenue import keep_daily_revenue, monthly_from_daily
+from ..streaming.revenue import keep_daily_revenue, monthly_from_daily, read_days
 from . import land
 from .nested import FIRST_PULL, SECOND_PULL, STORES
 
@@ -54,6 +55,38 @@ def load_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return row_counts(land.tables(spark, sf_dir))
 
 
+EXPORTED = "margin_by_format_condition"
+
+
+def suite_export(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A result out as CSV, and back through a reader that knows doubled quotes only."""
+    t, path = land.tables(spark, sf_dir), new_path(spark, "export")
+    kind = write_suite(t, path, [EXPORTED], "csv")[EXPORTED].schema
+    back = spark.read.schema(kind).option("header", True).option("quote", '"').option("escape", '"')
+    return plain(back.option("mode", "FAILFAST").csv(f"{path}/{EXPORTED}"))
+
+
+def _numbered(name: str, label: str, rows: DataFrame) -> DataFrame:
+    """The position at which each row of an ordered result comes."""
+    placed = rows.select(F.col(label).alias("label"), F.monotonically_increasing_id().alias("id"))
+    position = F.row_number().over(Window.orderBy("id"))
+    return placed.select(F.lit(name).alias("result"), position.cast("bigint").alias("position"), "label")
+
+
+def reporting_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The order of rows in some results, as whoever reads them from the first to the last sees it."""
+    t = land.tables(spark, sf_dir)
+    ordered = {"genre_revenue_ascending": "genre", "revenue_by_genre": "genre", "monthly_revenue": "month", "margin_by_genre": "genre", "sell_through_by_genre": "genre"}
+    return integrity.union_all([_numbered(name, label, RESULTS[name](t)) for name, label in ordered.items()])
+
+
+def suite_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first rows that the suite shows of a result, with their position."""
+    t, path = land.tables(spark, sf_dir), new_path(spark, "preview")
+    shown = write_suite(t, path, ["monthly_revenue", "revenue_by_genre"], preview=3)
+    return integrity.union_all([_numbered("monthly_revenue", "month", shown["monthly_revenue"]), _numbered("revenue_by_genre", "genre", shown["revenue_by_genre"])])
+
+
 def scan_clean_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The clean sales out to CSV and back."""
     path, kind = new_path(spark, "clean-csv"), schema.sales(land.ID)
@@ -166,8 +199,8 @@ def docs(spark: SparkSession, sf_dir: str, entity: str, pull: str | None = None)
     return landed if pull is None else landed.filter(F.col("pull_date") == F.lit(pull).cast("date"))
 
 
-def _first_pull(entity: str, flatten: Callable[[DataFrame], DataFrame]) -> Query:
-    return lambda spark, sf_dir: plain(flatten(docs(spark, sf_dir, entity, FIRST_PULL)))
+def _flat(entity: str, flatten: Callable[[DataFrame], DataFrame]) -> Query:
+    return lambda spark, sf_dir: plain(flatten(docs(spark, sf_dir, entity)))
 
 
 def json_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -198,11 +231,11 @@ def json_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
 def union_stores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows of every store and entity, all stores read at once."""
     flatten = {
-        "catalog": feed.catalog_rows(docs(spark, sf_dir, "items", FIRST_PULL)),
-        "orders": feed.order_lines(docs(spark, sf_dir, "orders", FIRST_PULL)),
-        "payments": feed.payment_rows(docs(spark, sf_dir, "payments", FIRST_PULL)),
-        "refunds": feed.refund_rows(docs(spark, sf_dir, "refunds", FIRST_PULL)),
-        "item_stocks": feed.stock_rows(docs(spark, sf_dir, "item_stocks", FIRST_PULL)),
+        "catalog": feed.catalog_rows(docs(spark, sf_dir, "items")),
+        "orders": feed.order_lines(docs(spark, sf_dir, "orders")),
+        "payments": feed.payment_rows(docs(spark, sf_dir, "payments")),
+        "refunds": feed.refund_rows(docs(spark, sf_dir, "refunds")),
+        "item_stocks": feed.stock_rows(docs(spark, sf_dir, "item_stocks")),
     }
     counted = [
         rows.groupBy("location").agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(e).alias("entity"), "location", "n_rows")
@@ -211,12 +244,15 @@ def union_stores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return integrity.union_all(counted)
 
 
+def feed_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows in, kept and quarantined by reason, of every entity."""
+    return feed.metrics({entity: docs(spark, sf_dir, entity) for entity in schema.LANDED})
+
+
 def month_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders per monthly window, from ten days after the first sale to ten days before the last."""
-    orders = docs(spark, sf_dir, "orders", FIRST_PULL).select("createdTime")
-    bounds = land.tables(spark, sf_dir).sales.agg(
-        F.date_add(F.min("sale_date"), 10).alias("since"), F.date_sub(F.max("sale_date"), 10).alias("today")
-    )
+    """Orders per monthly window, from the first sale to the last."""
+    orders = docs(spark, sf_dir, "orders").select("createdTime")
+    bounds = land.tables(spark, sf_dir).sales.agg(F.min("sale_date").alias("since"), F.max("sale_date").alias("today"))
     windows = feed.month_windows(bounds)
     placed = feed.in_month_windows(orders, windows)
     return placed.groupBy("month_start", "start_ms", "end_ms").agg(F.count(F.lit(1)).alias("n_orders"))
@@ -247,13 +283,16 @@ def stream_sales_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_monthly_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sink = _ingested(spark, sf_dir)
-    keep_daily_revenue(spark, f"{sink}/lines", f"{sink}/revenue").awaitTermination()
-    return plain(monthly_from_daily(spark.read.parquet(f"{sink}/revenue/days")))
+    sink = new_path(spark, "revenue")
+    keep_daily_revenue(spark, land.documents(spark, sf_dir), sink).awaitTermination()
+    return plain(monthly_from_daily(read_days(spark, sink)))
 
 
 QUERIES: dict[str, Query] = {
     **{name: _result(name) for name in RESULTS},
+    "suite_export": suite_export,
+    "suite_preview": suite_preview,
+    "reporting_order": reporting_order,
     "load_row_counts": load_row_counts,
     "scan_clean_sales": scan_clean_sales,
     "scan_raw_products": _raw("products", lambda df: df),
@@ -285,15 +324,17 @@ QUERIES: dict[str, Query] = {
     "dq_null_counts": dq_null_counts,
     "dq_orphans": dq_orphans,
     "json_scan": json_scan,
-    "json_order_lines": _first_pull("orders", feed.order_lines),
-    "json_line_discount": _first_pull("orders", _line_discounts),
-    "json_weighed_lines": _first_pull("orders", _weighed),
-    "json_sales": _first_pull("orders", feed.sales_from_lines),
-    "split_artist_title": _first_pull("items", _names),
-    "json_products": _first_pull("items", feed.catalog_rows),
-    "first_per_product": _first_pull("items", lambda items: feed.products_from_items(items, STORES)),
-    "json_payments": _first_pull("payments", feed.payment_rows),
-    "json_refunds": _first_pull("refunds", feed.refund_rows),
+    "json_order_lines": _flat("orders", feed.order_lines),
+    "json_line_discount": _flat("orders", _line_discounts),
+    "json_weighed_lines": _flat("orders", _weighed),
+    "json_sales": _flat("orders", feed.sales_from_lines),
+    "quarantine_documents": _flat("orders", feed.rejected_lines),
+    "feed_metrics": feed_metrics,
+    "split_artist_title": _flat("items", _names),
+    "json_products": _flat("items", feed.catalog_rows),
+    "first_per_product": _flat("items", lambda items: feed.products_from_items(items, STORES)),
+    "json_payments": _flat("payments", feed.payment_rows),
+    "json_refunds": _flat("refunds", feed.refund_rows),
     "json_inventory": json_inventory,
     "union_stores": union_stores,
     "month_windows": month_windows,

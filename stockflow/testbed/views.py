@@ -59,7 +59,7 @@ def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
         .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
     )
     rows = joined.select(
-        F.concat_ws("-", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber").alias("sale_id"),
+        F.concat_ws("-", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", F.col("l_quantity").cast("bigint")).alias("sale_id"),
         "sale_date",
         "location",
         "product_id",

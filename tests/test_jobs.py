@@ -3,15 +3,19 @@
 import pytest
 from compare import spark_rows
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from stockflow import schema
+from stockflow.plans import analyses as A
 from stockflow.plans import cleaning
 from stockflow.plans.feed import products_from_items
-from stockflow.plans.jobs import clean_exports, flatten_pull, write_suite
+from stockflow.plans.jobs import clean_exports, flatten_pull, flattened_tables, write_suite
 from stockflow.plans.suite import RESULTS
 from stockflow.session import work_dir
-from stockflow.sources.raw_csv import read_raw_csv
+from stockflow.sources.raw_csv import NULL_WORDS, read_raw_csv
 from stockflow.sources.tables import read_table, row_counts, write_snapshots, write_table
+from stockflow.streaming.orders import read_lines
+from stockflow.streaming.revenue import read_days
 from stockflow.testbed import land
 from stockflow.testbed.nested import FIRST_PULL, STORES
 from stockflow.testbed.queries import QUERIES
@@ -89,9 +93,39 @@ def test_flatten_pull(spark, sf_dir, tmp_path):
     made = flatten_pull(spark, landed, root, FIRST_PULL, STORES)
     assert made == ["products", "sales", "inventory", "payments", "refunds"]
     back = spark.read.parquet(f"{root}/sales")
-    assert back.count() == QUERIES["json_order_lines"](spark, sf_dir).count()
     assert [str(r[0]) for r in back.select("pull_date").distinct().collect()] == [FIRST_PULL]
     assert spark.read.parquet(f"{root}/payments").count() == QUERIES["json_payments"](spark, sf_dir).count()
+    # Rows in are rows kept and rows rejected, for every entity.
+    counted = {}
+    for r in spark.read.parquet(f"{root}/feed_metrics").collect():
+        counted.setdefault(r.entity, {})[r.metric] = r.n
+    for entity, n in counted.items():
+        assert n["rows_in"] == sum(v for k, v in n.items() if k != "rows_in"), entity
+    assert back.count() == counted["orders"]["rows_kept"]
+    assert spark.read.parquet(f"{root}/quarantine/sales").count() == counted["orders"]["rows_in"] - back.count()
+    # The analyses run on what was flattened.
+    t = flattened_tables(spark, root, FIRST_PULL)
+    assert t.sales.agg(F.sum("net_amount")).first()[0] == A.monthly_revenue(t).agg(F.sum("revenue")).first()[0]
+    assert A.overstock(t).count() == 0 and A.revenue_by_location(t).count() == 5
+
+
+def test_broken_documents_and_rows_are_kept_apart(spark, tmp_path):
+    folder = tmp_path / "landed" / "refunds" / "pull_date=2001-09-01" / "location=s1"
+    folder.mkdir(parents=True)
+    (folder / "1.json").write_text('{"id": "r1", "amount": 100}\n{"id": "r2", "amo\n')
+    (tmp_path / "landed" / "payments" / "pull_date=2001-09-01" / "location=s1").mkdir(parents=True)
+    (tmp_path / "landed" / "payments" / "pull_date=2001-09-01" / "location=s1" / "1.json").write_text('{"id": "p1"}\n')
+    flatten_pull(spark, f"{tmp_path}/landed", f"{tmp_path}/out", FIRST_PULL, ["s1"], only="payments")
+    bad = spark.read.parquet(f"{tmp_path}/out/quarantine/refunds_documents").collect()
+    assert len(bad) == 1 and "r2" in bad[0].corrupt_line
+
+    raw = tmp_path / "raw"
+    raw.mkdir()
+    (raw / "a.csv").write_text('a,b\n1,"x\ny"\n2,NA\n3,z,more\n4,"say ""so"""\n')
+    kind = T.StructType([T.StructField(c, T.StringType()) for c in "ab"])
+    rows = {r.a: (r.b, r.corrupt_line) for r in read_raw_csv(spark, str(raw), kind, NULL_WORDS, multi_line=True, corrupt=True).collect()}
+    assert rows["1"] == ("x\ny", None) and rows["2"] == (None, None) and rows["4"] == ('say "so"', None)
+    assert rows["3"][1] is not None
 
 
 def test_first_store_wins_and_unlisted_stores_come_last(spark):
@@ -121,8 +155,7 @@ def test_command_line(spark, sf_dir, tmp_path, capsys):
     main(["analyse", f"{tmp_path}/clean", f"{tmp_path}/out", "--names", "margin_by_condition", "--preview", "2"])
     assert "margin_by_condition" in capsys.readouterr().out
     main(["ingest", land.documents(spark, sf_dir), f"{tmp_path}/sink"])
-    days = spark.read.parquet(f"{tmp_path}/sink/revenue/days")
-    lines = spark.read.parquet(f"{tmp_path}/sink/lines")
+    days, lines = read_days(spark, f"{tmp_path}/sink"), read_lines(spark, f"{tmp_path}/sink")
     assert days.count() == lines.select("sale_date").distinct().count()
 
 

@@ -4,9 +4,8 @@ import pytest
 from compare import oracle, oracle_rows, spark_rows
 
 import __spark_entry__ as driver
-
-QUERIES = driver.queries()
-ORACLES = driver.oracle_sql()
+from stockflow.testbed.oracle import ORACLES
+from stockflow.testbed.queries import QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -15,7 +14,8 @@ def con(sf_dir):
 
 
 def test_every_query_has_an_oracle():
-    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) == set(ORACLES) and set(QUERIES) <= set(driver.queries())
+    assert set(driver.oracle_sql()) <= set(driver.queries())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))

@@ -6,43 +6,42 @@ import pytest
 from compare import spark_rows
 from pyspark.sql import functions as F
 
-import __spark_entry__ as driver
 from stockflow.operators.integrity import flag_known, keep_known, keep_orphans
 from stockflow.plans import analyses as A
 from stockflow.plans.suite import RESULTS
-from stockflow.sources.tables import Tables, read_tables, write_table
+from stockflow.sources.tables import read_tables, write_table
 from stockflow.testbed import land
+from stockflow.testbed.queries import QUERIES
 
 
 def plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.fixture(scope="module")
-def large_catalogue(tables):
-    """The same tables, with the catalogue treated as too large to broadcast."""
-    return Tables(tables.products, tables.sales, tables.inventory, broadcast_rows=0)
-
-
-@pytest.mark.parametrize("name", sorted(RESULTS))
-def test_large_catalogue_gives_the_same_result(tables, large_catalogue, name):
-    assert spark_rows(RESULTS[name](large_catalogue)) == spark_rows(RESULTS[name](tables))
+@pytest.fixture()
+def no_broadcast(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    yield
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
 @pytest.mark.parametrize("name", sorted(RESULTS))
-def test_no_broadcast_is_needed(spark, large_catalogue, name):
+def test_no_broadcast_is_needed(spark, tables, name):
+    one = spark_rows(RESULTS[name](tables))
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
     try:
-        text = plan(RESULTS[name](large_catalogue))
+        result = RESULTS[name](tables)
+        text = plan(result)
+        assert "Broadcast" not in text and "Cartesian" not in text
+        assert spark_rows(result) == one
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert "Broadcast" not in text and "Cartesian" not in text
 
 
-def test_large_catalogue_sums_sales_before_the_join(large_catalogue):
-    text = plan(A.margin_by_genre(large_catalogue))
+def test_sales_are_summed_before_the_join(tables, no_broadcast):
+    text = plan(A.margin_by_genre(tables))
     join = text.index("Join [product_id")
-    assert "partial_sum(quantity" in text[join:], "sales are summed below the join"
+    assert "partial_sum(" in text[join:], "sales are summed below the join"
 
 
 @pytest.fixture(scope="module")
@@ -67,12 +66,11 @@ def skewed(spark, sf_dir, tmp_path_factory):
 
 
 @pytest.mark.parametrize("name", ["margin_by_genre", "genre_by_location", "top_products", "transfer_recommendations", "stockouts"])
-def test_skewed_sales_agree_on_both_paths(spark, skewed, name):
-    large = Tables(skewed.products, skewed.sales, skewed.inventory, broadcast_rows=0)
+def test_skewed_sales_agree_with_and_without_broadcast(spark, skewed, name):
     one = spark_rows(RESULTS[name](skewed))
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
     try:
-        assert spark_rows(RESULTS[name](large)) == one
+        assert spark_rows(RESULTS[name](skewed)) == one
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
@@ -84,14 +82,6 @@ def test_roll_ups_from_the_cube_are_the_same(tables):
     assert "sale_month" not in plan(A.margin_by_genre(from_cube))
 
 
-def test_wide_texts_are_not_broadcast(tables, monkeypatch):
-    from stockflow.sources import tables as module
-
-    monkeypatch.setattr(module, "BROADCAST_TEXT_BYTES", 100)
-    assert not Tables(tables.products, tables.sales, tables.inventory).products_fit
-    assert tables.products_fit
-
-
 def test_hot_product_is_one_row_per_task_after_the_partial_sum(skewed):
     per_product = skewed.sales.groupBy("product_id").agg(F.sum("quantity"))
     assert re.search(r"Exchange hashpartitioning\(product_id.*\n.*HashAggregate\(keys=\[product_id.*partial_sum", plan(per_product))
@@ -128,12 +118,12 @@ def test_a_hot_product_is_split_in_shuffled_lookups(spark, tables):
         spark.conf.set("spark.sql.shuffle.partitions", 4)
 
 
-NO_STREAM = sorted(n for n in driver.queries() if not n.startswith("stream"))
+NO_STREAM = sorted(n for n in QUERIES if not n.startswith("stream"))
 
 
 @pytest.mark.parametrize("name", NO_STREAM)
 def test_no_cross_join_and_no_python_in_any_plan(spark, sf_dir, name):
-    text = plan(driver.queries()[name](spark, sf_dir))
+    text = plan(QUERIES[name](spark, sf_dir))
     for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "Python", "Arrow"):
         assert bad not in text
 
@@ -153,3 +143,29 @@ def test_recent_sales_prune_months(tables):
 def test_monthly_revenue_reads_three_columns(tables):
     text = plan(A.monthly_revenue(tables))
     assert "ReadSchema: struct<sale_date:date,quantity:bigint,net_amount:decimal(18,2)>" in text
+
+
+NEWEST = ["dead_stock", "overstock", "stockouts", "aging_buckets", "transfer_recommendations", "sell_through_by_genre", "sell_through_by_location", "kpi_totals", "transfer_unique"]
+
+
+@pytest.mark.parametrize("name", NEWEST)
+def test_the_newest_snapshot_is_found_without_opening_the_others(tables, name, capsys):
+    RESULTS[name](tables).explain("formatted")
+    scans = [x for x in capsys.readouterr().out.split("\n\n") if "Scan parquet" in x.split("\n")[0]]
+    stock = [x for x in scans if re.search(r"Location: .*(?<!partitions)/inventory\]", x)]
+    assert stock and all("PartitionFilters" in x for x in stock)
+    assert any("/partitions/inventory" in x for x in scans)
+
+
+def test_only_a_local_master_may_do_without_a_shared_folder():
+    from types import SimpleNamespace
+
+    from stockflow.session import work_dir
+
+    def session(master):
+        return SimpleNamespace(conf={}, sparkContext=SimpleNamespace(applicationId="a", master=master))
+
+    for master in ("local-cluster[2,1,1024]", "spark://host:7077", "yarn"):
+        with pytest.raises(ValueError):
+            work_dir(session(master))
+    assert work_dir(session("local[4]")) and work_dir(session("local"))

@@ -3,12 +3,11 @@
 import json
 
 import pytest
-from pyspark.sql import functions as F
 
 from stockflow.plans.feed import order_lines
 from stockflow.sources.landed_json import read_corrupt, read_landed
-from stockflow.streaming.orders import LINES, ingest_orders, read_lines
-from stockflow.streaming.revenue import keep_daily_revenue, monthly_from_daily
+from stockflow.streaming.orders import LINES, ingest_orders, read_lines, read_versions, superseded_lines
+from stockflow.streaming.revenue import keep_daily_revenue, monthly_from_daily, read_days
 
 JULY = 1751587200000  # 2025-07-04
 DAY = 86_400_000
@@ -56,26 +55,55 @@ def test_copies_inside_and_across_batches_are_taken_once(spark, landed, tmp_path
     assert lines.select("batch_id").distinct().count() >= 2
 
 
-def test_a_restart_goes_on_and_a_late_copy_is_still_recognised(spark, landed, tmp_path):
+def test_a_restart_goes_on_and_the_newest_pull_wins(spark, landed, tmp_path):
     sink = f"{tmp_path}/sink"
     drain(spark, landed, sink)
-    # A later pull brings an old line again, one with another price, and an older new order.
+    # A later pull brings an old line with another price, one unchanged, and an older new order.
     changed = ("a", 900, 2000, {"id": "P1"})
-    land_docs(landed, "2026-08-01", "s1", "4.json", [order("o1", JULY, A, changed), order("o0", JULY - 300 * DAY, ("z", 1, 0, None))])
+    land_docs(landed, "2026-08-01", "s1", "4.json", [order("o1", JULY, changed, B), order("o0", JULY - 300 * DAY, ("z", 1, 0, None))])
     lines = drain(spark, landed, sink)
-    assert sorted(r.sale_id for r in lines.collect()) == ["a", "a", "b", "c", "z"]
-    assert drain(spark, landed, sink).count() == 5
+    assert sorted((r.sale_id, float(r.unit_price)) for r in lines.collect()) == [("a", 9.0), ("b", 5.0), ("c", 7.0), ("z", 0.01)]
+    assert [(r.sale_id, float(r.unit_price)) for r in superseded_lines(spark, sink).collect()] == [("a", 10.0)]
+    # An older pull that lands late changes nothing.
+    land_docs(landed, "2025-07-15", "s1", "5.json", [order("o1", JULY, ("a", 100, 2000, {"id": "P1"}))])
+    assert keys(drain(spark, landed, sink)) == keys(lines)
+
+
+def test_lines_without_a_date_are_taken_once(spark, tmp_path):
+    sink = f"{tmp_path}/sink"
+    for i, pull in enumerate(("2025-08-01", "2025-09-01", "2025-10-01")):
+        land_docs(tmp_path, pull, "s1", f"{i}.json", [order("o1", None, A), order("o2", JULY, B)])
+        assert keys(drain(spark, tmp_path, sink)) == keys(order_lines(read_landed(spark, str(tmp_path), "orders")).distinct())
+    assert read_versions(spark, sink).count() == 2
+
+
+def revenue(spark, sink):
+    return {r.month: (float(r.revenue), float(r.units)) for r in monthly_from_daily(read_days(spark, sink)).collect()}
 
 
 def test_daily_revenue_follows_the_lines(spark, landed, tmp_path):
     sink = f"{tmp_path}/sink"
-    lines = drain(spark, landed, sink)
-    keep_daily_revenue(spark, f"{sink}/lines", f"{sink}/revenue", files_per_batch=1).awaitTermination()
-    got = {r.month: (float(r.revenue), float(r.units)) for r in monthly_from_daily(spark.read.parquet(f"{sink}/revenue/days")).collect()}
-    assert got == {"2025-07": (25.0, 3.0), "2025-08": (10.5, 1.5)}
-    assert sum(v[0] for v in got.values()) == float(
-        lines.agg(F.sum(F.round(F.col("quantity") * F.col("unit_price"), 2))).first()[0]
-    )
+    keep_daily_revenue(spark, str(landed), sink, files_per_batch=1).awaitTermination()
+    assert revenue(spark, sink) == {"2025-07": (25.0, 3.0), "2025-08": (10.5, 1.5)}
+    land_docs(landed, "2026-08-01", "s1", "4.json", [order("o1", JULY, ("a", 900, 2000, {"id": "P1"}))])
+    keep_daily_revenue(spark, str(landed), sink, files_per_batch=1).awaitTermination()
+    assert revenue(spark, sink) == {"2025-07": (23.0, 3.0), "2025-08": (10.5, 1.5)}
+
+
+def test_a_batch_that_runs_again_counts_once(spark, landed, tmp_path):
+    """The batches are handled again, in order and the last one twice, as after a crash before the commit."""
+    from stockflow.streaming.orders import VERSIONS, _write_versions
+    from stockflow.streaming.revenue import DAYS, _refresh, _write_days
+
+    sink = f"{tmp_path}/sink"
+    _write_versions(spark.createDataFrame([], VERSIONS), sink)
+    _write_days(spark.createDataFrame([], DAYS), sink)
+    docs = read_landed(spark, str(landed), "orders")
+    first, second = docs.filter("location = 's1'"), docs.filter("location = 's2'")
+    for batch, batch_id in ((first, 0), (first, 0), (second, 1), (second, 1)):
+        _refresh(batch, batch_id, sink)
+        assert revenue(spark, sink)["2025-07"] == (25.0, 3.0)
+    assert revenue(spark, sink)["2025-08"] == (10.5, 1.5) and read_versions(spark, sink).count() == 3
 
 
 def test_line_schema(spark, landed):
