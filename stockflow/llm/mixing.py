@@ -7,7 +7,8 @@ the order of clamp per weight this is one running sum over the sources.
 Sampling: a document is taken as often as its source has whole epochs, and a seeded choice of documents once
 more, so that the source's words come near the target. The choice is made in passes: documents that still
 fit the gap are dealt into seeded bins, whole bins are taken while they fit, and the next pass looks at what
-then still fits. A pass sums one row per source and bin, so no source is gathered or sorted.
+then still fits; in the end one document that is too large is taken if that brings the source nearer to its target. A pass
+sums one row per source and bin, so no source is gathered or sorted.
 
 Defined results: size is the number of words (null text: 0); a null source is a source of its own, the last in order; sources
 and documents of size 0 have target and taken 0; rows repeated with their doc_id are chosen alike; an empty table gives an
@@ -63,11 +64,17 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float =
 
 
 def _extra(doc_id: Column, size: Column, seed: int, passes: int) -> Column:
-    """Whether one of the passes took the document, from its source's `gaps` and `cuts`."""
+    """Whether one of the first passes took the document, from its source's `gaps` and `cuts`."""
     taken = F.lit(False)
     for i in range(passes):
         taken = taken | ((size <= F.col("gaps")[i]) & (_bin(doc_id, seed, i) < F.col("cuts")[i]))
-    return taken
+    return taken & (size > 0)
+
+
+def _chosen(doc_id: Column, size: Column, seed: int, passes: int) -> Column:
+    """Whether the document is taken once more than its source's whole epochs."""
+    last = doc_id.eqNullSafe(F.col("last.doc_id")) & (size == F.col("last.size"))
+    return _extra(doc_id, size, seed, passes) | F.coalesce(last, F.lit(False))
 
 
 def plan(sized: DataFrame, weights=WEIGHTS, share: float = 1.5, most: float = 2.0, seed: int = 17, passes: int = PASSES) -> DataFrame:
@@ -98,13 +105,22 @@ def plan(sized: DataFrame, weights=WEIGHTS, share: float = 1.5, most: float = 2.
             ),
             "mix-targets",
         )
-    return state
+    known = state.select(F.col("source").alias("of"), "gaps", "cuts")
+    gap = F.col("gaps")[passes]
+    near = sized.join(known, F.col("source").eqNullSafe(F.col("of"))).where((F.col("size") > gap) & (F.col("size") < 2 * gap))
+    near = near.where(~_extra(F.col("doc_id"), F.col("size"), seed, passes))
+    # Rows that repeat a doc_id and size are chosen alike, so they count together.
+    whole = near.groupBy("of", gap.alias("gap"), "doc_id", "size").agg((F.count("*") * F.col("size")).alias("words")).where("words < 2 * gap")
+    best = F.min_by(F.struct("doc_id", "size"), F.struct("words", _bin(F.col("doc_id"), seed, passes).alias("bin"), "doc_id"))
+    last = whole.groupBy("of").agg(best.alias("last"))
+    joined = state.join(last, F.col("source").eqNullSafe(F.col("of")), "left").drop("of")
+    return settle(joined, "mix-targets")
 
 
 def repeats(sized: DataFrame, state: DataFrame, seed: int = 17, passes: int = PASSES) -> DataFrame:
     """`sized` with its source's columns and `repeats`, the times that each row is taken."""
     joined = sized.join(state.withColumnRenamed("source", "of"), F.col("source").eqNullSafe(F.col("of")))
-    extra = _extra(F.col("doc_id"), F.col("size"), seed, passes) & (F.col("size") > 0)
+    extra = _chosen(F.col("doc_id"), F.col("size"), seed, passes)
     return joined.withColumn("repeats", F.col("whole") + extra.cast("long"))
 
 
@@ -123,10 +139,10 @@ def mix(docs: DataFrame, **rule) -> DataFrame:
 def mixed(docs: DataFrame, **rule) -> DataFrame:
     """The rows of `docs`, each as often as the mix takes it."""
     sized = settle(_sized(docs), "mix-sizes")
-    state = plan(sized, **rule).select(F.col("source").alias("of"), "whole", "gaps", "cuts")
+    state = plan(sized, **rule).select(F.col("source").alias("of"), "whole", "gaps", "cuts", "last")
     size, ident = word_count(F.col("text")), F.col("doc_id").cast("long")
     joined = docs.select(F.struct("*").alias("row"), F.col("source").alias("__source"), ident.alias("__id"), size.alias("__size"))
     joined = joined.join(state, F.col("__source").eqNullSafe(F.col("of")))
-    times = F.col("whole") + (_extra(F.col("__id"), F.col("__size"), rule.get("seed", 17), PASSES) & (F.col("__size") > 0)).cast("long")
+    times = F.col("whole") + _chosen(F.col("__id"), F.col("__size"), rule.get("seed", 17), rule.get("passes", PASSES)).cast("long")
     copies = F.array_repeat(F.lit(1), times.cast("int"))
     return joined.select("row", F.explode(copies)).select("row.*")
