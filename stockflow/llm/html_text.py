@@ -1,10 +1,10 @@
 """Main text of web pages by line-block distribution.
 
 Markup is stripped to lines: one per block element. What is marked as no part of an article (menus, headers, footers,
-sidebars, notices, adverts, forms, scripts, styles, hidden parts, reader comments) leaves blank lines, and text inside
-links weighs nothing. The text lengths of `window` lines from each line on are summed: where the sum rises from 0 a run
+sidebars, notices, adverts, forms, scripts, styles, hidden parts, reader comments) leaves blank lines, and text inside links
+weighs nothing. The text lengths of `window` lines from each line on are summed: where the sum rises from 0 a run
 surges, where it falls to 0 it dives. A run is kept, with all its short lines, if its greatest sum reaches `surge` characters; if no
-run does, the greatest one is kept. Where a page marks its article, lines outside it count as blank.
+run does, the greatest one is kept. Where a page marks its article, lines outside it count as blank and every run in it is kept.
 
 Defined results: a null or empty page has an empty text; unclosed and cut off markup is read as far as it goes; `<` before
 anything but a tag is text; repeated rows give repeated results; a null page_id or url is carried through; further columns are not looked at.
@@ -81,8 +81,8 @@ def lines(html: str, window: int) -> tuple[list[str], list[int], list[bool]]:
         pieces.clear()
         weight = 0
 
-    def blank() -> None:
-        for _ in range(window):
+    def blank(gap: int) -> None:
+        for _ in range(gap):
             texts.append("")
             weights.append(0)
             inside.append(False)
@@ -112,7 +112,8 @@ def lines(html: str, window: int) -> tuple[list[str], list[int], list[bool]]:
             left_out = name in OUTSIDE and not (name == "header" and articles) or _is_noise(name, tag[3] or "")
             if left_out and not (tag[3] or "").rstrip().endswith("/"):
                 close()
-                blank()
+                # A part of the page's frame ends a run; a notice or an advert between paragraphs does not.
+                blank(window if name in OUTSIDE else 1)
                 outside, depth = name, 1
                 continue
         if name == "a":
@@ -122,7 +123,7 @@ def lines(html: str, window: int) -> tuple[list[str], list[int], list[bool]]:
         close()
         if name in ARTICLE:
             articles = max(0, articles + (-1 if closing else 1))
-            blank()
+            blank(window)
         links = 0  # a block ends a link that was left open
     if not outside:
         pieces.append(html[at:])
@@ -137,8 +138,8 @@ def main_text(html: str | None, window: int = 3, surge: int = 80) -> str:
     texts, weights, inside = lines(html, window)
     if any(x and y for x, y in zip(texts, inside, strict=True)):
         texts = [t if y else "" for t, y in zip(texts, inside, strict=True)]
-        # Inside a marked article a line of links alone is text.
-        weights = [max(w, 1) if t else 0 for t, w in zip(texts, weights, strict=True)]
+        # Inside a marked article a line of links alone is text, and so is a short run.
+        weights, surge = [max(w, 1) if t else 0 for t, w in zip(texts, weights, strict=True)], 1
     sums = np.convolve(weights, np.ones(window, int))[window - 1 :] if weights else np.zeros(0, int)
     runs, start = [], None
     for i, s in enumerate([*sums.tolist(), 0]):

@@ -131,19 +131,20 @@ class Parser:
         going = np.searchsorted(-size, -np.arange(BLOCK), side="left")
         root = np.array(self.roots, np.int64)
         state = np.tile(root, (len(text), 1))
-        count = np.ones((len(text), langs), np.int32)
+        count = np.zeros((len(text), langs), np.int32)
+        fresh = np.ones((len(text), langs), bool)  # the next character begins a phrase
         width = self.alphabet
         for t in range(int(size[0]) if len(size) else 0):
             n = int(going[t])
             s = symbols[begin[:n] + t].astype(np.int64)[:, None]
             following = self.table[state[:n] * width + s].astype(np.int64)
             stuck = following < 0
+            count[:n] += stuck | fresh[:n]
             if stuck.any():
-                again = self.table[root * width + s].astype(np.int64)
-                again = np.where(again < 0, root, again)
-                following = np.where(stuck, again, following)
-                count[:n] += stuck
-            state[:n] = following
+                following = np.where(stuck, self.table[root * width + s].astype(np.int64), following)
+            # A character that the language does not have is a phrase by itself.
+            fresh[:n] = following < 0
+            state[:n] = np.where(following < 0, root, following)
         total = np.zeros((texts, langs), np.int64)
         np.add.at(total, text, count)
         return total
