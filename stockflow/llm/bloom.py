@@ -70,14 +70,14 @@ def probe(df: DataFrame, key: Column, bloom: Filter, name: str) -> DataFrame:
 
 
 def without(df: DataFrame, key: Column, gone: DataFrame, n: int) -> DataFrame:
-    """`df` without the rows whose key (null-safe) is in `gone` (one column, `n` rows).
+    """`df` without the rows whose key (null-safe) is in `gone` (one column, `n` rows, no key twice).
 
     Rows that the filter clears pass straight through, with their texts; only the others
-    are shuffled against `gone`.
+    are shuffled against `gone`. The join is an outer one: an anti join would be planned before the probe, over all rows.
     """
     if not n:
         return df
-    gone = gone.select(F.col(gone.columns[0]).alias("__gone"))
+    gone = gone.select(F.col(gone.columns[0]).alias("__gone"), F.lit(True).alias("__is_gone"))
     probed = probe(df, key, build(gone, F.col("__gone"), n), "__maybe")
-    unsure = probed.where("__maybe").join(gone, key.eqNullSafe(F.col("__gone")), "left_anti")
-    return probed.where("NOT __maybe").unionByName(unsure).select(*df.columns)
+    unsure = probed.where("__maybe").join(gone, key.eqNullSafe(F.col("__gone")), "left").where("__is_gone IS NULL")
+    return probed.where("NOT __maybe").select(*df.columns).unionByName(unsure.select(*df.columns))

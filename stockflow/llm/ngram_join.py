@@ -147,22 +147,27 @@ def may_link(n1, n2, lost1, lost2, percent: int):
     return 100 * overlap >= percent * (n1 + n2 - overlap)
 
 
-def _sketch_rows(bands: Bands, gram: int):
+def _sketch_rows(gram: int):
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in text_slices(batches):
+            elements, offsets = sets(part.column("text"), gram)
+            columns = [part.column("doc_id"), pa.array(np.diff(offsets).astype(np.int64)), pa.array(names(elements, offsets))]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n", "node"])
+
+    return rows
+
+
+def _tile_rows(bands: Bands, gram: int):
+    """(tile, node) of all texts that have shingles."""
+
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in text_slices(batches):
             elements, offsets = sets(part.column("text"), gram)
             texts, keys = tiles(elements, offsets, bands)
-            order = np.argsort(texts, kind="stable")
-            cuts = np.searchsorted(texts[order], np.arange(part.num_rows + 1)).astype(np.int32)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    part.column("doc_id"),
-                    pa.array(np.diff(offsets).astype(np.int64)),
-                    pa.array(names(elements, offsets)),
-                    pa.ListArray.from_arrays(pa.array(cuts), pa.array(keys[order].view(np.int64))),
-                ],
-                ["doc_id", "n", "node", "tiles"],
-            )
+            name = names(elements, offsets)
+            for start in range(0, len(keys), 1 << 18):
+                some = slice(start, start + (1 << 18))
+                yield pa.RecordBatch.from_arrays([pa.array(keys[some].view(np.int64)), pa.array(name[texts[some]])], ["tile", "node"])
 
     return rows
 
@@ -238,8 +243,7 @@ class Join:
         ship(docs.sparkSession)
         self.gram, self.percent, self.stars, self.bands = gram, percent, stars, Bands(percent)
         self.docs = docs.selectExpr("cast(doc_id as long) doc_id", "text")
-        rows = self.docs.mapInArrow(_sketch_rows(self.bands, gram), "doc_id long, n long, node long, tiles array<long>")
-        self.sketch = settle(rows, "ngram-sketch")
+        self.sketch = settle(self.docs.mapInArrow(_sketch_rows(gram), "doc_id long, n long, node long"), "ngram-sketch")
         named = self.sketch.where("n > 0 and doc_id is not null")
         self.nodes = settle(
             named.groupBy("node").agg(F.min(F.struct("doc_id", "n")).alias("least"), F.count("*").alias("copies")).select(
@@ -247,10 +251,12 @@ class Join:
             ),
             "ngram-nodes",
         )
-        member = named.select("node", F.explode("tiles").alias("tile"))
+        # Made twice from the texts, which costs less than keeping it; the second time only what a filter of the shared tiles lets by is shuffled.
+        member = self.docs.where("doc_id is not null").mapInArrow(_tile_rows(self.bands, gram), "tile long, node long")
         shared = member.groupBy(F.col("tile").alias("shared")).agg(F.min("node").alias("least"), F.max("node").alias("most"))
         shared = settle(shared.where("least < most").select("shared"), "ngram-tiles")
-        members = settle(member.join(shared, F.col("tile") == F.col("shared")).select("tile", "node").distinct(), "ngram-members")
+        maybe = bloom.probe(member, F.col("tile"), bloom.build(shared, F.col("shared"), shared.count()), "maybe").where("maybe")
+        members = settle(maybe.join(shared, F.col("tile") == F.col("shared")).select("tile", "node").distinct(), "ngram-members")
         alike = members.groupBy("tile").agg(F.count("*").alias("n"), F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("sum"))
         once = settle(alike.groupBy("n", "sum").agg(F.min("tile").alias("once")).select("once"), "ngram-tiles-once")
         self.members = settle(members.join(once, F.col("tile") == F.col("once"), "left_semi"), "ngram-members-once")
@@ -259,9 +265,9 @@ class Join:
     def _near(self) -> DataFrame:
         """(node, n, bits, set) of the nodes that share a tile, from the text of each one's least document; other texts are not shuffled."""
         shared = self.members.select(F.col("node").alias("m")).distinct()
-        ids = settle(self.nodes.join(shared, F.col("node") == F.col("m"), "left_semi").select(F.col("doc_id").alias("id")), "ngram-wanted")
+        ids = settle(self.nodes.join(shared, F.col("node") == F.col("m"), "left_semi").select(F.col("doc_id").alias("id")).distinct(), "ngram-wanted")
         maybe = bloom.probe(self.docs, F.col("doc_id"), bloom.build(ids, F.col("id"), ids.count()), "maybe").where("maybe")
-        texts = maybe.join(ids, F.col("doc_id") == F.col("id"), "left_semi").select("doc_id", "text")
+        texts = maybe.join(ids, F.col("doc_id") == F.col("id")).select("doc_id", "text")  # a semi join would be planned before the probe
         gram, bands = self.gram, self.bands
 
         def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -344,5 +350,5 @@ def join(docs: DataFrame, gram: int = 3, percent: int = 90) -> DataFrame:
 
 def representatives(docs: DataFrame, gram: int = 3, percent: int = 90) -> DataFrame:
     """The rows of `docs` without those that are not the first of their group."""
-    told = settle(join(docs, gram, percent).where("doc_id <> component_id").select("doc_id"), "ngram-gone")
+    told = settle(join(docs, gram, percent).where("doc_id <> component_id").select("doc_id").distinct(), "ngram-gone")
     return bloom.without(docs, F.col("doc_id").cast("long"), told, told.count())
