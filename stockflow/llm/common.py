@@ -17,7 +17,7 @@ import stockflow
 _shipped: set[str] = set()
 
 #: Texts are worked on in slices of about so many bytes, which bounds a Python worker's memory; a longer text is a slice of its own.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:

@@ -16,7 +16,7 @@ import pyarrow as pa
 from stockflow.llm.words import Words, text_buffer
 
 #: Kept words; beyond that the store starts anew. Only speed depends on it.
-MOST_KEPT = 1_500_000
+MOST_KEPT = 1_000_000
 _SENTENCE_ENDS = np.isin(np.arange(256), np.frombuffer(b".!?", np.uint8))
 _CLOSING = np.isin(np.arange(256), np.frombuffer(b".,;:!?", np.uint8))
 _RAW_SALT = np.uint64(0xD6E8FEB86659FD93)

@@ -35,7 +35,7 @@ def mix(h: np.ndarray) -> np.ndarray:
 def _grow(n: int) -> None:
     global _powers, _inverses
     if len(_powers) < n:
-        size = 1 << (n - 1).bit_length()
+        size = -(-n // (1 << 18)) << 18
         _powers, _inverses = np.full(size, PRIME, np.uint64), np.full(size, INVERSE, np.uint64)
         _powers[0] = _inverses[0] = 1
         np.multiply.accumulate(_powers, out=_powers)
