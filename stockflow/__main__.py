@@ -36,6 +36,7 @@ def parser() -> argparse.ArgumentParser:
     flatten.add_argument("--pull-date", required=True)
     flatten.add_argument("--stores", nargs="+", required=True, help="preferred store first")
     flatten.add_argument("--only", choices=sorted(DATASETS))
+    flatten.add_argument("--since", help="orders and payments made on the client on or after this day only")
 
     ingest = jobs.add_parser("ingest", help="take in newly landed orders, then bring daily revenue up to date")
     ingest.add_argument("landed")
@@ -56,7 +57,7 @@ def main(argv: list[str] | None = None) -> None:
                 print(name)
                 rows.show(args.preview, truncate=False)
     elif args.job == "flatten":
-        flatten_pull(spark, args.landed, args.out, args.pull_date, args.stores, args.only)
+        flatten_pull(spark, args.landed, args.out, args.pull_date, args.stores, args.only, args.since)
     else:
         keep_daily_revenue(spark, args.landed, args.sink, args.files_per_batch).awaitTermination()
 

@@ -194,11 +194,20 @@ def month_windows(bounds: DataFrame) -> DataFrame:
 
 
 def in_month_windows(docs: DataFrame, windows: DataFrame) -> DataFrame:
-    """Documents with the window they fall into; one outside all windows is left out.
+    """Orders or payments with the window that their client's time falls into; one outside all windows is left out.
 
     A window never crosses a month, so the month is an equality key and the bounds are checked
     after it: a hash join, not a range join.
     """
-    keyed = docs.withColumn("month_start", F.trunc(utc_date(F.col("createdTime")), "MM"))
-    inside = (F.col("createdTime") >= F.col("start_ms")) & (F.col("createdTime") < F.col("end_ms"))
+    made = F.col("clientCreatedTime")
+    keyed = docs.withColumn("month_start", F.trunc(utc_date(made), "MM"))
+    inside = (made >= F.col("start_ms")) & (made < F.col("end_ms"))
     return keyed.join(windows, "month_start").filter(inside)
+
+
+def made_since(docs: DataFrame, since: str | None) -> DataFrame:
+    """Documents made on the client on or after the day `since`; all of them without it, and those without a client's time."""
+    made = F.col("clientCreatedTime")
+    if since is None or "clientCreatedTime" not in docs.columns:
+        return docs
+    return docs.filter(made.isNull() | (made >= epoch_ms(F.lit(since).cast("date"))))

@@ -93,6 +93,7 @@ ITEMS = _landed(
 ORDERS = _landed(
     id=T.StringType(),
     createdTime=T.LongType(),
+    clientCreatedTime=T.LongType(),
     lineItems=_elements(
         id=T.StringType(),
         price=T.LongType(),
@@ -104,6 +105,7 @@ ORDERS = _landed(
 PAYMENTS = _landed(
     id=T.StringType(),
     createdTime=T.LongType(),
+    clientCreatedTime=T.LongType(),
     amount=T.LongType(),
     tipAmount=T.LongType(),
     taxAmount=T.LongType(),

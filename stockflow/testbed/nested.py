@@ -79,6 +79,7 @@ def orders(sales: DataFrame) -> DataFrame:
         {
             "id": "concat(kind, '-', sale_id)",
             "createdTime": _MS.format(day="sale_date", k="k"),
+            "clientCreatedTime": _MS.format(day="sale_date", k="k") + " - (k % 4) * 86400000",
             "lineItems": f"""CASE WHEN kind = 'empty' AND k % 100 = 0 THEN NULL
                 WHEN kind = 'empty' THEN named_struct('elements', filter(array({one}), l -> false))
                 WHEN k % 3 = 0 AND quantity > 1 THEN named_struct('elements', array({first}, {second}))
@@ -106,6 +107,7 @@ def payments(spark: SparkSession, sf_dir: str) -> DataFrame:
         {
             "id": "concat('PAY-', o_orderkey)",
             "createdTime": _MS.format(day="day", k="o_orderkey"),
+            "clientCreatedTime": _MS.format(day="day", k="o_orderkey") + " - (o_orderkey % 4) * 86400000",
             "amount": "CASE WHEN o_orderkey % 29 = 0 THEN NULL ELSE total END",
             "tipAmount": "CASE WHEN o_orderkey % 3 = 0 THEN NULL ELSE o_orderkey % 500 END",
             "taxAmount": "CASE WHEN o_orderkey % 5 = 0 THEN NULL ELSE total % 1000 END",

@@ -600,14 +600,22 @@ FEED = {
         UNION ALL SELECT 'item_stocks', location, count(*) FROM stocks GROUP BY location""",
     ),
     "month_windows": _sql(
-        [*S, """bounds AS (SELECT min(sale_date) AS since, max(sale_date) AS today FROM sales)"""],
-        """SELECT CAST(date_trunc('month', sale_date) AS DATE) AS month_start,
-            CAST(epoch_ms(CAST(greatest(any_value(since), CAST(date_trunc('month', sale_date) AS DATE)) AS TIMESTAMP))
+        [
+            *S,
+            PAID,
+            "bounds AS (SELECT min(sale_date) - 3 AS since, max(sale_date) AS today FROM sales)",
+            """made AS (
+                SELECT 'orders' AS entity, sale_date - CAST(k % 4 AS INTEGER) AS d,
+                    (1 + CASE WHEN k % 50 = 0 THEN 1 ELSE 0 END) * (1 + CASE WHEN k % 31 = 0 THEN 1 ELSE 0 END) AS n FROM sales
+                UNION ALL SELECT 'payments', d - CAST(k % 4 AS INTEGER), 1 FROM paid)""",
+        ],
+        """SELECT entity, CAST(date_trunc('month', d) AS DATE) AS month_start,
+            CAST(epoch_ms(CAST(greatest(any_value(since), CAST(date_trunc('month', d) AS DATE)) AS TIMESTAMP))
                 AS BIGINT) AS start_ms,
-            CAST(epoch_ms(CAST(least(CAST(date_trunc('month', sale_date) + INTERVAL 1 MONTH AS DATE), any_value(today) + 1)
+            CAST(epoch_ms(CAST(least(CAST(date_trunc('month', d) + INTERVAL 1 MONTH AS DATE), any_value(today) + 1)
                 AS TIMESTAMP)) AS BIGINT) AS end_ms,
-            count(*) + count(*) FILTER (k % 50 = 0) + count(*) FILTER (k % 31 = 0) + count(*) FILTER (k % 31 = 0 AND k % 50 = 0) AS n_orders
-        FROM sales, bounds WHERE sale_date >= since AND sale_date <= today GROUP BY date_trunc('month', sale_date)""",
+            CAST(sum(n) AS BIGINT) AS n_documents
+        FROM made, bounds WHERE d >= since AND d <= today GROUP BY entity, date_trunc('month', d)""",
     ),
     "snapshot_append": _sql(
         [INVENTORY, STOCKS],

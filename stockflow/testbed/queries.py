@@ -250,12 +250,15 @@ def feed_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def month_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders per monthly window, from the first sale to the last."""
-    orders = docs(spark, sf_dir, "orders").select("createdTime")
-    bounds = land.tables(spark, sf_dir).sales.agg(F.min("sale_date").alias("since"), F.max("sale_date").alias("today"))
+    """Orders and payments per monthly window of the client's time, from before the first to the last."""
+    bounds = land.tables(spark, sf_dir).sales.agg(F.date_sub(F.min("sale_date"), 3).alias("since"), F.max("sale_date").alias("today"))
     windows = feed.month_windows(bounds)
-    placed = feed.in_month_windows(orders, windows)
-    return placed.groupBy("month_start", "start_ms", "end_ms").agg(F.count(F.lit(1)).alias("n_orders"))
+    counted = []
+    for entity in ("orders", "payments"):
+        placed = feed.in_month_windows(docs(spark, sf_dir, entity).select("clientCreatedTime"), windows)
+        n = placed.groupBy("month_start", "start_ms", "end_ms").agg(F.count(F.lit(1)).alias("n_documents"))
+        counted.append(n.select(F.lit(entity).alias("entity"), "*"))
+    return integrity.union_all(counted)
 
 
 def snapshot_append(spark: SparkSession, sf_dir: str) -> DataFrame:
