@@ -65,7 +65,6 @@ def dedup(docs: DataFrame, **sizes) -> DataFrame:
     left = bloom.without(docs, key, gone.select("key"), gone.count())
     # Rows repeated with their doc_id: all of them are gone, and one comes back.
     twins = gone.where("kept > 0").select(F.col("key.id").alias("__id"), F.col("key.sha").alias("__sha"))
-    back = docs.withColumn("__key", key).join(
-        twins, F.col("__key.id").eqNullSafe(F.col("__id")) & (F.col("__key.sha") == F.col("__sha")), "left_semi"
-    )
+    same = F.col("__key.id").eqNullSafe(F.col("__id")) & (F.col("__key.sha") == F.col("__sha"))
+    back = docs.withColumn("__key", key).join(twins, same, "left_semi")
     return left.unionByName(back.dropDuplicates(["__key"]).drop("__key")) if twins.take(1) else left

@@ -37,15 +37,8 @@ SPAN = 500.0
 SEED = 29
 
 
-def counted(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(document, feature, count) of words and word beginnings, sorted by document."""
-    begin, end = words.trimmed()
-    docs, keys = [words.doc], [words.hash_of(begin, end)]
-    for size in BEGINNINGS:
-        long = np.flatnonzero(end - begin > size)
-        docs.append(words.doc[long])
-        keys.append(mix(words.hash_of(begin[long], begin[long] + size) + np.uint64(size)))
-    doc, key = np.concatenate(docs), np.concatenate(keys)
+def _tallied(doc: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(document, feature, count), sorted by document."""
     order = np.lexsort((key, doc))
     doc, key = doc[order], key[order]
     new = np.ones(len(key), bool)
@@ -54,6 +47,32 @@ def counted(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return doc[at], key[at], np.diff(np.append(at, len(key)))
 
 
+def _features(words: Words):
+    """(document, feature) of every word, and of the beginnings of every word that is longer."""
+    begin, end = words.trimmed()
+    yield words.doc, words.hash_of(begin, end)
+    for size in BEGINNINGS:
+        long = np.flatnonzero(end - begin > size)
+        yield words.doc[long], mix(words.hash_of(begin[long], begin[long] + size) + np.uint64(size))
+
+
+def counted(words: Words, keys: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(document, feature, count) of all features, or of the sorted `keys` only: then most words drop out before anything is sorted."""
+    docs, found = [], []
+    if keys is not None:
+        slots = np.zeros(1 << 20, bool)
+        slots[keys >> np.uint64(44)] = True
+    for doc, key in _features(words):
+        if keys is not None:
+            near = np.flatnonzero(slots[key >> np.uint64(44)])
+            place = np.minimum(np.searchsorted(keys, key[near]), len(keys) - 1)
+            near = near[keys[place] == key[near]]
+            doc, key = doc[near], key[near]
+        docs.append(doc)
+        found.append(key)
+    return _tallied(np.concatenate(docs), np.concatenate(found))
+
+
 def strength(count: np.ndarray, words: np.ndarray) -> np.ndarray:
     return np.log1p(count / np.maximum(1.0, words / SPAN))
 
@@ -68,7 +87,7 @@ class Model:
 
     def known(self, words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(document, feature's index, strength) of the features that the model knows."""
-        doc, key, count = _chosen(words, self.keys)
+        doc, key, count = counted(words, self.keys)
         return doc, np.searchsorted(self.keys, key), strength(count, np.diff(words.first)[doc])
 
     def score(self, texts: pa.Array) -> np.ndarray:
@@ -80,30 +99,6 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(total, -40, 40)))
 
 
-def _chosen(words: Words, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """`counted`, of the sorted `keys` only; most words drop out before anything is sorted."""
-    begin, end = words.trimmed()
-    slots = np.zeros(1 << 20, bool)
-    slots[keys >> np.uint64(44)] = True
-    docs, found = [], []
-    for size in (0, *BEGINNINGS):
-        at = np.flatnonzero(end - begin > size) if size else np.arange(len(words))
-        hashes = words.hash_of(begin[at], begin[at] + size if size else end[at])
-        hashes = mix(hashes + np.uint64(size)) if size else hashes
-        near = np.flatnonzero(slots[hashes >> np.uint64(44)])
-        place = np.minimum(np.searchsorted(keys, hashes[near]), len(keys) - 1)
-        near = near[keys[place] == hashes[near]]
-        docs.append(words.doc[at[near]])
-        found.append(hashes[near])
-    doc, key = np.concatenate(docs), np.concatenate(found)
-    order = np.lexsort((key, doc))
-    doc, key = doc[order], key[order]
-    new = np.ones(len(key), bool)
-    new[1:] = (doc[1:] != doc[:-1]) | (key[1:] != key[:-1])
-    at = np.flatnonzero(new)
-    return doc[at], key[at], np.diff(np.append(at, len(key)))
-
-
 def sample(docs: DataFrame, labels: DataFrame, positives: int, unlabelled: int) -> tuple[DataFrame, float]:
     """(doc_id, text, positive) of the two samples, and the class prior."""
     known = (
