@@ -162,7 +162,7 @@ def _tiles(cosine: float, setting: tuple):
     return rows
 
 
-def near_duplicates(vectors: DataFrame, cosine: float = 0.9, tables: int = 6, probes: int = 3, scale: float = 5.0) -> DataFrame:
+def near_duplicates(vectors: DataFrame, cosine: float = 0.9, tables: int = 7, probes: int = 3, scale: float = 5.5) -> DataFrame:
     """For each row: vec_id, n_links, component_id, kept."""
     ship(vectors.sparkSession)
     setting = (tables, probes, scale)
