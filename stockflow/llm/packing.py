@@ -153,7 +153,7 @@ class Line:
         return pa.RecordBatch.from_arrays(arrays, [*names, "ids"])
 
 
-def pack(docs: DataFrame, tokenizer: str, size: int = 2048, end_id: int = 1, cut: int = 16, short: int = 8, run: int = 4 << 20) -> DataFrame:
+def pack(docs: DataFrame, tokenizer: str, size: int = 2048, end_id: int = 1, cut: int = 16, short: int = 8, run: int = 2 << 20) -> DataFrame:
     """A row per piece: doc_id, start (the text's ids before it), length, doc_tokens, sequence_id, offset there, ids (little-endian, 4 bytes each).
 
     `tokenizer`: a tokenizer file that every executor has.
