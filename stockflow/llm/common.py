@@ -57,13 +57,13 @@ def word_count(text: Column) -> Column:
 SLICE_ROWS = 8192
 
 
-def text_slices(batches: Iterator[pa.RecordBatch], column: str = "text", most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
-    """Consecutive rows of each batch, as many as have at most `most` bytes of text together (one row at least)."""
+def text_slices(batches: Iterator[pa.RecordBatch], column: str = "text", most: int = SLICE_BYTES, rows: int = SLICE_ROWS) -> Iterator[pa.RecordBatch]:
+    """Consecutive rows of each batch, at most `rows`, as many as have at most `most` bytes of text together (one row at least)."""
     for batch in batches:
         sizes = pc.fill_null(pc.binary_length(batch.column(column).cast(pa.large_binary())), 0).to_numpy(zero_copy_only=False)
         start, held = 0, 0
         for i, n in enumerate(sizes):
-            if i > start and (held + n > most or i - start >= SLICE_ROWS):
+            if i > start and (held + n > most or i - start >= rows):
                 yield batch.slice(start, i - start)
                 start, held = i, 0
             held += int(n)

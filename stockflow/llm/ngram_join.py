@@ -35,6 +35,8 @@ from stockflow.session import settle
 #: Bits of a shingle's hash; the other bits of a 64-bit value hold the text's place in a slice.
 BITS = 51
 LOW = np.uint64((1 << BITS) - 1)
+#: Texts of a slice at most: a place, the place after the last one and the end of that one's hash range must fit in the other bits.
+PLACES = 1 << (63 - BITS)
 #: Each band's sizes go up to the border of the next, this much larger.
 BAND = 1.35
 #: Rows of a tile that are compared with each other at once.
@@ -62,6 +64,7 @@ class Bands:
 
 def sets(texts: pa.Array, gram: int) -> tuple[np.ndarray, np.ndarray]:
     """Shingle hashes of all texts, sorted and distinct within each text, and the n + 1 offsets."""
+    assert len(texts) <= PLACES, len(texts)
     words = Words(texts)
     count = np.diff(words.first)
     h, n = words.hash, len(words)
@@ -149,7 +152,7 @@ def may_link(n1, n2, lost1, lost2, percent: int):
 
 def _sketch_rows(gram: int):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in text_slices(batches):
+        for part in text_slices(batches, rows=PLACES):
             elements, offsets = sets(part.column("text"), gram)
             columns = [part.column("doc_id"), pa.array(np.diff(offsets).astype(np.int64)), pa.array(names(elements, offsets))]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n", "node"])
@@ -161,7 +164,7 @@ def _tile_rows(bands: Bands, gram: int):
     """(tile, node) of all texts that have shingles."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in text_slices(batches):
+        for part in text_slices(batches, rows=PLACES):
             elements, offsets = sets(part.column("text"), gram)
             texts, keys = tiles(elements, offsets, bands)
             name = names(elements, offsets)
@@ -271,7 +274,7 @@ class Join:
         gram, bands = self.gram, self.bands
 
         def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for part in text_slices(batches):
+            for part in text_slices(batches, rows=PLACES):
                 elements, offsets = sets(part.column("text"), gram)
                 lists = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(elements.view(np.int64)))
                 columns = [names(elements, offsets), np.diff(offsets).astype(np.int64), pa.array(bitmaps(elements, offsets, bands), pa.binary()), lists]

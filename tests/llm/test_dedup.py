@@ -99,6 +99,15 @@ def test_join_equals_brute_force(spark, sf_dir, gram, percent):
     assert got == brute_join([tuple(r) for r in every.collect()], gram, percent)
 
 
+def test_join_of_many_short_texts_in_one_partition(spark):
+    """More short texts in a row than a slice has places for."""
+    rows = [(i, f"m{i % 9000} a{i} b{i} c{i} d{i} e{i}" if i % 3 else f"u{i // 6} v{i // 6} w{i // 6} x{i // 6} y{i % 2}") for i in range(10_000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1).persist()
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.join(docs, 1, 60).collect()}
+    want = brute_join(rows, 1, 60)
+    assert got == want and len({c for _, c in want.values()}) < 9_000
+
+
 def test_tiles_never_part_a_link():
     rng = np.random.default_rng(3)
     import pyarrow as pa
