@@ -13,6 +13,7 @@ anything but a tag is text; repeated rows give repeated results; a null page_id
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from html import unescape
 
@@ -24,13 +25,30 @@ from pyspark.sql import functions as F
 from stockflow.llm.common import ship, text_slices
 
 # Names of HTML elements and usual class names.
-RAW = "script style noscript template svg math iframe object canvas audio video textarea select button".split()
+RAW = frozenset("script style textarea".split())
+EMBEDDED = frozenset("noscript template svg math iframe object canvas audio video select button".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split()
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 OUTSIDE = frozenset("head nav header footer aside form fieldset dialog menu".split())
 ARTICLE = frozenset("article main".split())
+# Start tags that end an open element of their kind whose end tag may be left out, and what shields it from them.
+ENDS_P = frozenset(
+    """address article aside blockquote center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup
+    hr li main menu nav ol p pre search section summary table ul""".split()
+)
+CELLS, ROWS, GROUPS = ("td", "th"), ("tr",), ("tbody", "thead", "tfoot", "caption", "colgroup")
+IMPLIED = {"li": ("li",), "dd": ("dd", "dt"), "dt": ("dd", "dt"), "td": CELLS, "th": CELLS, "tr": (*CELLS, *ROWS), "option": ("option",), "optgroup": ("option", "optgroup"),
+           "button": ("button",), "select": ("select",), "body": ("head",)} | {g: (*CELLS, *ROWS, *GROUPS) for g in GROUPS}
+SHIELDS = {
+    **dict.fromkeys(("li",), frozenset("ul ol menu table td th section article aside nav main header footer blockquote form dl".split())),
+    **dict.fromkeys(("dd", "dt"), frozenset("dl ul ol table td th section article aside nav main header footer blockquote form".split())),
+    **dict.fromkeys((*CELLS, *ROWS, *GROUPS), frozenset(["table"])),
+    **dict.fromkeys(("option", "optgroup"), frozenset(["select", "datalist"])),
+    "p": frozenset("table td th caption button object template svg math".split()),
+}
+OPTIONAL = frozenset(["p", "li", "dd", "dt", *CELLS, *ROWS, *GROUPS, "option", "optgroup", "head"])
 NOISE = frozenset(
     """ad ads advert adverts advertisement advertising adsense banner breadcrumb breadcrumbs byline-share comment comments commentlist consent
     cookie cookies copyright disqus footer gdpr header login masthead menu menubar modal nav navbar navigation newsletter notice notices
@@ -40,7 +58,7 @@ NOISE = frozenset(
 CONTENT = frozenset("article body content entry has main no page post story text with without wrapper container layout".split())
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog form menu menubar".split())
 
-_DROPPED = re.compile(rf"<!--.*?(?:-->|\Z)|<({'|'.join(RAW)})\b.*?(?:</\1\s*>|\Z)|<[!?][^>]*(?:>|\Z)", re.S | re.I)
+_DROPPED = re.compile(rf"<!--.*?(?:-->|\Z)|<({'|'.join(sorted(RAW))})(?=[\s/>]).*?(?:</\1(?=[\s/>])[^>]*(?:>|\Z)|\Z)|<[!?][^>]*(?:>|\Z)", re.S | re.I)
 _TAG = re.compile(r"<(/?)([a-zA-Z][\w:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)|<(/?)([a-zA-Z][\w:-]*)()[^>]*(?:>|\Z)")
 _ATTRIBUTE = re.compile(r"([\w:-]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 
@@ -63,13 +81,71 @@ def _is_noise(name: str, attributes: str) -> bool:
     return False
 
 
+class Tags:
+    """The tags of a page, and for each start tag the number of the tag that ends its element."""
+
+    def __init__(self, html: str):
+        self.found = list(_TAG.finditer(html))
+        self.name = [(m[2] or m[5]).lower() for m in self.found]
+        self.closing = [bool(m[1] or m[4]) for m in self.found]
+        n = len(self.found)
+        self.end = [n] * n
+        #: Ended by its own end tag, or by what ends an element whose end tag may be left out.
+        self.whole = [False] * n
+        self._stack: list[int] = []
+        self._open: Counter[str] = Counter()
+        for i, name in enumerate(self.name):
+            if self.closing[i]:
+                stop = SHIELDS.get(name, frozenset())
+                self._close(i, (name,), stop if name not in INLINE else None)
+                continue
+            if name in ENDS_P:
+                self._close(i, ("p",), SHIELDS["p"])
+            for old in IMPLIED.get(name, ()):
+                self._close(i, (old,), SHIELDS.get(old, frozenset()))
+            if name in VOID or name in ("html", "body") or self.shut(i):
+                self.end[i], self.whole[i] = i, True
+            else:
+                self._stack.append(i)
+                self._open[name] += 1
+        #: Names of elements that lack an end tag: another one of the name may have taken its parent's.
+        self.loose = {self.name[i] for i in range(n) if not self.closing[i] and not self.whole[i]} - OPTIONAL
+
+    def shut(self, i: int) -> bool:
+        return (self.found[i][3] or "").rstrip().endswith("/")
+
+    def _close(self, at: int, names: tuple[str, ...], stop: frozenset[str] | None) -> None:
+        """Ends the innermost open element of these names and all in it; what is in `stop` (for None: any block) is not left."""
+        if not any(self._open[x] for x in names):
+            return
+        for k in range(len(self._stack) - 1, -1, -1):
+            name = self.name[self._stack[k]]
+            if name in names:
+                for i in self._stack[k:]:
+                    self.end[i], self.whole[i] = at, self.name[i] in OPTIONAL or i == self._stack[k]
+                    self._open[self.name[i]] -= 1
+                del self._stack[k:]
+                return
+            if name in stop if stop is not None else name not in INLINE:
+                return
+
+    def left_until(self, i: int) -> int:
+        """The tag up to which a left-out element goes. If its end tag is missing, an embedded one, or one that would take the rest
+        of the page, ends at the next block."""
+        n = len(self.found)
+        if self.whole[i] or self.name[i] not in EMBEDDED and (self.end[i] < n or self.name[i] in OUTSIDE):
+            return self.end[i]
+        return next((j for j in range(i + 1, self.end[i]) if self.name[j] not in INLINE | VOID | EMBEDDED | {"option", "optgroup", "source"}), self.end[i])
+
+
 def lines(html: str, window: int) -> tuple[list[str], list[int], list[bool]]:
     """Lines of text, the characters of each that are not in links, and whether each is in a marked article."""
     html = _DROPPED.sub(" ", html)
     texts, weights, inside = [], [], []
     pieces: list[str] = []
     weight = links = articles = 0
-    outside, depth = "", 0  # the element left out, and how many of its name are open in it
+    tags = Tags(html)
+    outside, until = "", 0  # the element left out, and the tag that ends it
 
     def close() -> None:
         nonlocal weight
@@ -88,37 +164,39 @@ def lines(html: str, window: int) -> tuple[list[str], list[int], list[bool]]:
             inside.append(False)
 
     at = 0
-    for tag in _TAG.finditer(html):
-        if not outside and tag.start() > at:
+    for i, tag in enumerate(tags.found):
+        closing, name = tags.closing[i], tags.name[i]
+        if outside:
+            if i == until:
+                ended, outside = outside, ""
+                if closing and name == ended:
+                    at = tag.end()
+                    continue
+            elif name in ARTICLE and not closing and outside in ("nav", "head", "header", "form"):
+                outside = ""  # such an element was never closed
+            else:
+                continue
+            at = tag.start()
+        if tag.start() > at:
             part = html[at : tag.start()]
             pieces.append(part)
             if not links:
                 weight += len(part.strip())
         at = tag.end()
-        closing, name = tag[1] or tag[4], (tag[2] or tag[5]).lower()
-        if outside:
-            if name in ARTICLE and not closing and outside in ("nav", "head", "header", "form"):
-                outside = ""  # such an element was never closed
-            elif name == "body" and outside == "head":
-                outside = ""
-                continue
-            else:
-                if name == outside:
-                    depth += -1 if closing else 1
-                    if not depth:
-                        outside = ""
+        if not closing and name not in VOID and name not in ("html", "body") and not tags.shut(i):
+            if name in EMBEDDED:
+                pieces.append(" ")
+                outside, until = name, tags.left_until(i)
                 continue
-        if not closing and name not in VOID and name not in ("html", "body"):
-            left_out = name in OUTSIDE and not (name == "header" and articles) or _is_noise(name, tag[3] or "")
-            if left_out and not (tag[3] or "").rstrip().endswith("/"):
+            if name in OUTSIDE and not (name == "header" and articles) or _is_noise(name, tag[3] or ""):
                 close()
                 # A part of the page's frame ends a run; a notice or an advert between paragraphs does not.
                 blank(window if name in OUTSIDE else 1)
-                outside, depth = name, 1
+                outside, until = name, tags.left_until(i)
                 continue
         if name == "a":
             links = max(0, links + (-1 if closing else 1))
-        if name in INLINE:
+        if name in INLINE or name in EMBEDDED:
             continue
         close()
         if name in ARTICLE:

@@ -223,6 +223,22 @@ def test_main_text(html, text):
     assert html_text.main_text(html) == text
 
 
+@pytest.mark.parametrize(
+    ("html", "text"),
+    [
+        ("<article><p>one</p><svg-icon></svg-icon><p>two</p></article>", "one two"),
+        ("<article><p>one</p><video-player>three</video-player><button-bar></button-bar><p>two</p></article>", "one three two"),
+        ('<article><p>one <svg viewBox="0 0 1 1"/> and <math/> on</p><p>two</p></article>', "one and on two"),
+        ("<article><p>one</p><svg><g><svg><text>x</text></svg></g><text>y</text></svg><p>two</p></article>", "one two"),
+        ("<article><p>one</p><button>Buy<p>two</p><p>three</p></article>", "one two three"),
+        ("<article><p>one</p><select><option>a<option>b</select> and <video><source src=v>old</video> two</article>", "one and two"),
+        ("<article><p>one</p><script>var x = '<p>';</script ><p>two</p><textarea>never closed<p>three</p></article>", "one two"),
+    ],
+)
+def test_left_out_elements_end_where_they_end(html, text):
+    assert html_text.main_text(html) == text
+
+
 def test_pages_query(spark, sf_dir):
     rows = queries.QUERIES["op7_html_text"](spark, sf_dir).collect()
     pages = {r.page_id: r.html for r in read(spark, sf_dir, "pages").collect()}
