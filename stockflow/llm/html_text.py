@@ -4,7 +4,8 @@ Markup is stripped to lines: one per block element. What is marked as no part of
 sidebars, notices, adverts, forms, scripts, styles, hidden parts, reader comments) leaves blank lines, and text inside links
 weighs nothing. The text lengths of `window` lines from each line on are summed: where the sum rises from 0 a run
 surges, where it falls to 0 it dives. A run is kept, with all its short lines, if its greatest sum reaches `surge` characters; if no
-run does, the greatest one is kept. Where a page marks its article, lines outside it count as blank and every run in it is kept.
+run does, the greatest one is kept. Where a page marks its article, the tag is a weight, not a choice: a line in it weighs `surge`
+characters more, one of links alone weighs 1. Lines outside it weigh what they are long, and a long run there is kept too.
 
 Defined results: a null or empty page has an empty text; unclosed and cut off markup is read as far as it goes; `<` before
 anything but a tag is text; repeated rows give repeated results; a null page_id or url is carried through; further columns are not looked at.
@@ -214,10 +215,8 @@ def main_text(html: str | None, window: int = 3, surge: int = 80) -> str:
     if not html:
         return ""
     texts, weights, inside = lines(html, window)
-    if any(x and y for x, y in zip(texts, inside, strict=True)):
-        texts = [t if y else "" for t, y in zip(texts, inside, strict=True)]
-        # Inside a marked article a line of links alone is text, and so is a short run.
-        weights, surge = [max(w, 1) if t else 0 for t, w in zip(texts, weights, strict=True)], 1
+    # In a marked article a line of text surges however short it is, and a line of links alone goes on a run but makes none.
+    weights = [(w + surge if w else 1) if t and y else w for t, w, y in zip(texts, weights, inside, strict=True)]
     sums = np.convolve(weights, np.ones(window, int))[window - 1 :] if weights else np.zeros(0, int)
     runs, start = [], None
     for i, s in enumerate([*sums.tolist(), 0]):

@@ -239,6 +239,18 @@ def test_left_out_elements_end_where_they_end(html, text):
     assert html_text.main_text(html) == text
 
 
+@pytest.mark.parametrize(
+    ("html", "text"),
+    [
+        (f"<div><p>{LONG_TEXT}</p><p>Short.</p></div><article><h2>Card</h2><p>A linked story.</p></article>", f"{LONG_TEXT} Short. Card A linked story."),
+        (f"<div>Menu</div><article><p>{LONG_TEXT}</p><p><a href=a>all of it a link</a></p><p>End.</p></article><div>Imprint</div>", f"{LONG_TEXT} all of it a link End."),
+        (f"<article><ul><li><a href=a>One</a><li><a href=b>Two</a></ul><hr><aside>x</aside><p>{LONG_TEXT}</p></article>", LONG_TEXT),
+    ],
+)
+def test_line_blocks_choose_on_marked_pages_too(html, text):
+    assert html_text.main_text(html) == text
+
+
 def test_pages_query(spark, sf_dir):
     rows = queries.QUERIES["op7_html_text"](spark, sf_dir).collect()
     pages = {r.page_id: r.html for r in read(spark, sf_dir, "pages").collect()}
