@@ -7,6 +7,9 @@ surges, where it falls to 0 it dives. A run is kept, with all its short lines, i
 run does, the greatest one is kept. Where a page marks its article, the tag is a weight, not a choice: a line in it weighs `surge`
 characters more, one of links alone weighs 1. Lines outside it weigh what they are long, and a long run there is kept too.
 
+An element that is left out ends where HTML ends it: at its end tag, at a tag that implies one, or at its parent's end tag. If the page lacks
+an end tag of its name, an article ends it too; if that leaves a page without any text, the next block does.
+
 Defined results: a null or empty page has an empty text; unclosed and cut off markup is read as far as it goes; `<` before
 anything but a tag is text; repeated rows give repeated results; a null page_id or url is carried through; further columns are not looked at.
 """
@@ -34,6 +37,7 @@ INLINE = frozenset(
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 OUTSIDE = frozenset("head nav header footer aside form fieldset dialog menu".split())
 ARTICLE = frozenset("article main".split())
+NO_ARTICLE = frozenset("nav head header form".split())
 # Start tags that end an open element of their kind whose end tag may be left out, and what shields it from them.
 ENDS_P = frozenset(
     """address article aside blockquote center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup
@@ -56,6 +60,10 @@ NOISE = frozenset(
     overlay pagination popup promo promotion promoted related recommended reply replies respond search share sharing sidebar signup skip
     social sponsor sponsored subscribe subscription tags toolbar topbar widget widgets alert disclaimer teaser""".split()
 )
+COMMENTS = frozenset("comment comments commentlist".split())
+# Labels that headings and paragraphs of an article bear as well.
+OWN = frozenset("header teaser".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 p".split())
 CONTENT = frozenset("article body content entry has main no page post story text with without wrapper container layout".split())
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog form menu menubar".split())
 
@@ -64,7 +72,7 @@ _TAG = re.compile(r"<(/?)([a-zA-Z][\w:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|
 _ATTRIBUTE = re.compile(r"([\w:-]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 
 
-def _is_noise(name: str, attributes: str) -> bool:
+def _is_noise(name: str, attributes: str, in_article: bool = False) -> bool:
     """Whether an element's attributes say that it is no part of the text."""
     if not attributes.strip():
         return False
@@ -73,11 +81,12 @@ def _is_noise(name: str, attributes: str) -> bool:
         return True
     if found.get("role", "").lower() in ROLES:
         return True
+    noise = NOISE - OWN if in_article and name in HEADINGS else NOISE
     for label in f"{found.get('class', '')} {found.get('id', '')}".lower().split():
         parts = [x for x in re.split(r"[-_\d]+", label) if x]
-        if parts and (parts[0] in NOISE or parts[-1] in NOISE) and not CONTENT & set(parts):
+        if parts and (parts[0] in noise or parts[-1] in noise) and not CONTENT & set(parts):
             return True
-        if "comment" in label:
+        if COMMENTS & set(parts):
             return True
     return False
 
@@ -130,17 +139,22 @@ class Tags:
             if name in stop if stop is not None else name not in INLINE:
                 return
 
-    def left_until(self, i: int) -> int:
+    def left_until(self, i: int, sure: bool) -> int:
         """The tag up to which a left-out element goes. If its end tag is missing, an embedded one, or one that would take the rest
-        of the page, ends at the next block."""
+        of the page, ends at the next block; without `sure` one that may have taken its parent's end tag does so, too."""
         n = len(self.found)
-        if self.whole[i] or self.name[i] not in EMBEDDED and (self.end[i] < n or self.name[i] in OUTSIDE):
+        if not sure and self.name[i] in self.loose - OUTSIDE:
+            pass
+        elif self.whole[i] or self.name[i] not in EMBEDDED and (self.end[i] < n or self.name[i] in OUTSIDE):
             return self.end[i]
         return next((j for j in range(i + 1, self.end[i]) if self.name[j] not in INLINE | VOID | EMBEDDED | {"option", "optgroup", "source"}), self.end[i])
 
 
-def lines(html: str, window: int) -> tuple[list[str], list[int], list[bool]]:
-    """Lines of text, the characters of each that are not in links, and whether each is in a marked article."""
+def lines(html: str, window: int, sure: bool = True) -> tuple[list[str], list[int], list[bool]]:
+    """Lines of text, the characters of each that are not in links, and whether each is in a marked article.
+
+    Without `sure`, a left-out element goes to the next block only if the page lacks an end tag of its name.
+    """
     html = _DROPPED.sub(" ", html)
     texts, weights, inside = [], [], []
     pieces: list[str] = []
@@ -173,7 +187,7 @@ def lines(html: str, window: int) -> tuple[list[str], list[int], list[bool]]:
                 if closing and name == ended:
                     at = tag.end()
                     continue
-            elif name in ARTICLE and not closing and outside in ("nav", "head", "header", "form"):
+            elif name in ARTICLE and not closing and (outside in NO_ARTICLE or outside in tags.loose) and not _is_noise(name, tag[3] or ""):
                 outside = ""  # such an element was never closed
             else:
                 continue
@@ -187,13 +201,13 @@ def lines(html: str, window: int) -> tuple[list[str], list[int], list[bool]]:
         if not closing and name not in VOID and name not in ("html", "body") and not tags.shut(i):
             if name in EMBEDDED:
                 pieces.append(" ")
-                outside, until = name, tags.left_until(i)
+                outside, until = name, tags.left_until(i, sure)
                 continue
-            if name in OUTSIDE and not (name == "header" and articles) or _is_noise(name, tag[3] or ""):
+            if name in OUTSIDE and not (name == "header" and articles) or _is_noise(name, tag[3] or "", articles > 0):
                 close()
                 # A part of the page's frame ends a run; a notice or an advert between paragraphs does not.
                 blank(window if name in OUTSIDE else 1)
-                outside, until = name, tags.left_until(i)
+                outside, until = name, tags.left_until(i, sure)
                 continue
         if name == "a":
             links = max(0, links + (-1 if closing else 1))
@@ -215,6 +229,8 @@ def main_text(html: str | None, window: int = 3, surge: int = 80) -> str:
     if not html:
         return ""
     texts, weights, inside = lines(html, window)
+    if not any(texts):
+        texts, weights, inside = lines(html, window, sure=False)
     # In a marked article a line of text surges however short it is, and a line of links alone goes on a run but makes none.
     weights = [(w + surge if w else 1) if t and y else w for t, w, y in zip(texts, weights, inside, strict=True)]
     sums = np.convolve(weights, np.ones(window, int))[window - 1 :] if weights else np.zeros(0, int)

@@ -251,6 +251,25 @@ def test_line_blocks_choose_on_marked_pages_too(html, text):
     assert html_text.main_text(html) == text
 
 
+@pytest.mark.parametrize(
+    ("html", "text"),
+    [
+        ('<p class="ad">Buy<p>Real text</p><p>More</p>', "Real text More"),
+        ('<ul><li class="promo">Buy<li>Real</ul><p>More</p>', "Real More"),
+        ('<dl><dt class="ad">Buy<dd>Real</dl><table><tr><td class="ad">Buy<td>two<tr><td>three</table>', "Real two three"),
+        ('<section><div class="ad">Buy <b>now</section><p>Real text</p>', "Real text"),
+        ('<div id="page"><div class="ad">Buy<p>Real text</p><p>More</p></div>', "Real text More"),
+        ('<div class="ad">Buy<p>Real text</p><p>More</p>', "Real text More"),
+        (f'<div id="page"><div class="ad">Buy<article><p>{LONG_TEXT}</p></article></div>', LONG_TEXT),
+        (f'<div class="sidebar"><div>a</div><article>Card</article></div><article><p>{LONG_TEXT}</p></article>', LONG_TEXT),
+        (f'<article class="post-commentary"><h2 class="section-header">Title</h2><p class="teaser">In short.</p><p>{LONG_TEXT}</p></article>', f"Title In short. {LONG_TEXT}"),
+        (f'<article><p>{LONG_TEXT}</p></article><section class="post-comments"><article>First!</article></section>', LONG_TEXT),
+    ],
+)
+def test_what_is_marked_alone_is_left_out(html, text):
+    assert html_text.main_text(html) == text
+
+
 def test_pages_query(spark, sf_dir):
     rows = queries.QUERIES["op7_html_text"](spark, sf_dir).collect()
     pages = {r.page_id: r.html for r in read(spark, sf_dir, "pages").collect()}
