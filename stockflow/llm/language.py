@@ -8,8 +8,8 @@ character a step, by table look-up.
 Texts are parsed whole, in blocks of `BLOCK` characters that phrases do not cross. Case is folded, characters other
 than letters are one separator, letters that no language has seen end a phrase.
 
-Bound (documented parameter): `chars`, the labelled characters taken from a language: whole documents of the learning folds in a
-seeded order, those that still fit.
+Bound (documented parameter): `chars`, the labelled characters taken from a language: documents of the learning folds in a seeded
+order, whatever their length; of the one that exceeds what is left, a seeded stretch with a letter in it.
 
 Defined results: `und` with score 0 for a null text, a text without a letter, or without any labelled language; rows with null or
 empty lang or text teach nothing; a null doc_id belongs to a learning fold; repeated rows get the same result; further columns are not looked at.
@@ -21,7 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stockflow.llm.common import held_out, ship, text_slices
@@ -177,27 +177,36 @@ def parser(samples: dict[str, str]) -> Parser:
     return _parsers[key]
 
 
+def stretch(text: Column, n: Column, draw: Column, take: Column) -> Column:
+    """`take` characters of a text of n from a seeded place on, or from its first letter on if there is none in them."""
+    some = F.substring(text, (F.pmod(draw, n - take + 1) + 1).cast("int"), take)
+    return F.when(some.rlike(r"\p{L}"), some).otherwise(F.substring(F.regexp_extract(text, r"(?s)\p{L}.*", 0), F.lit(1), take))
+
+
 def learn(docs: DataFrame, chars: int = 40_000, drawn: int = 400) -> dict[str, str]:
     """Labelled text of each language: about `drawn` documents per language are looked at, `chars` characters kept."""
+    draw = F.xxhash64("doc_id", "text", F.lit(SEED))
     taught = docs.where(~held_out(F.col("doc_id"), FOLDS) & F.col("lang").isNotNull() & (F.col("lang") != "") & F.col("text").rlike(r"\p{L}"))
-    taught = taught.select(F.col("lang").alias("name"), F.col("doc_id").cast("long").alias("id"), F.length("text").alias("n"), F.xxhash64("doc_id", "text", F.lit(SEED)).alias("draw"))
-    taught = settle(taught.where(F.col("n") <= chars), "language-candidates")
-    counts = settle(taught.groupBy(F.col("name").alias("of")).agg(F.count("*").alias("docs")), "language-counts")
+    taught = settle(taught.select(F.col("lang").alias("name"), F.length("text").alias("n"), draw.alias("draw")), "language-candidates")
+    counts = settle(taught.groupBy(F.col("name").alias("of")).agg(F.count("*").alias("docs"), F.min("draw").alias("least")), "language-counts")
     chance = F.pmod("draw", F.lit(1 << 30)) / float(1 << 30)
-    # One language has about `drawn` rows left: so many rows per language come to the driver, and their ids go out again.
-    few = taught.join(counts, F.col("name") == F.col("of")).where(chance < F.lit(float(drawn)) / F.col("docs"))
+    # About `drawn` rows of each language come to the driver, and their ids go out again; the first one always, as copies are drawn together.
+    few = taught.join(counts, F.col("name") == F.col("of")).where((chance < F.lit(float(drawn)) / F.col("docs")) | (F.col("draw") == F.col("least")))
     room: dict[str, int] = {}
     wanted = []
-    for r in few.orderBy("name", "draw").select("name", "id", "draw", "n").collect():
-        if room.setdefault(r.name, chars) >= r.n:
-            room[r.name] -= r.n
-            wanted.append((r.draw,))
+    for r in few.select("name", "draw", "n").distinct().orderBy("name", "draw").collect():
+        take = min(room.setdefault(r.name, chars), r.n)
+        if take:
+            room[r.name] -= take
+            wanted.append((r.name, r.draw, take))
     if not wanted:
         return {}
-    ids = docs.sparkSession.createDataFrame(wanted, "draw long")
-    texts = docs.where(F.col("lang").isNotNull()).select("lang", "text", F.xxhash64("doc_id", "text", F.lit(SEED)).alias("draw")).join(F.broadcast(ids), "draw", "left_semi").select("lang", "text")
+    ids = F.broadcast(docs.sparkSession.createDataFrame(wanted, "name string, key long, take int"))
+    told = docs.select("lang", "text", "doc_id").withColumn("draw", draw)
+    told = told.join(ids, (F.col("lang") == F.col("name")) & (F.col("draw") == F.col("key")))
+    texts = told.select("name", stretch(F.col("text"), F.length("text"), F.col("draw"), F.col("take")).alias("text")).distinct()
     found: dict[str, list[str]] = {}
-    for r in sorted(set(map(tuple, texts.collect()))):
+    for r in sorted(map(tuple, texts.collect())):
         found.setdefault(r[0], []).append(r[1])
     return {name: " ".join(t) for name, t in found.items()}
 

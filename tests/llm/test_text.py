@@ -198,6 +198,22 @@ def test_language_edges(spark):
     assert language.learn(no_docs(spark)) == {} and language.identify(no_docs(spark), {}).count() == 0
 
 
+def test_languages_of_long_documents_are_learned(spark):
+    words = {name: [f"{a}{b}{c}" for a in x for b in x for c in x] for name, x in (("long", "abcde"), ("both", "fghij"), ("short", "klmno"), ("late", "pqrst"), ("copied", "uvwxy"))}
+    prose = {name: " ".join(w * 100) for name, w in words.items()}
+    assert len(prose["long"]) == 49_999
+    rows = [(i, prose["long"], "long") for i in range(4)] + [(10 + i, prose["both"], "both") for i in range(8)] + [(20 + i, "fgh", "both") for i in range(4)]
+    rows += [(30 + i, prose["short"][:900], "short") for i in range(8)] + [(40 + i, "1 " * 300_000 + prose["late"][:900], "late") for i in range(4)]
+    rows += [(50 + k, prose["copied"][:900], "copied") for k in (0, 1) for _ in range(1000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    samples = language.learn(docs, drawn=20)
+    assert set(samples) == set(words)
+    assert 30_000 < len(samples["long"]) <= 40_000 and len(samples["both"]) > 30_000 and any(c in samples["late"] for c in "pqrst")
+    new = spark.createDataFrame([(i, " ".join(w[::-1]), name) for i, (name, w) in enumerate(words.items())], docs.schema)
+    told = {r.doc_id: r.lang_pred for r in language.identify(new, samples).collect()}
+    assert [told[i] for i in range(5)] == list(words)
+
+
 # ---- pages
 
 LONG_TEXT = "This paragraph is long enough to count as text of the article, as it goes on for more than eighty characters."
