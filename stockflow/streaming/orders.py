@@ -51,14 +51,21 @@ def newest_first() -> list[Column]:
     return [-F.unix_date("pull_date"), -F.col("batch_id")]
 
 
+def line_key() -> Column:
+    """A line without an id is told by its values."""
+    return F.coalesce("sale_id", F.concat(F.lit("#"), F.col("values").cast("string")))
+
+
 def read_lines(spark: SparkSession, sink: str, months: list[str] | None = None) -> DataFrame:
-    """The newest version of every line, or of those in some months. A line without an id is told by its values."""
-    versions = read_versions(spark, sink)
-    if months is not None:
-        versions = versions.filter(F.col("sale_month").isin(months))
-    key = F.coalesce("sale_id", F.concat(F.lit("#"), F.col("values").cast("string")))
-    newest = first_per_key(versions.withColumn("line", key), ["line"], newest_first())
-    return newest.select(*VERSIONS.names)
+    """The newest version of every line, or of the lines whose newest version is in some months."""
+    versions = read_versions(spark, sink).withColumn("line", line_key())
+    if months is None:
+        return first_per_key(versions, ["line"], newest_first()).select(*VERSIONS.names)
+    here = F.col("sale_month").isin(months)
+    newest = first_per_key(versions.filter(here), ["line"], newest_first()).withColumn("age", F.struct(*newest_first()))
+    # A line may have been given another date: a newer version in another month takes it from here.
+    moved = versions.filter(~here).groupBy(F.col("line").alias("of")).agg(F.min(F.struct(*newest_first())).alias("age_there"))
+    return newest.join(moved, (F.col("line") == F.col("of")) & (F.col("age_there") < F.col("age")), "left_anti").select(*VERSIONS.names)
 
 
 def superseded_lines(spark: SparkSession, sink: str) -> DataFrame:
@@ -83,33 +90,36 @@ def batch_versions(batch: DataFrame, batch_id: int) -> DataFrame:
     lines = order_lines(batch, "pull_date")
     lines = lines.withColumn("values", F.xxhash64(*LINES.names)).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
     lines = lines.withColumn("sale_month", F.coalesce(month(F.col("sale_date")), F.lit(NO_DATE)))
-    key = F.coalesce("sale_id", F.concat(F.lit("#"), F.col("values").cast("string")))
-    return first_per_key(lines.withColumn("line", key), ["line"], newest_first()).drop("line")
+    return first_per_key(lines.withColumn("line", line_key()), ["line"], newest_first())
 
 
 def append_new_lines(batch: DataFrame, batch_id: int, sink: str) -> list[str]:
-    """Add the batch's lines that no earlier batch brought with the same values or from a newer pull; gives the months it touched.
+    """Add the batch's lines that no earlier batch brought with the same values or from a newer pull; gives the months it touched:
+    those of its lines and of their earlier versions.
 
-    Versions inside the batch collapse before the shuffle. Earlier versions are looked up in the months
-    that the batch touches, by four narrow columns. A batch that runs again replaces its own output.
+    Versions inside the batch collapse before the shuffle. Earlier versions are looked up in all months, as a line's date may
+    change, by four narrow columns. A batch that runs again replaces its own output.
     """
     spark = batch.sparkSession
     # A stream plans without adaptive execution; this batch wants it for peak months and small files.
     spark.conf.set("spark.sql.adaptive.enabled", True)
     lines = batch_versions(batch, batch_id).persist()
+    earlier = read_versions(spark, sink).filter(F.col("batch_id") < batch_id).withColumn("known_line", line_key())
+    earlier = earlier.join(lines.select("line"), F.col("known_line") == F.col("line"), "left_semi").groupBy("known_line")
+    earlier = earlier.agg(
+        F.max("pull_date").alias("known_pull"),
+        F.max_by("values", F.struct("pull_date", "batch_id")).alias("known_values"),
+        F.collect_set("sale_month").alias("known_months"),
+    ).persist()
     try:
         # A row per month: the list bounds what is read of the sink.
-        months = sorted(r.sale_month for r in lines.select("sale_month").distinct().collect())
-        earlier = read_versions(spark, sink).filter((F.col("batch_id") < batch_id) & F.col("sale_month").isin(months))
-        earlier = earlier.groupBy("sale_month", "sale_id").agg(
-            F.max("pull_date").alias("known_pull"),
-            F.max_by("values", F.struct("pull_date", "batch_id")).alias("known_values"),
-        )
-        same = (lines["sale_month"] == earlier["sale_month"]) & lines["sale_id"].eqNullSafe(earlier["sale_id"])
+        months = lines.select("sale_month").union(earlier.select(F.explode("known_months"))).distinct()
+        months = sorted(r.sale_month for r in months.collect())
         stale = (F.col("known_values") == F.col("values")) | (F.col("known_pull") > F.col("pull_date"))
-        fresh = lines.join(earlier, same & stale, "left_anti")
+        fresh = lines.join(earlier, (F.col("line") == F.col("known_line")) & stale, "left_anti")
         _write_versions(fresh.hint("rebalance", "sale_month"), sink)
     finally:
+        earlier.unpersist()
         lines.unpersist()
     return months
 

@@ -7,7 +7,7 @@ import pytest
 from stockflow.plans.feed import order_lines
 from stockflow.sources.landed_json import read_corrupt, read_landed
 from stockflow.streaming.orders import LINES, ingest_orders, read_lines, read_versions, superseded_lines
-from stockflow.streaming.revenue import keep_daily_revenue, monthly_from_daily, read_days
+from stockflow.streaming.revenue import daily_revenue, keep_daily_revenue, monthly_from_daily, read_days
 
 JULY = 1751587200000  # 2025-07-04
 DAY = 86_400_000
@@ -106,6 +106,24 @@ def test_a_batch_that_runs_again_counts_once(spark, landed, tmp_path):
     assert revenue(spark, sink)["2025-08"] == (10.5, 1.5) and read_versions(spark, sink).count() == 3
 
 
+def test_a_line_whose_date_moves_counts_once(spark, tmp_path):
+    """A date that is changed, filled in, taken back; a month that loses all its lines; a late older pull."""
+    sink = f"{tmp_path}/sink"
+    pulls = [
+        ("2025-08-01", [order("o1", JULY, A), order("o2", None, B), order("o4", JULY, ("d", 300, 1000, {"id": "P3"}))], {"2025-07": 23.0, None: 5.0}),
+        ("2025-09-01", [order("o1", JULY + 40 * DAY, A), order("o2", JULY, B)], {"2025-07": 8.0, "2025-08": 20.0}),
+        ("2025-10-01", [order("o1", JULY, A)], {"2025-07": 28.0}),
+        ("2025-08-15", [order("o1", JULY + 70 * DAY, A)], {"2025-07": 28.0}),
+        ("2025-11-01", [order("o4", JULY + 1 * DAY, ("d", 400, 1000, {"id": "P3"})), order("o3", JULY + 40 * DAY, C)], {"2025-07": 29.0, "2025-08": 10.5}),
+    ]
+    for i, (pull, docs, want) in enumerate(pulls):
+        land_docs(tmp_path, pull, "s1", f"{i}.json", docs)
+        keep_daily_revenue(spark, str(tmp_path), sink, files_per_batch=1).awaitTermination()
+        assert {m: x for m, (x, _) in revenue(spark, sink).items()} == want, pull
+        lines = daily_revenue(read_lines(spark, sink))
+        assert {r.month: float(r.revenue) for r in monthly_from_daily(lines).collect()} == want, pull
+
+
 def test_line_schema(spark, landed):
     assert order_lines(read_landed(spark, str(landed), "orders")).dtypes == [(f.name, f.dataType.simpleString()) for f in LINES.fields]
 
