@@ -56,4 +56,20 @@ def settle(df: DataFrame, name: str) -> DataFrame:
     """
     path = new_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    settled = df.sparkSession.read.schema(df.schema).parquet(path)
+    settled._settled_at = path
+    return settled
+
+
+def release(*tables: DataFrame | None) -> None:
+    """Delete settled tables that nothing will read any more (what is no settled table is passed over), and let Spark's cleaner
+    remove the shuffles of plans that are gone: it acts when the driver's JVM collects garbage, which may otherwise come late."""
+    spark = None
+    for table in tables:
+        path = None if table is None else table.__dict__.pop("_settled_at", None)
+        if path:
+            spark = table.sparkSession
+            at = spark._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(at, True)
+    if spark:
+        spark._jvm.System.gc()
