@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stockflow.session import settle
+from stockflow.session import release, settle
 
 
 #: Links per file of what is written between steps: few links make few tasks, whatever the shuffles' number of partitions.
@@ -22,7 +22,9 @@ def _stars(links: DataFrame, large: bool, files: int) -> DataFrame:
     hung = hung.select(F.col("least").alias("a"), "b")
     if not large:
         hung = hung.unionByName(least.where("node != least").select(F.col("least").alias("a"), F.col("node").alias("b")))
-    return settle(hung.where("a != b").distinct().coalesce(files), "star-links")
+    stars = settle(hung.where("a != b").distinct().coalesce(files), "star-links")
+    release(least)
+    return stars
 
 
 def components(links: DataFrame, rounds: int = 40) -> DataFrame:
@@ -32,11 +34,15 @@ def components(links: DataFrame, rounds: int = 40) -> DataFrame:
     the longest chain; each is written, which cuts the lineage.
     """
     links = links.where("a != b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    links, seen = settle(links, "links"), None
-    files = links.count() // LINKS_PER_FILE + 1  # stars never have more links than they began with
-    links = settle(links.coalesce(files), "links")
+    whole, seen = settle(links, "links"), None
+    files = whole.count() // LINKS_PER_FILE + 1  # stars never have more links than they began with
+    links = settle(whole.coalesce(files), "links")
+    release(whole)
     for _ in range(rounds):
-        links = _stars(_stars(links, True, files), False, files)
+        large = _stars(links, True, files)
+        small = _stars(large, False, files)
+        release(links, large)
+        links = small
         now = tuple(links.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
         if now == seen:
             break

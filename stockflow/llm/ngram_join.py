@@ -1,15 +1,22 @@
 """Exact n-gram Jaccard join: size-banded tiles, hashed bitmaps, sorted-array intersection.
 
-1. A text's set: its distinct `gram`-word shingles as 51-bit hashes, sorted. Texts with the same set are one node.
+1. A text's set: its distinct `gram`-word shingles as 51-bit hashes, sorted. Texts with the same set (a 64-bit name) are one node.
 2. Tiles. Sizes fall into bands; sets that can link are in one band or in two that touch, and a set near its band's upper
    border also enters the next band's tiles. Two sets that link differ in at most `d` elements, d from the band's greatest size; a
    band's tiles divide the hash range into d + 1 + m parts, so two sets that link agree on m + 1 parts at least. A tile
    holds the sets with the same content of one part: no link is missed, and a phrase in many texts makes no large tile. A set with
-   at most m empty parts agrees on a part that is not empty, so its empty parts make no tiles. Tiles with the same members count once.
-3. Within a tile, all sets are compared with one of them, which then leaves the tile: some rounds of this join what is alike. Tiles that
-   still hold more than one component are compared in blocks, pairs of different components only. Bit counts of hashed bitmaps
-   bound the overlap from above, and only pairs within the bound go on to the intersection. No pairs are made within what is already linked.
-4. Components of the links, named by the smallest doc_id.
+   at most m empty parts agrees on a part that is not empty, so its empty parts make no tiles.
+3. Most tiles hold one set. Tiles go over the network once, packed: 12 bytes for each tile and set, sorted, in one message per range of tile
+   names and so many tiles; a task of a range hands on what it finds more than once. The number of ranges grows with the shingles, and a
+   tile of very many sets sends each range one entry per message, its other sets directly, spread over all ranges.
+4. Candidates. Each tile has a centre, its set with the least hash. Every set is compared first with the centre that it shares most tiles with;
+   that links most of what is alike. Then, within each tile that still holds more than one component, all sets are compared with its centre, which
+   then leaves the tile, for some rounds. Tiles that are still open are compared in blocks, pairs of different components only. Tiles with the
+   same members count once. Bit counts of hashed bitmaps bound the overlap from above, and only pairs within the bound go on to the
+   intersection. No pairs are made within what is already linked.
+5. Components of the links, named by the smallest doc_id.
+
+Each step is written; what it was made from is deleted as soon as nothing reads it any more.
 
 Defined results: words are lower-cased (A-Z); a text with fewer words than a shingle has one shingle, the whole sequence; null and empty
 texts have the empty set and link with nothing; repeated rows are one node; a row without doc_id links with nothing and
@@ -30,7 +37,7 @@ from stockflow.llm import bloom
 from stockflow.llm.common import ship, text_slices
 from stockflow.llm.components import components
 from stockflow.llm.words import Words, mix
-from stockflow.session import settle
+from stockflow.session import release, settle
 
 #: Bits of a shingle's hash; the other bits of a 64-bit value hold the text's place in a slice.
 BITS = 51
@@ -41,6 +48,8 @@ PLACES = 1 << (63 - BITS)
 BAND = 1.35
 #: Rows of a tile that are compared with each other at once.
 BLOCK = 256
+#: Tiles that a task packs together, and about how many of them a range of tile names holds; there are `RANGES` at least.
+PACKED, RANGE_TILES, RANGES = 1 << 20, 1 << 20, 64
 
 
 class Bands:
@@ -127,12 +136,12 @@ def tiles(elements: np.ndarray, offsets: np.ndarray, bands: Bands) -> tuple[np.n
 
 
 def bitmaps(elements: np.ndarray, offsets: np.ndarray, bands: Bands) -> list[bytes]:
-    """Each text's bitmap: as many bits as the power of two over eight times the largest size of its band."""
+    """Each text's bitmap: as many bits as the power of two over twice the largest size of its band."""
     sizes = np.diff(offsets)
     own = bands.of(np.maximum(sizes, 1))
     found = []
     for d, n in enumerate(sizes):
-        width = 1 << max(6, int(8 * bands.edges[own[d] + 1]).bit_length()) if n else 64
+        width = 1 << max(6, int(2 * bands.edges[own[d] + 1]).bit_length()) if n else 64
         bits = np.zeros(width, np.uint8)
         bits[elements[offsets[d] : offsets[d + 1]] & np.uint64(width - 1)] = 1
         found.append(np.packbits(bits).tobytes())
@@ -154,27 +163,78 @@ def _sketch_rows(gram: int):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in text_slices(batches, rows=PLACES):
             elements, offsets = sets(part.column("text"), gram)
-            columns = [part.column("doc_id"), pa.array(np.diff(offsets).astype(np.int64)), pa.array(names(elements, offsets))]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n", "node"])
+            columns = [part.column("doc_id"), part.column("hash"), pa.array(np.diff(offsets).astype(np.int64)), pa.array(names(elements, offsets))]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "hash", "n", "node"])
 
     return rows
 
 
-def _tile_rows(bands: Bands, gram: int):
-    """(tile, node) of all texts that have shingles."""
+def _distinct(tiles: np.ndarray, nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct (tile, node) in order, and where a tile begins."""
+    by = np.lexsort((nodes, tiles))
+    tiles, nodes = tiles[by], nodes[by]
+    begins = np.ones(len(tiles), bool)
+    begins[1:] = tiles[1:] != tiles[:-1]
+    new = begins.copy()
+    new[1:] |= nodes[1:] != nodes[:-1]
+    return tiles[new], nodes[new], begins[new]
+
+
+def _tile_messages(bands: Bands, gram: int, ranges: int):
+    """Messages (range, shared, tiles, nodes) of all texts that have shingles; a tile's name is its range and 32 bits.
+
+    Not shared: of each tile that the texts packed here have, one set, by the 32 bits, to the tile's range. Shared: the whole names of tiles that several
+    sets of them have, and those sets, each to a range by its own name.
+    """
+
+    def messages(tile: np.ndarray, node: np.ndarray) -> Iterator[pa.RecordBatch]:
+        high = (tile >> np.uint64(32)) * np.uint64(ranges) >> np.uint64(32)
+        tile, node, begins = _distinct((high << np.uint64(32)) | (tile & np.uint64(0xFFFFFFFF)), node)
+        ends = np.append(begins[1:], True)
+        several = ~(begins & ends)
+        to = np.concatenate([(tile[begins] >> np.uint64(32)).astype(np.int64), node[several] % ranges])
+        shared = np.arange(len(to)) >= begins.sum()
+        tile, node = np.concatenate([tile[begins], tile[several]]), np.concatenate([node[begins], node[several]])
+        by = np.argsort(to * 2 + shared, kind="stable")
+        to, shared, tile, node = to[by], shared[by], tile[by], node[by]
+        edges = np.flatnonzero(np.concatenate([[True], (np.diff(to) != 0) | (np.diff(shared) != 0), [True]]))
+        tiles = [(tile[a:b] if shared[a] else tile[a:b].astype(np.uint32)).tobytes() for a, b in zip(edges[:-1], edges[1:], strict=True)]
+        nodes = [node[a:b].tobytes() for a, b in zip(edges[:-1], edges[1:], strict=True)]
+        columns = [pa.array(to[edges[:-1]]), pa.array(shared[edges[:-1]]), pa.array(tiles, pa.binary()), pa.array(nodes, pa.binary())]
+        yield pa.RecordBatch.from_arrays(columns, ["range", "shared", "tiles", "nodes"])
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n = [], 0
         for part in text_slices(batches, rows=PLACES):
             elements, offsets = sets(part.column("text"), gram)
             texts, keys = tiles(elements, offsets, bands)
-            name = names(elements, offsets)
-            for start in range(0, len(keys), 1 << 18):
-                some = slice(start, start + (1 << 18))
-                yield pa.RecordBatch.from_arrays([pa.array(keys[some].view(np.int64)), pa.array(name[texts[some]])], ["tile", "node"])
+            held.append((keys, names(elements, offsets)[texts]))
+            n += len(keys)
+            if n >= PACKED:
+                yield from messages(*map(np.concatenate, zip(*held, strict=True)))
+                held, n = [], 0
+        if n:
+            yield from messages(*map(np.concatenate, zip(*held, strict=True)))
 
     return rows
 
 
+def _shared_members(key: tuple, table: pa.Table) -> pa.Table:
+    """(tile, node) of the tiles of a range that more than one set has."""
+    high = np.uint64(key[0].as_py() << 32)
+    own, found = [[], []], [[], []]
+    for shared, tile, node in zip(*(table.column(c).to_pylist() for c in ("shared", "tiles", "nodes")), strict=True):
+        to = found if shared else own
+        to[0].append(np.frombuffer(tile, np.uint64 if shared else np.uint32))
+        to[1].append(np.frombuffer(node, np.int64))
+    if own[0]:
+        tile, node, begins = _distinct(np.concatenate(own[0]), np.concatenate(own[1]))
+        several = ~(begins & np.append(begins[1:], True))
+        found[0].append(tile[several].astype(np.uint64) | high)
+        found[1].append(node[several])
+    return pa.table({"tile": pa.array(np.concatenate(found[0]).view(np.int64)), "node": pa.array(np.concatenate(found[1]))})
+
+
 def _within_bound(percent: int):
     """Pairs whose bitmaps allow a link."""
 
@@ -245,32 +305,42 @@ class Join:
     def __init__(self, docs: DataFrame, gram: int = 3, percent: int = 90, stars: int = 2):
         ship(docs.sparkSession)
         self.gram, self.percent, self.stars, self.bands = gram, percent, stars, Bands(percent)
-        self.docs = docs.selectExpr("cast(doc_id as long) doc_id", "text")
-        self.sketch = settle(self.docs.mapInArrow(_sketch_rows(gram), "doc_id long, n long, node long"), "ngram-sketch")
+        self.docs = docs.selectExpr("cast(doc_id as long) doc_id", "text", "xxhash64(text) hash")
+        self.sketch = settle(self.docs.mapInArrow(_sketch_rows(gram), "doc_id long, hash long, n long, node long"), "ngram-sketch")
         named = self.sketch.where("n > 0 and doc_id is not null")
         self.nodes = settle(
-            named.groupBy("node").agg(F.min(F.struct("doc_id", "n")).alias("least"), F.count("*").alias("copies")).select(
-                "node", F.col("least.doc_id").alias("doc_id"), F.col("least.n").alias("n"), "copies"
-            ),
+            named.groupBy("node").agg(F.min(F.struct("doc_id", "n", "hash")).alias("least")).select("node", "least.doc_id", "least.n", "least.hash"),
             "ngram-nodes",
         )
-        # Made twice from the texts, which costs less than keeping it; the second time only what a filter of the shared tiles lets by is shuffled.
-        member = self.docs.where("doc_id is not null").mapInArrow(_tile_rows(self.bands, gram), "tile long, node long")
-        shared = member.groupBy(F.col("tile").alias("shared")).agg(F.min("node").alias("least"), F.max("node").alias("most"))
-        shared = settle(shared.where("least < most").select("shared"), "ngram-tiles")
-        maybe = bloom.probe(member, F.col("tile"), bloom.build(shared, F.col("shared"), shared.count()), "maybe").where("maybe")
-        members = settle(maybe.join(shared, F.col("tile") == F.col("shared")).select("tile", "node").distinct(), "ngram-members")
-        alike = members.groupBy("tile").agg(F.count("*").alias("n"), F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("sum"))
-        once = settle(alike.groupBy("n", "sum").agg(F.min("tile").alias("once")).select("once"), "ngram-tiles-once")
-        self.members = settle(members.join(once, F.col("tile") == F.col("once"), "left_semi"), "ngram-members-once")
+        self.members = self._members()
         self.near = self._near()
 
+    def _members(self) -> DataFrame:
+        """(tile, node) of the tiles that hold several sets; of tiles with the same sets, one."""
+        shingles = self.sketch.agg(F.sum("n")).first()[0] or 0
+        # About so many tiles: parts of a set's own band and of the next.
+        tiles_ = 5 * shingles * (100 - self.percent) // (100 + self.percent)
+        messages = self.docs.where("doc_id is not null").mapInArrow(
+            _tile_messages(self.bands, self.gram, max(RANGES, tiles_ // RANGE_TILES)), "range long, shared boolean, tiles binary, nodes binary"
+        )
+        every = messages.groupBy("range").applyInArrow(_shared_members, "tile long, node long")
+        every = settle(every, "ngram-tile-members")
+        members = settle(every.distinct(), "ngram-members")
+        alike = members.groupBy("tile").agg(F.count("*").alias("n"), F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("sum")).where("n > 1")
+        once = settle(alike.groupBy("n", "sum").agg(F.min("tile").alias("once"), F.count("*").alias("times")).select("once", "times"), "ngram-tiles-once")
+        kept = settle(members.join(once, F.col("tile") == F.col("once")).select("tile", "node", "times"), "ngram-members-once")
+        release(every, members, once)
+        return kept
+
     def _near(self) -> DataFrame:
         """(node, n, bits, set) of the nodes that share a tile, from the text of each one's least document; other texts are not shuffled."""
         shared = self.members.select(F.col("node").alias("m")).distinct()
-        ids = settle(self.nodes.join(shared, F.col("node") == F.col("m"), "left_semi").select(F.col("doc_id").alias("id")).distinct(), "ngram-wanted")
-        maybe = bloom.probe(self.docs, F.col("doc_id"), bloom.build(ids, F.col("id"), ids.count()), "maybe").where("maybe")
-        texts = maybe.join(ids, F.col("doc_id") == F.col("id")).select("doc_id", "text")  # a semi join would be planned before the probe
+        ids = settle(self.nodes.join(shared, F.col("node") == F.col("m"), "left_semi").selectExpr("doc_id id", "hash of_text"), "ngram-wanted")
+        filter_ = bloom.build(ids, F.col("id"), ids.count())
+        maybe = bloom.probe(self.docs, F.col("doc_id"), filter_, "maybe").where("maybe")
+        # Repeated rows come together before the shuffle and are one row of the join.
+        maybe = maybe.groupBy("doc_id", "hash").agg(F.first("text").alias("text"))
+        texts = maybe.join(ids, (F.col("doc_id") == F.col("id")) & (F.col("hash") == F.col("of_text"))).select("doc_id", "text")  # a semi join would be planned before the probe
         gram, bands = self.gram, self.bands
 
         def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -280,46 +350,67 @@ class Join:
                 columns = [names(elements, offsets), np.diff(offsets).astype(np.int64), pa.array(bitmaps(elements, offsets, bands), pa.binary()), lists]
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["node", "n", "bits", "set"])
 
-        return settle(texts.mapInArrow(rows, "node long, n long, bits binary, set array<long>"), "ngram-near")
+        near = settle(texts.mapInArrow(rows, "node long, n long, bits binary, set array<long>"), "ngram-near")
+        release(ids, filter_.table)
+        return near
 
     def links(self, pairs: DataFrame) -> DataFrame:
         """The pairs (a, b) that link: within the bound of the bitmaps first, then by intersection."""
         bits = self.near.select("node", "n", "bits")
-        sides = pairs.join(bits.selectExpr("node x", "n n1", "bits bits1"), F.col("a") == F.col("x")).join(
+        sides = pairs.distinct().join(bits.selectExpr("node x", "n n1", "bits bits1"), F.col("a") == F.col("x")).join(
             bits.selectExpr("node y", "n n2", "bits bits2"), F.col("b") == F.col("y")
         )
         bound = settle(sides.select("a", "b", "n1", "n2", "bits1", "bits2").mapInArrow(_within_bound(self.percent), "a long, b long"), "ngram-bound")
         sides = bound.join(self.near.selectExpr("node x", "set set1"), F.col("a") == F.col("x")).join(
             self.near.selectExpr("node y", "set set2"), F.col("b") == F.col("y")
         )
-        return settle(sides.select("a", "b", "set1", "set2").mapInArrow(_linked(self.percent), "a long, b long").distinct(), "ngram-links")
+        found = settle(sides.select("a", "b", "set1", "set2").mapInArrow(_linked(self.percent), "a long, b long"), "ngram-links")
+        release(bound)
+        return found
 
     @staticmethod
-    def _open(members: DataFrame, links: DataFrame | None) -> DataFrame:
+    def _open(members: DataFrame, links: DataFrame) -> DataFrame:
         """(tile, node, component) of the tiles that hold more than one component."""
-        if links is None:
-            return members.withColumn("component", F.col("node"))
-        known = settle(components(links), "ngram-components").select(F.col("node").alias("of"), "component")
-        told = members.select("tile", "node").join(known, F.col("node") == F.col("of"), "left")
+        known = settle(components(links), "ngram-components")
+        named = known.select(F.col("node").alias("of"), "component")
+        told = members.select("tile", "node").join(named, F.col("node") == F.col("of"), "left")
         told = settle(told.select("tile", "node", F.coalesce("component", "node").alias("component")), "ngram-told")
         split = told.groupBy(F.col("tile").alias("open")).agg(F.min("component").alias("c1"), F.max("component").alias("c2")).where("c1 < c2")
-        return settle(told.join(settle(split.select("open"), "ngram-open"), F.col("tile") == F.col("open"), "left_semi"), "ngram-open-members")
+        split = settle(split.select("open"), "ngram-open")
+        open_ = settle(told.join(split, F.col("tile") == F.col("open"), "left_semi"), "ngram-open-members")
+        release(known, told, split)
+        return open_
+
+    @staticmethod
+    def _centres(members: DataFrame, *more: str) -> DataFrame:
+        centre = members.groupBy(F.col("tile").alias("of")).agg(F.min_by(F.struct("node", *more), F.xxhash64("node")).alias("centre"))
+        return settle(centre, "ngram-centres")
+
+    @staticmethod
+    def _ordered(pairs: DataFrame) -> DataFrame:
+        return pairs.select(F.least("node", "centre.node").alias("a"), F.greatest("node", "centre.node").alias("b"))
 
     def node_links(self) -> DataFrame:
         """Links between nodes that join all that is joined; within a component not every link is listed."""
-        links, open_ = None, self._open(self.members, None)
+        centre = self._centres(self.members)
+        pairs = self.members.join(centre, F.col("tile") == F.col("of")).where(F.col("node") != F.col("centre.node"))
+        met = pairs.groupBy("node", "centre").agg(F.sum("times").alias("times"))
+        most = settle(met.groupBy("node").agg(F.max_by("centre", F.struct("times", "centre")).alias("centre")), "ngram-most")
+        links = self.links(self._ordered(most))
+        open_ = self._open(self.members, links)
+        release(self.members, centre, most)
         for _ in range(self.stars):
-            centre = open_.groupBy(F.col("tile").alias("of")).agg(F.min_by(F.struct("node", "component"), F.xxhash64("node")).alias("centre"))
-            centre = settle(centre, "ngram-centres")
+            if not open_.count():
+                return links
+            centre = self._centres(open_, "component")
             around = settle(open_.join(centre, F.col("tile") == F.col("of")).where(F.col("node") != F.col("centre.node")), "ngram-around")
-            pairs = around.where(F.col("component") != F.col("centre.component"))
-            found = self.links(pairs.select(F.least("node", "centre.node").alias("a"), F.greatest("node", "centre.node").alias("b")).distinct())
-            links = found if links is None else links.unionByName(found)
+            release(open_, centre)
+            found = self.links(self._ordered(around.where(F.col("component") != F.col("centre.component"))))
+            links = links.unionByName(found)
             # The centre has met every member, so it leaves the tile.
             open_ = self._open(around, links)
-            if not open_.count():
-                return links
-        return links.unionByName(self.links(self._rest(open_)))
+            release(around)
+        return links.unionByName(self.links(self._rest(open_))) if open_.count() else links
 
     def _rest(self, open_: DataFrame) -> DataFrame:
         """Pairs of different components in one tile that the bitmaps allow; large tiles are dealt out in blocks."""
@@ -335,7 +426,9 @@ class Join:
 
     def result(self) -> DataFrame:
         """For each row: doc_id, n_shingles, component_id."""
-        joined = settle(components(self.node_links()), "ngram-final").select(F.col("node").alias("of"), "component")
+        joined = settle(components(self.node_links()), "ngram-final")
+        release(self.near)
+        joined = joined.select(F.col("node").alias("of"), "component")
         named = self.nodes.join(joined, F.col("node") == F.col("of"), "left").select("node", F.coalesce("component", "node").alias("component"), "doc_id")
         named = settle(named, "ngram-named")
         least = settle(named.groupBy(F.col("component").alias("c")).agg(F.min("doc_id").alias("component_id")), "ngram-least")
