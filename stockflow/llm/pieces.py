@@ -9,7 +9,8 @@ A pair of characters that lies next to each other in no piece can never be merge
 agenda of its own; that gives the same symbols as one agenda for the whole text. Answers for short stretches are kept, since words
 come back: at most `KEPT` of them in a worker.
 
-Each Arrow batch's ids are compared with the sentencepiece library's; a difference ends the job with an error (`check=False`: not).
+In each Arrow batch the answers for stretches that are new are compared with the sentencepiece library's, for each stretch as a text of its own; a
+difference ends the job with an error (`check=False`: not). All ids are made of such answers.
 
 Vocabularies with unused or user-defined pieces, and those whose library changes texts otherwise than by marks (a normaliser), are
 refused: the first by name, the second by the comparison.
@@ -22,8 +23,10 @@ an empty result; further columns are not looked at. Memory: of one slice of text
 from __future__ import annotations
 
 import codecs
+import gc
 import re
 from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 from heapq import heapify, heappop, heappush
 from itertools import chain, groupby
 
@@ -161,8 +164,8 @@ class Vocabulary(dict):
             return (i,)
         return [self.bytes[b] for b in symbol.encode()] if self.bytes else (self.unknown,)
 
-    def encode(self, texts: list[str | None]) -> list[list[int]]:
-        """The ids of each text."""
+    def encode(self, texts: list[str | None], check: bool = False) -> list[list[int]]:
+        """The ids of each text; `check`: new answers are held against the library's."""
         split = [self.stretch.findall(MARK + t.replace(" ", MARK)) if t else [] for t in texts]
         every = set(chain.from_iterable(split))
         new = every - self.keys()
@@ -170,8 +173,17 @@ class Vocabulary(dict):
             self.clear()
             new = every
         self.learn({s for s in new if len(s) <= SHORT})
+        if check:
+            self.compare([s for s in new if s != MARK])  # the mark alone is no text's
         return [list(chain.from_iterable(map(self.__getitem__, x))) for x in split]
 
+    def compare(self, stretches: list[str]) -> None:
+        """A stretch begins with a mark, which the library puts before every text."""
+        theirs = self.library.encode([s[1:].replace(MARK, " ") for s in stretches], num_threads=1)
+        for s, ids in zip(stretches, theirs, strict=True):
+            if self[s] != tuple(ids):
+                raise ValueError(f"the ids of {s!r} are not those of the library")
+
     def decode(self, ids: list[int] | None) -> str:
         if not ids:
             return ""
@@ -232,6 +244,16 @@ def vocabulary(model: str) -> Vocabulary:
     return _vocabularies[model]
 
 
+@contextmanager
+def no_collection() -> Iterator[None]:
+    """Python looks for cycles after so many new objects; here there are many and no cycle."""
+    gc.disable()
+    try:
+        yield
+    finally:
+        gc.enable()
+
+
 def encode(docs: DataFrame, model: str, check: bool = True) -> DataFrame:
     """(doc_id, ids) of every row; `model`: a vocabulary file that every executor has."""
     ship(docs.sparkSession)
@@ -240,10 +262,8 @@ def encode(docs: DataFrame, model: str, check: bool = True) -> DataFrame:
         words = vocabulary(model)
         for part in text_slices(batches):
             texts = part.column("text").to_pylist()
-            ids = words.encode(texts)
-            if check and ids != words.library.encode([t or "" for t in texts], num_threads=1):
-                wrong = next(d for d, t, i in zip(part.column("doc_id").to_pylist(), texts, ids, strict=True) if i != words.library.encode(t or ""))
-                raise ValueError(f"doc_id {wrong}: the ids are not those of the library")
+            with no_collection():
+                ids = words.encode(texts, check)
             ends = np.cumsum([0, *map(len, ids)]).astype(np.int32)
             flat = np.fromiter(chain.from_iterable(ids), np.int32, int(ends[-1]))
             lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
@@ -263,7 +283,8 @@ def decode(encoded: DataFrame, model: str) -> DataFrame:
                 part = batch.slice(start, 256)
                 ids = part.column("ids").fill_null([])
                 flat, ends = ids.flatten().to_numpy(zero_copy_only=False).tolist(), np.cumsum([0, *pc.list_value_length(ids).to_pylist()]).tolist()
-                texts = pa.array([words.decode(flat[a:b]) for a, b in zip(ends[:-1], ends[1:], strict=True)], pa.string())
+                with no_collection():
+                    texts = pa.array([words.decode(flat[a:b]) for a, b in zip(ends[:-1], ends[1:], strict=True)], pa.string())
                 yield pa.RecordBatch.from_arrays([*(part.column(c) for c in ("doc_id", "ids")), texts], ["doc_id", "ids", "text"])
 
     return encoded.select("doc_id", "ids").mapInArrow(rows, "doc_id long, ids array<int>, text string")
