@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stockflow.llm.common import ship
-from stockflow.session import settle
+from stockflow.session import release, settle
 
 #: Anchors that meet a pack at once, scores of them that are held at once, and how much further each round goes.
 BLOCK, HELD, GROWTH = 512, 1 << 21, 16
@@ -171,7 +171,7 @@ def _asks(index: Index, quota: int):
         for batch in batches:
             cells, seen, bounds = [], [], []
             x = matrix(batch.column("v")).astype(np.float64) if batch.num_rows else []
-            for a, done, windows in zip(x, batch.column("seen").to_pylist(), batch.column("windows").to_pylist(), strict=True):
+            for a, done, top in zip(x, batch.column("seen").to_pylist(), batch.column("top").to_pylist(), strict=True):
                 upper, lower = [], []
                 for h, book, radius in zip((a[:half], a[half:]), books, radii, strict=True):
                     near, reach = book @ h, np.linalg.norm(h) * radius
@@ -179,7 +179,7 @@ def _asks(index: Index, quota: int):
                     upper.append(near + reach + slack)
                     lower.append(near - reach - slack)
                 some, held, bound, k = [], 0, None, 0
-                for k, (u, cell) in enumerate(visits(upper, lower, counts, max(w["high"] for w in windows))):
+                for k, (u, cell) in enumerate(visits(upper, lower, counts, top)):
                     if k < done:
                         continue
                     if held >= quota:
@@ -190,9 +190,9 @@ def _asks(index: Index, quota: int):
                 cells.append(some)
                 seen.append(done + len(some))
                 bounds.append(bound)
-            columns = [batch.column(c) for c in ("anchor", "label", "v", "windows")]
+            columns = [batch.column(c) for c in ("anchor", "label", "v", "windows", "top")]
             columns += [pa.array(seen, pa.int64()), pa.array(bounds, pa.float64()), pa.array(cells, pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays(columns, ["anchor", "label", "v", "windows", "seen", "bound", "asked"])
+            yield pa.RecordBatch.from_arrays(columns, ["anchor", "label", "v", "windows", "top", "seen", "bound", "asked"])
 
     return rows
 
@@ -226,13 +226,14 @@ def _best(same: bool, wanted: int):
     return rows
 
 
-def search(index: Index, anchors: DataFrame, same: bool, wanted: int, quota: int = 16_384) -> DataFrame:
+def search(index: Index, anchors: DataFrame, same: bool, wanted: int, quota: int = 4096) -> DataFrame:
     """(anchor, tag, vec_id, score): the first `wanted` rows of each window of each anchor, of the anchor's label (`same`) or of others.
 
     `anchors`: anchor, label, v, windows (tag, and the least and greatest score).
     """
-    state = settle(anchors.select("anchor", "label", "v", "windows", F.lit(0).cast("long").alias("seen")), "negatives-anchors")
-    kind = f"anchor long, label long, v array<long>, windows {WINDOW}, seen long, bound double, asked array<long>"
+    top = F.array_max(F.col("windows.high")).alias("top")  # the same in all rounds, so that the order of visits is
+    state = settle(anchors.select("anchor", "label", "v", "windows", top, F.lit(0).cast("long").alias("seen")), "negatives-anchors")
+    kind = f"anchor long, label long, v array<long>, windows {WINDOW}, top long, seen long, bound double, asked array<long>"
     found, left = None, state.count()
     while left:
         asks = settle(state.mapInArrow(_asks(index, quota), kind), "negatives-asks")
@@ -246,13 +247,15 @@ def search(index: Index, anchors: DataFrame, same: bool, wanted: int, quota: int
         new = new if found is None else new.unionByName(found)
         # row_number with a limit: each task drops what is behind the limit before the shuffle.
         ranked = new.selectExpr("*", "row_number() over (partition by anchor, tag order by score desc, vec_id) rank")
-        found = settle(ranked.where(F.col("rank") <= wanted).drop("rank"), "negatives-found")
+        before, found = found, settle(ranked.where(F.col("rank") <= wanted).drop("rank"), "negatives-found")
         last = found.groupBy("anchor", "tag").agg(F.count("*").alias("n"), F.min("score").alias("last"))
-        open_ = asks.where("bound is not null").select("anchor", "bound", F.explode("windows").alias("w")).select("anchor", "bound", "w.tag", "w.low")
-        open_ = open_.join(last, ["anchor", "tag"], "left").where(
-            (F.col("bound") >= F.col("low")) & ((F.coalesce("n", F.lit(0)) < wanted) | (F.col("bound") >= F.col("last")))
-        )
-        state = settle(asks.join(open_.select("anchor").distinct(), "anchor").select("anchor", "label", "v", "windows", "seen"), "negatives-state")
+        open_ = asks.where("bound is not null").select("anchor", "bound", F.explode("windows").alias("w")).select("anchor", "bound", "w.*")
+        # What is behind the last wanted score of a full window is not asked for again.
+        full = F.coalesce("n", F.lit(0)) >= wanted
+        open_ = open_.join(last, ["anchor", "tag"], "left").withColumn("low", F.when(full, F.greatest("low", "last")).otherwise(F.col("low")))
+        open_ = open_.where(F.col("bound") >= F.col("low")).groupBy("anchor").agg(F.collect_list(F.struct("tag", "low", "high")).alias("windows"))
+        state = settle(asks.select("anchor", "label", "v", "top", "seen").join(open_, "anchor"), "negatives-state")
+        release(asks, asked, before)
         left, quota = state.count(), quota * GROWTH
     if found is None:
         return index.packs.sparkSession.createDataFrame([], FOUND)
