@@ -143,7 +143,7 @@ def test_pieces_equal_the_library(library):
     texts = ["".join(rng.choice(letters) for _ in range(rng.randint(0, 60))) for _ in range(3000)]
     texts += ["", " ", "   ", "a" * 5000, "中" * 3000, "<s></s><0x41>", "\u0000", " a", "a ", "aé" * 40, "x" * 32, "x" * 33]
     ids = library.encode(texts)
-    assert vocabulary.encode(texts) == ids
+    assert vocabulary.encode(texts, check=True) == ids
     vocabulary.clear()
     assert [vocabulary.encode([t])[0] for t in texts] == ids
     assert [vocabulary.decode(i) for i in ids] == library.decode(ids)
@@ -159,6 +159,14 @@ def test_agenda_of_one_stretch_equals_that_of_rows():
     assert all(vocabulary[s] == alone[s] for s in stretches)
 
 
+def test_an_answer_unlike_the_library_s_is_an_error():
+    vocabulary = pieces.Vocabulary(MODEL)
+    vocabulary.compare(["▁there", "▁▁a"])
+    vocabulary["▁there"] = (5,)
+    with pytest.raises(ValueError, match="library"):
+        vocabulary.compare(["▁there"])
+
+
 def test_kept_answers_are_bounded(library, monkeypatch):
     monkeypatch.setattr(pieces, "KEPT", 50)
     vocabulary = pieces.Vocabulary(MODEL)
