@@ -1,5 +1,10 @@
 """Landed orders to sales lines, as a stream of newly landed files.
 
+The stream keeps one row of state for each line (Spark's state store, RocksDB): its newest version and whether it ever had other values. A batch
+reads and writes the state of its own lines only; the sink is not read to recognise versions, so a batch costs what it
+holds, however long the history. State has no time limit, since a line may be pulled again at any time: nothing is ever too late. It grows with the
+number of lines and lies in the checkpoint, of which each batch writes its changes.
+
 The sink holds versions of lines: a line that is pulled again unchanged is not written again, and one that is pulled
 again with other values is written as a new version. The version of the newest pull counts.
 """
@@ -39,6 +44,11 @@ VERSIONS = T.StructType(
 )
 # The partition of lines without a date.
 NO_DATE = "no-date"
+STATE = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    # A batch uploads what it changed, not the store.
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
 
 
 def read_versions(spark: SparkSession, sink: str) -> DataFrame:
@@ -47,7 +57,7 @@ def read_versions(spark: SparkSession, sink: str) -> DataFrame:
 
 
 def newest_first() -> list[Column]:
-    """Of a line's versions, the newest pull first; the other columns settle ties."""
+    """Of a line's versions, the newest pull first, then the newest batch; the other columns settle ties."""
     return [-F.unix_date("pull_date"), -F.col("batch_id")]
 
 
@@ -56,23 +66,21 @@ def line_key() -> Column:
     return F.coalesce("sale_id", F.concat(F.lit("#"), F.col("values").cast("string")))
 
 
-def read_lines(spark: SparkSession, sink: str, months: list[str] | None = None) -> DataFrame:
-    """The newest version of every line, or of the lines whose newest version is in some months."""
-    versions = read_versions(spark, sink).withColumn("line", line_key())
-    if months is None:
-        return first_per_key(versions, ["line"], newest_first()).select(*VERSIONS.names)
-    here = F.col("sale_month").isin(months)
-    newest = first_per_key(versions.filter(here), ["line"], newest_first()).withColumn("age", F.struct(*newest_first()))
-    # A line may have been given another date: a newer version in another month takes it from here.
-    moved = versions.filter(~here).groupBy(F.col("line").alias("of")).agg(F.min(F.struct(*newest_first())).alias("age_there"))
-    return newest.join(moved, (F.col("line") == F.col("of")) & (F.col("age_there") < F.col("age")), "left_anti").select(*VERSIONS.names)
+def newest(versions: DataFrame) -> DataFrame:
+    """The newest of each line's versions, with the line's key."""
+    return first_per_key(versions.withColumn("line", line_key()), ["line"], newest_first())
+
+
+def read_lines(spark: SparkSession, sink: str) -> DataFrame:
+    """The newest version of every line."""
+    return newest(read_versions(spark, sink)).select(*VERSIONS.names)
 
 
 def superseded_lines(spark: SparkSession, sink: str) -> DataFrame:
     """The versions that a newer pull replaced."""
-    versions, newest = read_versions(spark, sink), read_lines(spark, sink)
-    same = versions["sale_id"].eqNullSafe(newest["sale_id"]) & (versions["values"] == newest["values"])
-    return versions.join(newest, same, "left_anti")
+    versions, now = read_versions(spark, sink), read_lines(spark, sink)
+    same = versions["sale_id"].eqNullSafe(now["sale_id"]) & (versions["values"] == now["values"])
+    return versions.join(now, same, "left_anti")
 
 
 def _write_versions(lines: DataFrame, sink: str) -> None:
@@ -85,54 +93,55 @@ def _write_versions(lines: DataFrame, sink: str) -> None:
     )
 
 
-def batch_versions(batch: DataFrame, batch_id: int) -> DataFrame:
-    """The batch's lines, the newest version of each, with a hash of their values."""
-    lines = order_lines(batch, "pull_date")
-    lines = lines.withColumn("values", F.xxhash64(*LINES.names)).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-    lines = lines.withColumn("sale_month", F.coalesce(month(F.col("sale_date")), F.lit(NO_DATE)))
-    return first_per_key(lines.withColumn("line", line_key()), ["line"], newest_first())
+def touched_lines(orders: DataFrame) -> DataFrame:
+    """Of a stream of orders: after each batch, a row for every line that is in it.
+
+    line; newest (its version of the newest pull so far); is_new (no earlier batch had it); changed (it has had several values); months (all that
+    its versions were ever in). Copies inside a batch collapse before the shuffle.
+    """
+    lines = order_lines(orders, "pull_date").withColumn("arrived", F.current_timestamp())  # the batch's time, the same if it runs again
+    lines = lines.withColumn("values", F.xxhash64(*LINES.names)).withColumn("sale_month", F.coalesce(month(F.col("sale_date")), F.lit(NO_DATE)))
+    version = F.struct("pull_date", "arrived", "values", *LINES.names, "sale_month")
+    state = lines.groupBy(line_key().alias("line")).agg(
+        F.max(version).alias("newest"),
+        F.min("arrived").alias("first"),
+        F.max("arrived").alias("last"),
+        F.min("values").alias("low"),
+        F.max("values").alias("high"),
+        F.collect_set("sale_month").alias("months"),
+    )
+    return state.select("line", "newest", (F.col("first") == F.col("last")).alias("is_new"), (F.col("low") != F.col("high")).alias("changed"), "months")
+
+
+def fresh_versions(touched: DataFrame, batch_id: int) -> DataFrame:
+    """What a batch adds to the sink: the newest version of lines that are new, or that have had other values."""
+    fresh = touched.filter("is_new OR changed").select("line", "newest.*", "is_new", "changed", "months")
+    return fresh.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
 
 
-def append_new_lines(batch: DataFrame, batch_id: int, sink: str) -> list[str]:
-    """Add the batch's lines that no earlier batch brought with the same values or from a newer pull; gives the months it touched:
-    those of its lines and of their earlier versions.
+def append_fresh(fresh: DataFrame, sink: str) -> None:
+    """Add versions; a batch that runs again replaces its own output."""
+    _write_versions(fresh.hint("rebalance", "sale_month"), sink)
 
-    Versions inside the batch collapse before the shuffle. Earlier versions are looked up in all months, as a line's date may
-    change, by four narrow columns. A batch that runs again replaces its own output.
-    """
-    spark = batch.sparkSession
-    # A stream plans without adaptive execution; this batch wants it for peak months and small files.
-    spark.conf.set("spark.sql.adaptive.enabled", True)
-    lines = batch_versions(batch, batch_id).persist()
-    earlier = read_versions(spark, sink).filter(F.col("batch_id") < batch_id).withColumn("known_line", line_key())
-    earlier = earlier.join(lines.select("line"), F.col("known_line") == F.col("line"), "left_semi").groupBy("known_line")
-    earlier = earlier.agg(
-        F.max("pull_date").alias("known_pull"),
-        F.max_by("values", F.struct("pull_date", "batch_id")).alias("known_values"),
-        F.collect_set("sale_month").alias("known_months"),
-    ).persist()
-    try:
-        # A row per month: the list bounds what is read of the sink.
-        months = lines.select("sale_month").union(earlier.select(F.explode("known_months"))).distinct()
-        months = sorted(r.sale_month for r in months.collect())
-        stale = (F.col("known_values") == F.col("values")) | (F.col("known_pull") > F.col("pull_date"))
-        fresh = lines.join(earlier, (F.col("line") == F.col("known_line")) & stale, "left_anti")
-        _write_versions(fresh.hint("rebalance", "sale_month"), sink)
-    finally:
-        earlier.unpersist()
-        lines.unpersist()
-    return months
+
+def _ingest(touched: DataFrame, batch_id: int, sink: str) -> None:
+    # A stream plans without adaptive execution; the batch's own writes want it for peak months and small files.
+    touched.sparkSession.conf.set("spark.sql.adaptive.enabled", True)
+    append_fresh(fresh_versions(touched, batch_id), sink)
 
 
 def start(spark: SparkSession, landed_root: str, sink: str, handle, files_per_batch: int | None = None) -> StreamingQuery:
-    """A stream of landed orders through `handle(batch, batch_id)`; it stops once every landed file has been taken in.
+    """A stream of the lines touched by newly landed orders through `handle(touched, batch_id)`; it stops once every landed file has been taken in.
 
     The sink keeps the checkpoint, so a restart goes on where the last run ended.
     """
+    for key, value in STATE.items():
+        spark.conf.set(key, value)
     _write_versions(spark.createDataFrame([], VERSIONS), sink)
     return (
-        stream_landed(spark, landed_root, "orders", files_per_batch)
-        .writeStream.foreachBatch(handle)
+        touched_lines(stream_landed(spark, landed_root, "orders", files_per_batch))
+        .writeStream.outputMode("update")
+        .foreachBatch(handle)
         .option("checkpointLocation", f"{sink}/checkpoint")
         .trigger(availableNow=True)
         .start()
@@ -141,4 +150,4 @@ def start(spark: SparkSession, landed_root: str, sink: str, handle, files_per_ba
 
 def ingest_orders(spark: SparkSession, landed_root: str, sink: str, files_per_batch: int | None = None) -> StreamingQuery:
     """Start the ingest of lines."""
-    return start(spark, landed_root, sink, lambda batch, batch_id: append_new_lines(batch, batch_id, sink), files_per_batch)
+    return start(spark, landed_root, sink, lambda touched, batch_id: _ingest(touched, batch_id, sink), files_per_batch)

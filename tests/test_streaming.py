@@ -1,13 +1,14 @@
 """Streams drained file by file equal the batch result."""
 
 import json
+from pathlib import Path
 
 import pytest
 
 from stockflow.plans.feed import order_lines
 from stockflow.sources.landed_json import read_corrupt, read_landed
 from stockflow.streaming.orders import LINES, ingest_orders, read_lines, read_versions, superseded_lines
-from stockflow.streaming.revenue import daily_revenue, keep_daily_revenue, monthly_from_daily, read_days
+from stockflow.streaming.revenue import compact_days, daily_revenue, keep_daily_revenue, monthly_from_daily, read_days
 
 JULY = 1751587200000  # 2025-07-04
 DAY = 86_400_000
@@ -90,20 +91,62 @@ def test_daily_revenue_follows_the_lines(spark, landed, tmp_path):
     assert revenue(spark, sink) == {"2025-07": (23.0, 3.0), "2025-08": (10.5, 1.5)}
 
 
-def test_a_batch_that_runs_again_counts_once(spark, landed, tmp_path):
-    """The batches are handled again, in order and the last one twice, as after a crash before the commit."""
-    from stockflow.streaming.orders import VERSIONS, _write_versions
-    from stockflow.streaming.revenue import DAYS, _refresh, _write_days
+def forget_last_commit(sink):
+    """The last batch's output is there, its commit is not: as after a crash between the two."""
+    commits = sorted((Path(sink) / "checkpoint" / "commits").glob("[0-9]*"), key=lambda f: int(f.name))
+    for file in (commits[-1], commits[-1].with_name(f".{commits[-1].name}.crc")):
+        file.unlink(missing_ok=True)
+    return int(commits[-1].name)
+
 
+def test_a_batch_that_runs_again_counts_once(spark, landed, tmp_path):
+    sink = f"{tmp_path}/sink"
+    for docs in (None, [order("o1", JULY, ("a", 900, 2000, {"id": "P1"}))]):
+        if docs:
+            land_docs(landed, "2026-08-01", "s1", "4.json", docs)
+        keep_daily_revenue(spark, str(landed), sink, files_per_batch=1).awaitTermination()
+        want, versions = revenue(spark, sink), keys(read_versions(spark, sink))
+        last = forget_last_commit(sink)
+        query = keep_daily_revenue(spark, str(landed), sink, files_per_batch=1)
+        query.awaitTermination()
+        assert query.lastProgress["batchId"] == last
+        assert revenue(spark, sink) == want and keys(read_versions(spark, sink)) == versions
+    assert want == {"2025-07": (23.0, 3.0), "2025-08": (10.5, 1.5)} and len(versions) == 4
+
+
+def test_a_batch_does_not_read_the_sink(spark, tmp_path, monkeypatch):
+    """Ten pulls of the same lines and a new one each: the state alone tells what is known. Only a changed line is looked up, in its own months."""
+    from stockflow.streaming import revenue as module
+
+    asked = []
+    monkeypatch.setattr(module, "read_versions", lambda spark, sink: asked.append(1) or read_versions(spark, sink))
+    sink = f"{tmp_path}/sink"
+    for i in range(10):
+        land_docs(tmp_path, f"2025-{i // 2 + 1:02}-{i + 1:02}", "s1", f"{i}.json", [order("o1", JULY, A, B), order(f"n{i}", JULY + i * 30 * DAY, (f"x{i}", 100, 1000, None))])
+    # The first pull lands once more, at the end.
+    land_docs(tmp_path, "2025-01-01", "s1", "late.json", [order("o1", JULY, A, B)])
+    keep_daily_revenue(spark, str(tmp_path), sink, files_per_batch=1).awaitTermination()
+    assert not asked and read_versions(spark, sink).count() == 12
+    per_batch = {r.batch_id: r["count"] for r in read_versions(spark, sink).groupBy("batch_id").count().collect()}
+    assert sorted(per_batch.values()) == [1] * 9 + [3]
+    land_docs(tmp_path, "2025-12-01", "s1", "changed.json", [order("o1", JULY, ("a", 900, 2000, {"id": "P1"}))])
+    keep_daily_revenue(spark, str(tmp_path), sink, files_per_batch=1).awaitTermination()
+    assert len(asked) == 1
+    touched = spark.read.parquet(f"{sink}/days").filter("batch_id = 11").collect()
+    assert [(str(r.sale_date), float(r.revenue), float(r.units), r.n_lines) for r in touched] == [("2025-07-04", -2.0, 0.0, 0)]
+
+
+def test_days_are_compacted(spark, landed, tmp_path):
     sink = f"{tmp_path}/sink"
-    _write_versions(spark.createDataFrame([], VERSIONS), sink)
-    _write_days(spark.createDataFrame([], DAYS), sink)
-    docs = read_landed(spark, str(landed), "orders")
-    first, second = docs.filter("location = 's1'"), docs.filter("location = 's2'")
-    for batch, batch_id in ((first, 0), (first, 0), (second, 1), (second, 1)):
-        _refresh(batch, batch_id, sink)
-        assert revenue(spark, sink)["2025-07"] == (25.0, 3.0)
-    assert revenue(spark, sink)["2025-08"] == (10.5, 1.5) and read_versions(spark, sink).count() == 3
+    for i in range(3):
+        keep_daily_revenue(spark, str(landed), sink, files_per_batch=1).awaitTermination()
+        want = revenue(spark, sink)
+        compact_days(spark, sink)
+        compact_days(spark, sink)
+        assert revenue(spark, sink) == want
+        land_docs(landed, f"2026-08-0{i + 1}", "s1", f"c{i}.json", [order("o1", JULY + i * 40 * DAY, ("a", 800 - i, 2000, {"id": "P1"}))])
+    assert want == {"2025-07": (5.0, 1.0), "2025-08": (10.5 + 15.98, 3.5)}
+    assert len([d for d in (tmp_path / "sink" / "days-compacted").iterdir() if d.name.startswith("upto=")]) >= 2
 
 
 def test_a_line_whose_date_moves_counts_once(spark, tmp_path):
