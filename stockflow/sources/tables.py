@@ -5,22 +5,29 @@ sales      partitioned by `sale_month`, sorted by store and product
 inventory  partitioned by `snapshot_date`, sorted by store and product
 
 The partitions stand in for an index on the date, and the order for indexes on store and product:
-row groups outside a filter's range are skipped by their minimum and maximum.
+row groups outside a filter's range are skipped by their minimum and maximum. A manifest names the directories that are the table
+now (`manifest.py`), and so the greatest partition value; which ones a write made is observed by the write itself.
 """
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import schema
 from ..functions.dates import month
+from . import manifest
+from .manifest import WHOLE, Manifest
 
 PARTITIONED_BY = {"products": None, "sales": "sale_month", "inventory": "snapshot_date"}
+#: How Spark names the directory of a null partition value.
+NULL_VALUE = "__HIVE_DEFAULT_PARTITION__"
+#: The directory of a single write; each has its own, so that writers do not meet. Its rows lie apart by status: those of the table are CLEAN.
+VERSION, STATUS, CLEAN = "v", "status", "clean"
 
 
 @dataclass(frozen=True)
@@ -30,7 +37,7 @@ class Tables:
     inventory: DataFrame
     # Sales summed by store, genre, format and condition, when a suite has made them beforehand.
     cube: DataFrame | None = None
-    # One row per partition: the snapshot dates of inventory and the months of sales, where they are listed.
+    # The newest snapshot date of inventory and month of sales, as a table of one row, where a manifest tells them.
     snapshots: DataFrame | None = None
     months: DataFrame | None = None
     # What several results of a suite start from, by name.
@@ -52,34 +59,61 @@ def layout(df: DataFrame, name: str) -> DataFrame:
     return df.hint("rebalance", column).sortWithinPartitions(column, "location", "product_id")
 
 
-def write_table(df: DataFrame, root: str, name: str) -> None:
-    """Replace a table: drop, recreate, append in one overwrite."""
+@dataclass(frozen=True)
+class Written:
+    """Rows that lie below a table and are not part of it yet: the directory of the write, the partition values of each status, and what was observed."""
+
+    name: str
+    token: str
+    values: dict[str, list[str]]
+    observed: dict[str, object]
+
+    def parts(self, status: str = CLEAN) -> dict[str, list[str]]:
+        column = PARTITIONED_BY[self.name]
+        below = {v: f"/{column}={v}" if column else "" for v in self.values.get(status, [])}
+        return {v: [f"{VERSION}={self.token}/{STATUS}={status}{d}"] for v, d in below.items()}
+
+    def directories(self, *statuses: str) -> list[str]:
+        return [d for status in statuses for dirs in self.parts(status).values() for d in dirs]
+
+
+def write_rows(df: DataFrame, root: str, name: str, status: Column | None = None, **metrics: Column) -> Written:
+    """Write rows below a table without making them part of it; `status` tells them apart.
+
+    Partition values and `metrics` (aggregates over the rows) are observed by the tasks that write, each of which counts once, so nothing is read or
+    evaluated a second time.
+    """
     column = PARTITIONED_BY[name]
-    arranged = layout(df, name)
-    writer = arranged.write.mode("overwrite")
-    if column:
-        writer = writer.partitionBy(column)
-    writer.parquet(f"{root}/{name}")
-    if column:
-        written = df.sparkSession.read.schema(arranged.schema).parquet(f"{root}/{name}")
-        _list_partitions(written, root, name, "overwrite")
+    arranged = layout(df, name).withColumn(STATUS, F.lit(CLEAN) if status is None else status)
+    value = F.coalesce(F.col(column).cast("string"), F.lit(NULL_VALUE)) if column else F.lit(WHOLE)
+    token, seen = f"w{uuid.uuid4().hex}", Observation()
+    observed = arranged.observe(seen, F.collect_set(F.struct(F.col(STATUS), value.alias("value"))).alias("__values"), *[c.alias(n) for n, c in metrics.items()])
+    observed.write.partitionBy(STATUS, *([column] if column else [])).parquet(f"{root}/{name}/{VERSION}={token}")
+    found = seen.get
+    made: dict[str, list[str]] = {}
+    for r in found.pop("__values"):
+        made.setdefault(r[STATUS], []).append(r["value"])
+    return Written(name, token, made, found)
+
+
+def read_directories(spark: SparkSession, root: str, name: str, kind: T.StructType, directories: list[str]) -> DataFrame:
+    """The rows of some directories below a table, as one table of this layout."""
+    if not directories:
+        return spark.createDataFrame([], kind)
+    reader = spark.read.schema(kind).option("basePath", f"{root}/{name}")
+    return reader.parquet(*[f"{root}/{name}/{d}" for d in directories]).select(*kind.names)
 
 
-def _list_partitions(rows: DataFrame, root: str, name: str, mode: str) -> None:
-    """A row per partition value beside the table, so that the newest is found without opening the files of all."""
-    rows.select(PARTITIONED_BY[name]).distinct().write.mode(mode).parquet(f"{root}/partitions/{name}")
+def write_table(df: DataFrame, root: str, name: str) -> None:
+    """Replace a table. Readers see the old one until the new one is whole; its files stay until `manifest.remove_unread`."""
+    written = write_rows(df, root, name)
+    manifest.commit(df.sparkSession, root, name, lambda now: now.overwritten(written.parts()))
 
 
 def write_snapshots(df: DataFrame, root: str) -> None:
     """Add inventory snapshots; a snapshot date that is there already is replaced."""
-    (
-        layout(df, "inventory")
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("snapshot_date")
-        .parquet(f"{root}/inventory")
-    )
-    _list_partitions(df, root, "inventory", "append")
+    written = write_rows(df, root, "inventory")
+    manifest.commit(df.sparkSession, root, "inventory", lambda now: now.replaced(written.parts()))
 
 
 def table_schema(name: str, id_type: T.DataType) -> T.StructType:
@@ -89,23 +123,32 @@ def table_schema(name: str, id_type: T.DataType) -> T.StructType:
     return kind
 
 
+def _read(spark: SparkSession, root: str, name: str, id_type: T.DataType) -> tuple[DataFrame, Manifest | None]:
+    kind, now = table_schema(name, id_type), manifest.current(spark, root, name)
+    if now is None:  # written by something else: the newest partition is then looked for in the table
+        return spark.read.schema(kind).parquet(f"{root}/{name}"), None
+    return read_directories(spark, root, name, kind, now.directories), now
+
+
 def read_table(spark: SparkSession, root: str, name: str, id_type: T.DataType = T.StringType()) -> DataFrame:
-    return spark.read.schema(table_schema(name, id_type)).parquet(f"{root}/{name}")
+    """The table as it is now; what is written later does not change it."""
+    return _read(spark, root, name, id_type)[0]
 
 
-def _listed(spark: SparkSession, root: str, name: str, kind: str) -> DataFrame | None:
-    try:
-        return spark.read.schema(f"{PARTITIONED_BY[name]} {kind}").parquet(f"{root}/partitions/{name}")
-    except AnalysisException as missing:
-        if missing.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return None  # written by something else: the newest partition is then looked for in the table
+def _newest(spark: SparkSession, name: str, now: Manifest | None, kind: str) -> DataFrame | None:
+    if now is None:
+        return None
+    known = [v for v in now.parts if v != NULL_VALUE]
+    newest = spark.createDataFrame([(max(known, default=None),)], f"{PARTITIONED_BY[name]} string")
+    return newest.select(F.col(PARTITIONED_BY[name]).cast(kind))
 
 
 def read_tables(spark: SparkSession, root: str, id_type: T.DataType = T.StringType()) -> Tables:
-    tables = [read_table(spark, root, name, id_type) for name in PARTITIONED_BY]
-    lists = {"snapshots": _listed(spark, root, "inventory", "date"), "months": _listed(spark, root, "sales", "string")}
-    return Tables(*tables, **lists)
+    products, sales, inventory = (_read(spark, root, name, id_type) for name in PARTITIONED_BY)
+    return Tables(
+        products[0], sales[0], inventory[0],
+        snapshots=_newest(spark, "inventory", inventory[1], "date"), months=_newest(spark, "sales", sales[1], "string"),
+    )
 
 
 def row_counts(t: Tables) -> DataFrame:

@@ -16,13 +16,13 @@ from ..operators import integrity
 from ..operators.dedupe import drop_copies
 from ..operators.impute import fill_with_median
 from ..plans import cleaning, feed
-from ..plans.jobs import write_suite
+from ..plans.jobs import clean_exports, write_suite
 from ..plans.suite import RESULTS
 from ..session import new_path
 from ..sources.clean_csv import read_clean_csv, write_clean_csv
 from ..sources.landed_json import read_landed
 from ..sources.raw_csv import read_raw_csv
-from ..sources.tables import row_counts, write_snapshots
+from ..sources.tables import read_table, row_counts, write_snapshots
 from ..streaming.orders import LINES, ingest_orders, read_lines
 from ..streaming.revenue import keep_daily_revenue, monthly_from_daily, read_days
 from . import land
@@ -153,7 +153,10 @@ def _orphans(keep: Callable[[DataFrame, DataFrame], DataFrame]) -> Query:
 
 
 def quality_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cleaning.quality_metrics(*[raw(spark, sf_dir, t) for t in ("products", "sales", "inventory")])
+    """The counters that come with the cleaning of all three exports."""
+    out = new_path(spark, "cleaned")
+    clean_exports(spark, land.raw_exports(spark, sf_dir), out)
+    return spark.read.parquet(f"{out}/quality_metrics")
 
 
 def _typed(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -266,7 +269,7 @@ def snapshot_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = new_path(spark, "snapshots")
     for pull in (FIRST_PULL, SECOND_PULL, SECOND_PULL):
         write_snapshots(feed.stock_rows(docs(spark, sf_dir, "item_stocks", pull)), root)
-    kept = spark.read.parquet(f"{root}/inventory")
+    kept = read_table(spark, root, "inventory")
     return kept.groupBy("snapshot_date").agg(
         F.count(F.lit(1)).alias("n_rows"), F.sum("quantity_on_hand").alias("units")
     )
