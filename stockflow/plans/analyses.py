@@ -403,6 +403,26 @@ def sell_through_by_location(t: Tables) -> DataFrame:
     return _sell_through(grouped).orderBy(_desc("sell_through_pct"), "location")
 
 
+def stock_and_sales(t: Tables) -> DataFrame:
+    """Stock left against units ever sold, per store and product, with the side that knows the pair: both, stock or sales.
+
+    A full outer join on null-safe keys: a sale or a pile without a store or product is shown, not lost. Both sides are summed per pair
+    before they meet, so that a store or product with most rows crosses the network as one row per task.
+    """
+    sold = t.sales.groupBy("location", "product_id").agg(F.sum("quantity").cast("bigint").alias("units_sold"), F.lit(True).alias("was_sold"))
+    left = latest(t).groupBy(F.col("location").alias("at"), F.col("product_id").alias("of"))
+    left = left.agg(F.sum("quantity_on_hand").alias("units_on_hand"), F.lit(True).alias("is_stocked"))
+    met = sold.join(left, F.col("location").eqNullSafe(F.col("at")) & F.col("product_id").eqNullSafe(F.col("of")), "full_outer")
+    side = F.when(F.col("was_sold").isNull(), "stock").when(F.col("is_stocked").isNull(), "sales").otherwise("both")
+    return met.select(
+        F.when(F.col("was_sold"), F.col("location")).otherwise(F.col("at")).alias("location"),
+        F.when(F.col("was_sold"), F.col("product_id")).otherwise(F.col("of")).alias("product_id"),
+        side.alias("side"),
+        "units_sold",
+        "units_on_hand",
+    )
+
+
 def slow_categories(t: Tables, below: float = 50.0) -> DataFrame:
     """Sell-through by genre, with the genres that fall below a threshold flagged."""
     return sell_through_by_genre(t).withColumn("is_slow", F.col("sell_through_pct") < below)

@@ -650,10 +650,24 @@ _ORDERS = {
     "margin_by_genre": ("genre", "gross_profit DESC, genre"),
     "sell_through_by_genre": ("genre", "sell_through_pct DESC NULLS LAST, genre"),
 }
+RECONCILED = _sql(
+    PSI,
+    """SELECT coalesce(l.location, s.location) AS location, coalesce(l.product_id, s.product_id) AS product_id,
+        CASE WHEN s.product_id IS NULL THEN 'stock' WHEN l.product_id IS NULL THEN 'sales' ELSE 'both' END AS side,
+        CAST(units_sold AS BIGINT) AS units_sold, CAST(units_on_hand AS BIGINT) AS units_on_hand
+    FROM (SELECT location, product_id, sum(quantity_on_hand) AS units_on_hand FROM latest GROUP BY ALL) l FULL OUTER JOIN
+        (SELECT location, product_id, sum(quantity) AS units_sold FROM sales GROUP BY ALL) s
+        ON l.location IS NOT DISTINCT FROM s.location AND l.product_id IS NOT DISTINCT FROM s.product_id""",
+)
+LAID_OUT = {
+    "stock_sales_reconciliation": RECONCILED,
+    "bucketed_sell_through_by_genre": ANALYSES["sell_through_by_genre"],
+    "bucketed_overstock": ANALYSES["overstock"],
+}
 SUITE = {
     "suite_export": ANALYSES["margin_by_format_condition"],
     "suite_preview": " UNION ALL ".join(_positions(n, *_ORDERS[n], "WHERE position <= 3") for n in ("monthly_revenue", "revenue_by_genre")),
     "reporting_order": " UNION ALL ".join(_positions(n, *o) for n, o in _ORDERS.items()),
 }
 
-ORACLES = {**ANALYSES, **KPIS, **CLEANING, **FEED, **STREAMS, **SUITE}
+ORACLES = {**ANALYSES, **KPIS, **CLEANING, **FEED, **STREAMS, **SUITE, **LAID_OUT}

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -16,13 +17,16 @@ from ..operators import integrity
 from ..operators.dedupe import drop_copies
 from ..operators.impute import fill_with_median
 from ..plans import cleaning, feed
+from ..plans.analyses import stock_and_sales
 from ..plans.jobs import clean_exports, write_suite
 from ..plans.suite import RESULTS
 from ..session import new_path
 from ..sources.clean_csv import read_clean_csv, write_clean_csv
 from ..sources.landed_json import read_landed
 from ..sources.raw_csv import read_raw_csv
-from ..sources.tables import read_table, row_counts, write_snapshots
+from ..sources import manifest
+from ..sources.bucketed import write_bucketed
+from ..sources.tables import Tables, read_directories, row_counts, write_snapshots
 from ..streaming.orders import LINES, ingest_orders, read_lines
 from ..streaming.revenue import keep_daily_revenue, monthly_from_daily, read_days
 from . import land
@@ -55,6 +59,26 @@ def load_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return row_counts(land.tables(spark, sf_dir))
 
 
+def stock_sales_reconciliation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return plain(stock_and_sales(land.tables(spark, sf_dir)))
+
+
+BUCKETED: dict[str, Tables] = {}
+
+
+def bucketed(spark: SparkSession, sf_dir: str) -> Tables:
+    """The clean tables with stock and products bucketed by product, written once per application."""
+    key = f"{spark.sparkContext.applicationId}:{sf_dir}"
+    if key not in BUCKETED:
+        prefix = f"b{zlib.crc32(key.encode()):08x}"
+        BUCKETED[key] = write_bucketed(land.tables(spark, sf_dir), new_path(spark, "bucketed"), prefix, buckets=8)
+    return BUCKETED[key]
+
+
+def _bucketed(name: str) -> Query:
+    return lambda spark, sf_dir: plain(RESULTS[name](bucketed(spark, sf_dir)))
+
+
 EXPORTED = "margin_by_format_condition"
 
 
@@ -268,8 +292,10 @@ def snapshot_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two pulls added one after the other, the second one twice; the table keeps one of each."""
     root = new_path(spark, "snapshots")
     for pull in (FIRST_PULL, SECOND_PULL, SECOND_PULL):
-        write_snapshots(feed.stock_rows(docs(spark, sf_dir, "item_stocks", pull)), root)
-    kept = read_table(spark, root, "inventory")
+        pulled = feed.stock_rows(docs(spark, sf_dir, "item_stocks", pull))
+        write_snapshots(pulled, root)
+    # Unfitted rows: weighed stock is no whole number.
+    kept = read_directories(spark, root, "inventory", pulled.schema, manifest.current(spark, root, "inventory").directories)
     return kept.groupBy("snapshot_date").agg(
         F.count(F.lit(1)).alias("n_rows"), F.sum("quantity_on_hand").alias("units")
     )
@@ -299,6 +325,9 @@ QUERIES: dict[str, Query] = {
     "suite_export": suite_export,
     "suite_preview": suite_preview,
     "reporting_order": reporting_order,
+    "stock_sales_reconciliation": stock_sales_reconciliation,
+    "bucketed_sell_through_by_genre": _bucketed("sell_through_by_genre"),
+    "bucketed_overstock": _bucketed("overstock"),
     "load_row_counts": load_row_counts,
     "scan_clean_sales": scan_clean_sales,
     "scan_raw_products": _raw("products", lambda df: df),
