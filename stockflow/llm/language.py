@@ -3,7 +3,7 @@
 For each language a suffix automaton of labelled text accepts every substring of it. A text is parsed from left to right into
 the longest phrases that the automaton accepts; a language's bits per character are phrases * log2(labelled length) / length, and the
 language with the fewest wins (the first by name in a tie). Parsing walks all automata over all texts of a slice at once, a
-character a step, by table look-up.
+character a step, by look-up of (state, character) in a hash table.
 
 Texts are parsed whole, in blocks of `BLOCK` characters that phrases do not cross. Case is folded, characters other
 than letters are one separator, letters that no language has seen end a phrase.
@@ -47,8 +47,8 @@ def code_points(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
 
 
-def automaton(symbols: list[int], alphabet: int) -> np.ndarray:
-    """The suffix automaton of a sequence as a table: state, symbol to state; 0 is the start, -1 no way on."""
+def automaton(symbols: list[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
+    """The suffix automaton of a sequence: its ways as states, symbols and the states they lead to, and the number of states. 0 is the start."""
     step: list[dict[int, int]] = [{}]
     link, length, last = [-1], [0], 0
     for s in symbols:
@@ -74,35 +74,79 @@ def automaton(symbols: list[int], alphabet: int) -> np.ndarray:
                     step[p][s] = copy
                     p = link[p]
         last = new
-    table = np.full((len(step), alphabet), -1, np.int32)
-    for state, ways in enumerate(step):
-        table[state, list(ways)] = list(ways.values())
-    return table
+    ways = np.array([(state, s, to) for state, ways in enumerate(step) for s, to in ways.items()], np.int64).reshape(-1, 3)
+    return ways[:, 0], ways[:, 1], ways[:, 2], len(step)
+
+
+class Ways:
+    """(state, symbol) to state, as a hash table with open addressing: memory goes with the ways, not with states times letters."""
+
+    def __init__(self, keys: np.ndarray, states: np.ndarray):
+        size = 1 << max(4, int(2 * len(keys)).bit_length())
+        self.last = np.int64(size - 1)
+        self.shift = np.uint64(64 - (size.bit_length() - 1))
+        self.keys, self.states = np.full(size, -1, np.int64), np.full(size, -1, np.int32)
+        at, left = self._place(keys), np.arange(len(keys))
+        while len(left):
+            # Of those that want a free place the first one gets it; the others try the next place.
+            free = left[self.keys[at[left]] < 0]
+            _, first = np.unique(at[free], return_index=True)
+            won = free[first]
+            self.keys[at[won]], self.states[at[won]] = keys[won], states[won]
+            left = np.setdiff1d(left, won, assume_unique=True)
+            at[left] = (at[left] + 1) & self.last
+
+    def _place(self, keys: np.ndarray) -> np.ndarray:
+        return (keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> self.shift).astype(np.int64)
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """The states that the ways lead to; -1: there is no such way."""
+        at = self._place(keys)
+        there = self.keys[at]
+        found = np.where(there == keys, self.states[at], np.int32(-1))
+        left = np.flatnonzero((there != keys) & (there >= 0))
+        at = at[left]
+        while len(left):
+            at = (at + 1) & self.last
+            there = self.keys[at]
+            hit = there == keys[left]
+            found[left[hit]] = self.states[at[hit]]
+            on = ~hit & (there >= 0)
+            left, at = left[on], at[on]
+        return found
 
 
 class Parser:
-    """Automata of all languages in one table. Symbol 0 is the separator, 1 a letter that no language has seen."""
+    """Automata of all languages in one table. Symbol 0 is the separator, 1 a letter that no language has seen.
+
+    Memory: some 30 bytes for each way, of which a language's automaton has three per labelled character at most; so it grows with the number of languages (at
+    most 4 MB each with the default bound), not with their letters.
+    """
 
     def __init__(self, samples: dict[str, str]):
         self.names = sorted(samples)
         folded = {name: samples[name].lower() for name in self.names}
         seen = sorted({c for text in folded.values() for c in text if c.isalpha()})
-        self.symbol = np.where(letters(), 1, 0).astype(np.uint16)
+        self.symbol = np.where(letters(), 1, 0).astype(np.int32)
         for i, c in enumerate(seen):
             self.symbol[ord(c)] = i + 2
             if len(c.upper()) == 1 and c.upper().lower() == c:
                 self.symbol[ord(c.upper())] = i + 2
-        alphabet = len(seen) + 2
-        tables, self.roots, self.bits, base = [], [], [], 0
+        self.alphabet = len(seen) + 2
+        keys, states, self.roots, self.bits, base = [], [], [], [], 0
         for name in self.names:
             symbols, _ = self.symbols([folded[name]])
-            table = automaton(symbols.tolist(), alphabet)
-            tables.append(np.where(table >= 0, table + base, -1).astype(np.int32))
+            state, symbol, to, n = automaton(symbols.tolist())
+            keys.append((state + base) * self.alphabet + symbol)
+            states.append(to + base)
             self.roots.append(base)
             self.bits.append(np.log2(max(len(symbols), 2)))
-            base += len(table)
-        self.alphabet = alphabet
-        self.table = np.concatenate(tables).ravel()
+            base += n
+        self.ways = Ways(np.concatenate(keys), np.concatenate(states)) if keys else None
+        # All ways from the roots, which are asked for after every phrase.
+        self.first = np.full((len(self.names), self.alphabet), -1, np.int64)
+        for k, root in enumerate(self.roots):
+            self.first[k] = self.ways.find(root * self.alphabet + np.arange(self.alphabet, dtype=np.int64))
 
     def symbols(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Symbols of all texts, runs of separators as one, and the n + 1 offsets."""
@@ -137,11 +181,11 @@ class Parser:
         for t in range(int(size[0]) if len(size) else 0):
             n = int(going[t])
             s = symbols[begin[:n] + t].astype(np.int64)[:, None]
-            following = self.table[state[:n] * width + s].astype(np.int64)
+            following = self.ways.find((state[:n] * width + s).ravel()).astype(np.int64).reshape(n, langs)
             stuck = following < 0
             count[:n] += stuck | fresh[:n]
             if stuck.any():
-                following = np.where(stuck, self.table[root * width + s].astype(np.int64), following)
+                following = np.where(stuck, self.first[:, s[:, 0]].T, following)
             # A character that the language does not have is a phrase by itself.
             fresh[:n] = following < 0
             state[:n] = np.where(following < 0, root, following)

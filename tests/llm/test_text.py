@@ -181,6 +181,21 @@ def test_phrases_equal_greedy_parsing():
             assert got[i, j] == want, (t, name)
 
 
+def test_a_script_of_many_letters_takes_little_memory():
+    rng = np.random.default_rng(3)
+    han = [chr(c) for c in range(0x4E00, 0x4E00 + 10_000)]
+    samples = {"zh": "".join(han) + "".join(rng.choice(han, 30_000)), "en": "the quick brown fox jumps over the lazy dog " * 20, "xx": "".join(rng.choice(han, 20_000))}
+    parser = language.Parser(samples)
+    size = parser.ways.keys.nbytes + parser.ways.states.nbytes + parser.first.nbytes + parser.symbol.nbytes
+    assert parser.alphabet > 10_000 and size < 30 << 20
+    texts = ["".join(rng.choice(han, 300)), "the lazy fox", "".join(han[500:700]), "日本 quick"]
+    symbols, cuts = parser.symbols(texts)
+    got = parser.phrases(symbols, cuts)
+    for t, text in enumerate(texts):
+        for k, name in enumerate(parser.names):
+            assert got[t, k] == longest_match_phrases(text, samples[name].lower()), (t, name)
+
+
 def test_language_on_held_out_rows(spark, sf_dir):
     rows = {r.doc_id: r for r in queries.QUERIES["op5_language"](spark, sf_dir).collect()}
     told = [(r.lang, rows[r.doc_id]) for r in read(spark, sf_dir, "documents").collect()]
