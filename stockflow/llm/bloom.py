@@ -77,7 +77,9 @@ def without(df: DataFrame, key: Column, gone: DataFrame, n: int) -> DataFrame:
     """
     if not n:
         return df
-    gone = gone.select(F.col(gone.columns[0]).alias("__gone"), F.lit(True).alias("__is_gone"))
-    probed = probe(df, key, build(gone, F.col("__gone"), n), "__maybe")
-    unsure = probed.where("__maybe").join(gone, key.eqNullSafe(F.col("__gone")), "left").where("__is_gone IS NULL")
-    return probed.where("NOT __maybe").select(*df.columns).unionByName(unsure.select(*df.columns))
+    # The row as one column, so that its columns may have any names.
+    rows = df.select(F.struct("*").alias("row"), key.alias("key"))
+    gone = gone.select(F.col(gone.columns[0]).alias("gone"), F.lit(True).alias("is_gone"))
+    probed = probe(rows, F.col("key"), build(gone, F.col("gone"), n), "maybe")
+    unsure = probed.where("maybe").join(gone, F.col("key").eqNullSafe(F.col("gone")), "left").where("is_gone IS NULL")
+    return probed.where("NOT maybe").select("row.*").union(unsure.select("row.*"))

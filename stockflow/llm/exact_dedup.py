@@ -64,7 +64,7 @@ def dedup(docs: DataFrame, **sizes) -> DataFrame:
     gone = settle(keys, "text-gone")
     left = bloom.without(docs, key, gone.select("key"), gone.count())
     # Rows repeated with their doc_id: all of them are gone, and one comes back.
-    twins = gone.where("kept > 0").select(F.col("key.id").alias("__id"), F.col("key.sha").alias("__sha"))
-    same = F.col("__key.id").eqNullSafe(F.col("__id")) & (F.col("__key.sha") == F.col("__sha"))
-    back = docs.withColumn("__key", key).join(twins, same, "left_semi")
-    return left.unionByName(back.dropDuplicates(["__key"]).drop("__key")) if twins.take(1) else left
+    twins = gone.where("kept > 0").select(F.col("key.id").alias("id"), F.col("key.sha").alias("sha"))
+    same = F.col("key.id").eqNullSafe(F.col("id")) & (F.col("key.sha") == F.col("sha"))
+    back = docs.select(F.struct("*").alias("row"), key.alias("key")).join(twins, same, "left_semi")
+    return left.union(back.dropDuplicates(["key"]).select("row.*")) if twins.take(1) else left

@@ -19,7 +19,7 @@ ROWS = [
     (9, "Été, ΑΒΓ ñandú. 日本語 <|endoftext|> </s> & &lt; <|turn|>", "es", "c", 40),
 ]
 #: Names that operators use in results or on the way.
-CLASHING = ["kept", "sha", "maybe", "row", "component_id", "score", "held_out", "size", "of", "target", "gaps", "node", "tile", "length", "predicted", "key", "n"]
+CLASHING = ["kept", "sha", "maybe", "row", "component_id", "score", "held_out", "size", "of", "target", "gaps", "node", "tile", "length", "predicted", "key", "n", "a.b", "__key", "__maybe", "__gone", "__bits", "hash", "range", "v", "ids", "runs"]
 
 
 def edge_docs(spark: SparkSession) -> DataFrame:

@@ -212,3 +212,53 @@ def test_embedding_edges(spark):
     alone = [(i, 0, i, True) for i in (3, 4, 5, 6, 7, 8, 10)]
     assert got == sorted([(-1, 0, None, True), (1, 3, 1, True), (2, 3, 1, False), (2, 3, 1, False), (9, 3, 1, False), *alone])
     assert embedding_dedup.near_duplicates(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
+
+
+def test_very_many_repeated_rows_are_one_node(spark):
+    """Two near texts, each 10,000 times with its doc_id and some times with another; and a text alone."""
+    words = [f"w{i}" for i in range(120)]
+    texts = {1: " ".join(words), 2: " ".join([*words[:60], "other", *words[60:]]), 3: " ".join(words[::-1])}
+    times = spark.range(10_000).drop("id")
+    rows = spark.createDataFrame([*texts.items(), (7, texts[2]), (8, texts[1])], "doc_id long, text string")
+    got = ngram_join.join(times.crossJoin(rows)).groupBy("doc_id", "n_shingles", "component_id").count().collect()
+    assert {tuple(r) for r in got} == {(1, 118, 1, 10_000), (2, 119, 1, 10_000), (3, 118, 3, 10_000), (7, 119, 1, 10_000), (8, 118, 1, 10_000)}
+
+
+def test_one_row_per_near_node_and_pair(spark):
+    words = [f"w{i}" for i in range(60)]
+    rows = [(i % 2, " ".join(words if i % 2 else [*words[:30], *words[31:], "x"])) for i in range(480)]
+    join = ngram_join.Join(spark.createDataFrame(rows, "doc_id long, text string"), 3, 80)
+    assert join.near.count() == join.nodes.count() == 2
+    assert join.members.groupBy("tile", "node").count().where("count > 1").count() == 0
+    assert join.node_links().distinct().count() == 1
+
+
+def test_tiles_that_occur_once_send_one_entry(spark):
+    """What reaches the second step are the tiles of several sets only; a hot tile's sets beyond the first go there directly."""
+    words = [f"w{i}" for i in range(40)]
+    alike = [(i, " ".join([*words[: i % 35], f"own{i}", *words[i % 35 + 1 :]])) for i in range(300)]
+    alone = [(1000 + i, " ".join(f"z{i}_{k}" for k in range(40))) for i in range(300)]
+    messages = spark.createDataFrame(alike + alone, "doc_id long, text string").coalesce(1).mapInArrow(
+        ngram_join._tile_messages(ngram_join.Bands(80), 3, 4), "range long, shared boolean, tiles binary, nodes binary"
+    ).collect()
+    assert all(len(m.tiles) * (1 if m.shared else 2) == len(m.nodes) for m in messages)
+    own = [(m.range, t) for m in messages if not m.shared for t in np.frombuffer(bytes(m.tiles), np.uint32).tolist()]
+    assert len(own) == len(set(own))  # a tile once, however many sets have it
+    join = ngram_join.Join(spark.createDataFrame(alike + alone, "doc_id long, text string"), 3, 80)
+    ids = {r.node: r.doc_id for r in join.nodes.collect()}
+    assert {ids[r.node] for r in join.members.select("node").distinct().collect()} <= set(range(300))
+
+
+def test_released_steps_leave_nothing_behind(spark):
+    from pathlib import Path
+
+    from stockflow.session import work_dir
+
+    def tables():
+        return {p.name for p in Path(work_dir(spark)).iterdir()}
+
+    before = tables()
+    rows = [(i, " ".join(f"w{k + i % 3}" for k in range(50))) for i in range(40)]
+    ngram_join.join(spark.createDataFrame(rows, "doc_id long, text string"), 3, 80).count()
+    left = sorted(n.rsplit("-", 1)[0] for n in tables() - before)
+    assert len(left) <= 12 and not {"ngram-near", "ngram-members", "ngram-tile-members", "ngram-bound", "ngram-around", "star-least"} & set(left), left
