@@ -5,7 +5,8 @@ sales      partitioned by `sale_month`, sorted by store and product
 inventory  partitioned by `snapshot_date`, sorted by store and product
 
 The partitions stand in for an index on the date, and the order for indexes on store and product:
-row groups outside a filter's range are skipped by their minimum and maximum. A manifest names the directories that are the table
+row groups outside a filter's range are skipped by their minimum and maximum. `INDEXED` columns have Parquet Bloom filters, so that a
+look-up of a few keys skips the row groups that do not hold them, in whatever order the rows lie. A manifest names the directories that are the table
 now (`manifest.py`), and so the greatest partition value; which ones a write made is observed by the write itself.
 """
 
@@ -24,6 +25,8 @@ from . import manifest
 from .manifest import WHOLE, Manifest
 
 PARTITIONED_BY = {"products": None, "sales": "sale_month", "inventory": "snapshot_date"}
+#: Columns with a Bloom filter in each row group, sized by what the row group holds (1 MB at most).
+INDEXED = {"products": ["product_id"], "sales": ["sale_id", "product_id"], "inventory": ["product_id"]}
 #: How Spark names the directory of a null partition value.
 NULL_VALUE = "__HIVE_DEFAULT_PARTITION__"
 #: The directory of a single write; each has its own, so that writers do not meet. Its rows lie apart by status: those of the table are CLEAN.
@@ -88,7 +91,8 @@ def write_rows(df: DataFrame, root: str, name: str, status: Column | None = None
     value = F.coalesce(F.col(column).cast("string"), F.lit(NULL_VALUE)) if column else F.lit(WHOLE)
     token, seen = f"w{uuid.uuid4().hex}", Observation()
     observed = arranged.observe(seen, F.collect_set(F.struct(F.col(STATUS), value.alias("value"))).alias("__values"), *[c.alias(n) for n, c in metrics.items()])
-    observed.write.partitionBy(STATUS, *([column] if column else [])).parquet(f"{root}/{name}/{VERSION}={token}")
+    index = {f"parquet.bloom.filter.{k}#{c}": "true" for c in INDEXED[name] for k in ("enabled", "adaptive.enabled")}
+    observed.write.options(**index).partitionBy(STATUS, *([column] if column else [])).parquet(f"{root}/{name}/{VERSION}={token}")
     found = seen.get
     made: dict[str, list[str]] = {}
     for r in found.pop("__values"):
@@ -151,6 +155,17 @@ def read_tables(spark: SparkSession, root: str, id_type: T.DataType = T.StringTy
     )
 
 
+#: Keys of a look-up at most: the planner hands them to the scan as a list.
+LOOK_UP_KEYS = 10_000
+
+
+def look_up(table: DataFrame, column: str, keys: list) -> DataFrame:
+    """The rows with one of a few keys; on an indexed column, row groups without them are skipped. For many keys a join is the way."""
+    if len(keys) > LOOK_UP_KEYS:
+        raise ValueError(f"{len(keys)} keys are too many for a look-up: join the table with them")
+    return table.filter(F.col(column).isin(*keys) if keys else F.lit(False))
+
+
 def row_counts(t: Tables) -> DataFrame:
     """(table_name, n_rows) for the three tables; Parquet answers from its footers."""
     counts = [

@@ -661,6 +661,11 @@ RECONCILED = _sql(
 )
 LAID_OUT = {
     "stock_sales_reconciliation": RECONCILED,
+    "sale_lookup": _sql(
+        PSI,
+        f"""SELECT sale_id, sale_date, location, product_id, quantity, {_dbl('net_amount', 'net_amount')} FROM sales
+        WHERE sale_id IN (SELECT max(sale_id) FROM sales GROUP BY location)""",
+    ),
     "bucketed_sell_through_by_genre": ANALYSES["sell_through_by_genre"],
     "bucketed_overstock": ANALYSES["overstock"],
 }

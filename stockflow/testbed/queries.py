@@ -26,7 +26,7 @@ from ..sources.landed_json import read_landed
 from ..sources.raw_csv import read_raw_csv
 from ..sources import manifest
 from ..sources.bucketed import write_bucketed
-from ..sources.tables import Tables, read_directories, row_counts, write_snapshots
+from ..sources.tables import Tables, look_up, read_directories, row_counts, write_snapshots
 from ..streaming.orders import LINES, ingest_orders, read_lines
 from ..streaming.revenue import keep_daily_revenue, monthly_from_daily, read_days
 from . import land
@@ -63,6 +63,13 @@ def stock_sales_reconciliation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain(stock_and_sales(land.tables(spark, sf_dir)))
 
 
+def sale_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last sale of each store by its id, looked up by key in the whole history."""
+    sales = land.tables(spark, sf_dir).sales
+    keys = [r.key for r in sales.groupBy("location").agg(F.max("sale_id").alias("key")).collect()]  # a row per store
+    return plain(look_up(sales, "sale_id", keys).select("sale_id", "sale_date", "location", "product_id", "quantity", "net_amount"))
+
+
 BUCKETED: dict[str, Tables] = {}
 
 
@@ -326,6 +333,7 @@ QUERIES: dict[str, Query] = {
     "suite_preview": suite_preview,
     "reporting_order": reporting_order,
     "stock_sales_reconciliation": stock_sales_reconciliation,
+    "sale_lookup": sale_lookup,
     "bucketed_sell_through_by_genre": _bucketed("sell_through_by_genre"),
     "bucketed_overstock": _bucketed("overstock"),
     "load_row_counts": load_row_counts,

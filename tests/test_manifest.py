@@ -10,7 +10,7 @@ from stockflow.operators.recent import latest_snapshot
 from stockflow.plans import jobs
 from stockflow.sources import manifest
 from stockflow.sources.raw_csv import write_raw_csv
-from stockflow.sources.tables import read_table, read_tables, row_counts, write_rows, write_snapshots, write_table
+from stockflow.sources.tables import look_up, read_table, read_tables, row_counts, write_rows, write_snapshots, write_table
 
 
 def stock(spark, day, n, quantity=1):
@@ -152,3 +152,23 @@ def test_cleaning_that_fails_leaves_the_tables_as_they_were(spark, tmp_path, mon
         jobs.clean_exports(spark, exports(spark, f"{tmp_path}/raw2", SALES * 2 + [("S9", "2025-09-04", "x", "P1", "2", "1", None)]), out)
     t = read_tables(spark, out)
     assert t.sales.count() == 1 and t.months.first()[0] == "2025-07" and t.products.count() == 1
+
+
+def rows_scanned(df):
+    """Rows that the scan of a plan without shuffles gave, after it has run."""
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().collectLeaves().head().metrics().apply("numOutputRows").value()
+
+
+def test_a_look_up_skips_row_groups_by_their_bloom_filters(spark, tables):
+    """A sale's id says nothing about its month, nor about its place in a file: minimum and maximum do not help."""
+    total, (key,) = tables.sales.count(), tables.sales.select("sale_id").orderBy(F.xxhash64("sale_id")).first()
+    found = look_up(tables.sales, "sale_id", [key])
+    assert [r.sale_id for r in found.collect()] == [key]
+    assert rows_scanned(look_up(tables.sales, "sale_id", [key])) < total / 5
+    keys = [r.sale_id for r in tables.sales.select("sale_id").orderBy(F.xxhash64("sale_id")).limit(12).collect()]
+    assert {r.sale_id for r in look_up(tables.sales, "sale_id", keys).collect()} == set(keys)
+    assert rows_scanned(look_up(tables.sales, "sale_id", ["nothing of the kind", "5-0"])) <= total / 5
+    assert look_up(tables.sales, "sale_id", []).count() == 0
+    with pytest.raises(ValueError, match="join"):
+        look_up(tables.sales, "sale_id", [str(i) for i in range(10_001)])
