@@ -469,6 +469,11 @@ CLEANING = {
         UNION ALL SELECT 'inventory', concat_ws('|', snapshot_date, location, product_id), CAST(sum(copies) AS BIGINT)
             FROM typed_inventory GROUP BY snapshot_date, location, product_id HAVING sum(copies) > 1""",
     ),
+    "dq_incremental_keys": _sql(
+        [*CS, INVENTORY, RAW_INVENTORY, TYPED_INVENTORY],
+        """SELECT 'sales' AS table_name, sale_id AS key, CAST(sum(copies) AS BIGINT) AS n_rows FROM typed_sales
+            GROUP BY sale_id HAVING sum(copies) > 1""",
+    ),
     "dq_null_counts": _sql(
         [*CS, INVENTORY, RAW_INVENTORY, TYPED_INVENTORY],
         " UNION ALL ".join(

@@ -15,12 +15,13 @@ from ..functions.numbers import integer, money
 from ..functions.text import strip, title_case
 from ..operators import integrity
 from ..operators.dedupe import drop_copies
+from ..operators.key_history import KeyHistory
 from ..operators.impute import fill_with_median
 from ..plans import cleaning, feed
 from ..plans.analyses import stock_and_sales
 from ..plans.jobs import clean_exports, write_suite
 from ..plans.suite import RESULTS
-from ..session import new_path
+from ..session import new_path, settle
 from ..sources.clean_csv import read_clean_csv, write_clean_csv
 from ..sources.landed_json import read_landed
 from ..sources.raw_csv import read_raw_csv
@@ -202,6 +203,23 @@ def dq_duplicate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return integrity.union_all(found)
 
 
+PULLS = 3
+
+
+def dq_incremental_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All sales in three pulls, each checked against those before; what was found of a key last is its number of rows."""
+    rows = _typed(spark, sf_dir, "sales").withColumn("pull", F.pmod(F.xxhash64("sale_date", "location", "unit_price", "discount"), F.lit(PULLS)))
+    rows = settle(rows, "typed-sales")
+    known = KeyHistory(spark, new_path(spark, "key-history"), "sales", tuple(schema.KEYS["sales"]))
+    found = []
+    for i in range(PULLS):
+        pull, before = rows.filter(F.col("pull") == i), rows.filter(F.col("pull") < i)
+        found.append(settle(known.check(pull, before), "repeated-keys"))
+        known.add(pull, str(i))
+    last = integrity.union_all(found).groupBy(F.col("sale_id").alias("key")).agg(F.max("n_rows").alias("n_rows"))
+    return last.select(F.lit("sales").alias("table_name"), "key", "n_rows")
+
+
 def dq_null_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counted = []
     for table in schema.KEYS:
@@ -364,6 +382,7 @@ QUERIES: dict[str, Query] = {
     "quarantine_sales": _annotated("sales", cleaning.rejected),
     "quarantine_inventory": _annotated("inventory", cleaning.rejected),
     "dq_duplicate_keys": dq_duplicate_keys,
+    "dq_incremental_keys": dq_incremental_keys,
     "dq_null_counts": dq_null_counts,
     "dq_orphans": dq_orphans,
     "json_scan": json_scan,
