@@ -11,8 +11,8 @@
    tile of very many sets sends each range one entry per message, its other sets directly, spread over all ranges.
 4. Candidates. Each tile has a centre, its set with the least hash. Every set is compared first with the centre that it shares most tiles with;
    that links most of what is alike. Then, within each tile that still holds more than one component, all sets are compared with its centre, which
-   then leaves the tile, for some rounds. Tiles that are still open are compared in blocks, pairs of different components only. Tiles with the
-   same members count once. Bit counts of hashed bitmaps bound the overlap from above, and only pairs within the bound go on to the
+   then leaves the tile, for some rounds. Tiles that are still open are compared in blocks, pairs of different components only: for some rounds each set
+   gives its best candidate of a block, and last, with wider bitmaps, all that are left. Tiles with the same members count once. Bit counts of hashed bitmaps bound the overlap from above, and only pairs within the bound go on to the
    intersection. No pairs are made within what is already linked.
 5. Components of the links, named by the smallest doc_id.
 
@@ -50,6 +50,10 @@ BAND = 1.35
 BLOCK = 256
 #: Tiles that a task packs together, and about how many of them a range of tile names holds; there are `RANGES` at least.
 PACKED, RANGE_TILES, RANGES = 1 << 20, 1 << 20, 64
+#: Bits of a bitmap for each element of the largest set of a band, at least: those that are compared first, and those that settle what is left.
+NARROW, WIDE = 2, 8
+#: Rows of a file of what is written between steps: few rows make few tasks, whatever the shuffles' number of partitions.
+ROWS_PER_FILE = 400_000
 
 
 class Bands:
@@ -135,13 +139,13 @@ def tiles(elements: np.ndarray, offsets: np.ndarray, bands: Bands) -> tuple[np.n
     return np.concatenate(texts or [np.zeros(0, np.int64)]), np.concatenate(keys or [np.zeros(0, np.uint64)])
 
 
-def bitmaps(elements: np.ndarray, offsets: np.ndarray, bands: Bands) -> list[bytes]:
-    """Each text's bitmap: as many bits as the power of two over twice the largest size of its band."""
+def bitmaps(elements: np.ndarray, offsets: np.ndarray, bands: Bands, each: int) -> list[bytes]:
+    """Each text's bitmap: as many bits as the power of two over `each` times the largest size of its band."""
     sizes = np.diff(offsets)
     own = bands.of(np.maximum(sizes, 1))
     found = []
     for d, n in enumerate(sizes):
-        width = 1 << max(6, int(2 * bands.edges[own[d] + 1]).bit_length()) if n else 64
+        width = 1 << max(6, int(each * bands.edges[own[d] + 1]).bit_length()) if n else 64
         bits = np.zeros(width, np.uint8)
         bits[elements[offsets[d] : offsets[d + 1]] & np.uint64(width - 1)] = 1
         found.append(np.packbits(bits).tobytes())
@@ -272,8 +276,8 @@ def _linked(percent: int):
     return rows
 
 
-def _block_pairs(percent: int):
-    """Of two blocks of a tile: pairs of different components whose bitmaps allow a link."""
+def _block_pairs(percent: int, best: bool):
+    """Of two blocks of a tile: pairs of different components whose bitmaps allow a link; with `best` only each set's likeliest one."""
 
     def rows(key: tuple, table: pa.Table) -> pa.Table:
         left, right = key[1].as_py(), key[2].as_py()
@@ -283,18 +287,28 @@ def _block_pairs(percent: int):
         size = min(map(len, bits))
         grid = np.stack([_folded(x, size) for x in bits])
         first, second = np.flatnonzero(block == left), np.flatnonzero(block == right)
-        pairs = []
+        pairs, likeliest = set(), {}
         for i in first:
             j = second[second > i] if left == right else second
             j = j[comp[j] != comp[i]]
             j = j[100 * np.minimum(n[j], n[i]) >= percent * np.maximum(n[j], n[i])]
-            if len(j):
-                lost1 = np.bitwise_count(grid[i] & ~grid[j]).sum(axis=1, dtype=np.int64)
-                lost2 = np.bitwise_count(grid[j] & ~grid[i]).sum(axis=1, dtype=np.int64)
-                j = j[may_link(n[i], n[j], lost1, lost2, percent)]
-                pairs += [(int(min(node[i], node[k])), int(max(node[i], node[k]))) for k in j]
-        a, b = zip(*set(pairs), strict=True) if pairs else ((), ())
-        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+            if not len(j):
+                continue
+            lost1 = np.bitwise_count(grid[i] & ~grid[j]).sum(axis=1, dtype=np.int64)
+            lost2 = np.bitwise_count(grid[j] & ~grid[i]).sum(axis=1, dtype=np.int64)
+            ok = may_link(n[i], n[j], lost1, lost2, percent)
+            j, lost = j[ok], (lost1 + lost2)[ok]
+            if best:
+                for k, apart in zip(j.tolist(), lost.tolist(), strict=True):
+                    for one, other in ((int(i), k), (k, int(i))):
+                        if one not in likeliest or (apart, node[other]) < likeliest[one][:2]:
+                            likeliest[one] = (apart, node[other], other)
+            else:
+                pairs |= {(int(i), k) for k in j.tolist()}
+        pairs |= {(one, other) for one, (_, _, other) in likeliest.items()}
+        ends = np.array([(min(node[i], node[k]), max(node[i], node[k])) for i, k in pairs], np.int64).reshape(-1, 2)
+        ends = np.unique(ends, axis=0)
+        return pa.table({"a": pa.array(ends[:, 0]), "b": pa.array(ends[:, 1])})
 
     return rows
 
@@ -302,9 +316,9 @@ def _block_pairs(percent: int):
 class Join:
     """The join over one table of documents; each step is written before the next reads it."""
 
-    def __init__(self, docs: DataFrame, gram: int = 3, percent: int = 90, stars: int = 2):
+    def __init__(self, docs: DataFrame, gram: int = 3, percent: int = 90, stars: int = 2, bests: int = 2):
         ship(docs.sparkSession)
-        self.gram, self.percent, self.stars, self.bands = gram, percent, stars, Bands(percent)
+        self.gram, self.percent, self.stars, self.bests, self.bands = gram, percent, stars, bests, Bands(percent)
         self.docs = docs.selectExpr("cast(doc_id as long) doc_id", "text", "xxhash64(text) hash")
         self.sketch = settle(self.docs.mapInArrow(_sketch_rows(gram), "doc_id long, hash long, n long, node long"), "ngram-sketch")
         named = self.sketch.where("n > 0 and doc_id is not null")
@@ -313,6 +327,7 @@ class Join:
             "ngram-nodes",
         )
         self.members = self._members()
+        self.files = self.members.count() // ROWS_PER_FILE + 1  # no later step has more rows
         self.near = self._near()
 
     def _members(self) -> DataFrame:
@@ -333,7 +348,7 @@ class Join:
         return kept
 
     def _near(self) -> DataFrame:
-        """(node, n, bits, set) of the nodes that share a tile, from the text of each one's least document; other texts are not shuffled."""
+        """(node, n, bits, wide, set) of the nodes that share a tile, from the text of each one's least document; other texts are not shuffled."""
         shared = self.members.select(F.col("node").alias("m")).distinct()
         ids = settle(self.nodes.join(shared, F.col("node") == F.col("m"), "left_semi").selectExpr("doc_id id", "hash of_text"), "ngram-wanted")
         filter_ = bloom.build(ids, F.col("id"), ids.count())
@@ -347,13 +362,18 @@ class Join:
             for part in text_slices(batches, rows=PLACES):
                 elements, offsets = sets(part.column("text"), gram)
                 lists = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(elements.view(np.int64)))
-                columns = [names(elements, offsets), np.diff(offsets).astype(np.int64), pa.array(bitmaps(elements, offsets, bands), pa.binary()), lists]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["node", "n", "bits", "set"])
+                maps = [pa.array(bitmaps(elements, offsets, bands, each), pa.binary()) for each in (NARROW, WIDE)]
+                columns = [pa.array(names(elements, offsets)), pa.array(np.diff(offsets).astype(np.int64)), *maps, lists]
+                yield pa.RecordBatch.from_arrays(columns, ["node", "n", "bits", "wide", "set"])
 
-        near = settle(texts.mapInArrow(rows, "node long, n long, bits binary, set array<long>"), "ngram-near")
+        near = settle(texts.mapInArrow(rows, "node long, n long, bits binary, wide binary, set array<long>"), "ngram-near")
         release(ids, filter_.table)
         return near
 
+    def _small(self, df: DataFrame, name: str) -> DataFrame:
+        """Written in few files: rows of ids, at most as many as there are members of tiles."""
+        return settle(df.coalesce(self.files), name)
+
     def links(self, pairs: DataFrame) -> DataFrame:
         """The pairs (a, b) that link: within the bound of the bitmaps first, then by intersection."""
         bits = self.near.select("node", "n", "bits")
@@ -361,30 +381,34 @@ class Join:
             bits.selectExpr("node y", "n n2", "bits bits2"), F.col("b") == F.col("y")
         )
         bound = settle(sides.select("a", "b", "n1", "n2", "bits1", "bits2").mapInArrow(_within_bound(self.percent), "a long, b long"), "ngram-bound")
-        sides = bound.join(self.near.selectExpr("node x", "set set1"), F.col("a") == F.col("x")).join(
-            self.near.selectExpr("node y", "set set2"), F.col("b") == F.col("y")
-        )
-        found = settle(sides.select("a", "b", "set1", "set2").mapInArrow(_linked(self.percent), "a long, b long"), "ngram-links")
+        found = self._verified(bound)
         release(bound)
         return found
 
-    @staticmethod
-    def _open(members: DataFrame, links: DataFrame) -> DataFrame:
+    def _verified(self, bound: DataFrame) -> DataFrame:
+        """The pairs (a, b) that link, by intersection. Only the sets of these nodes cross the network."""
+        ends = self._small(bound.select(F.explode(F.array("a", "b")).alias("end")).distinct(), "ngram-ends")
+        kept = self.near.select("node", "set").join(ends, F.col("node") == F.col("end"), "left_semi")
+        sides = bound.join(kept.selectExpr("node x", "set set1"), F.col("a") == F.col("x")).join(kept.selectExpr("node y", "set set2"), F.col("b") == F.col("y"))
+        found = settle(sides.select("a", "b", "set1", "set2").mapInArrow(_linked(self.percent), "a long, b long"), "ngram-links")
+        release(ends)
+        return found
+
+    def _open(self, members: DataFrame, links: DataFrame) -> DataFrame:
         """(tile, node, component) of the tiles that hold more than one component."""
-        known = settle(components(links), "ngram-components")
+        known = self._small(components(links), "ngram-components")
         named = known.select(F.col("node").alias("of"), "component")
         told = members.select("tile", "node").join(named, F.col("node") == F.col("of"), "left")
-        told = settle(told.select("tile", "node", F.coalesce("component", "node").alias("component")), "ngram-told")
+        told = self._small(told.select("tile", "node", F.coalesce("component", "node").alias("component")), "ngram-told")
         split = told.groupBy(F.col("tile").alias("open")).agg(F.min("component").alias("c1"), F.max("component").alias("c2")).where("c1 < c2")
-        split = settle(split.select("open"), "ngram-open")
-        open_ = settle(told.join(split, F.col("tile") == F.col("open"), "left_semi"), "ngram-open-members")
+        split = self._small(split.select("open"), "ngram-open")
+        open_ = self._small(told.join(split, F.col("tile") == F.col("open"), "left_semi"), "ngram-open-members")
         release(known, told, split)
         return open_
 
-    @staticmethod
-    def _centres(members: DataFrame, *more: str) -> DataFrame:
+    def _centres(self, members: DataFrame, *more: str) -> DataFrame:
         centre = members.groupBy(F.col("tile").alias("of")).agg(F.min_by(F.struct("node", *more), F.xxhash64("node")).alias("centre"))
-        return settle(centre, "ngram-centres")
+        return self._small(centre, "ngram-centres")
 
     @staticmethod
     def _ordered(pairs: DataFrame) -> DataFrame:
@@ -395,7 +419,7 @@ class Join:
         centre = self._centres(self.members)
         pairs = self.members.join(centre, F.col("tile") == F.col("of")).where(F.col("node") != F.col("centre.node"))
         met = pairs.groupBy("node", "centre").agg(F.sum("times").alias("times"))
-        most = settle(met.groupBy("node").agg(F.max_by("centre", F.struct("times", "centre")).alias("centre")), "ngram-most")
+        most = self._small(met.groupBy("node").agg(F.max_by("centre", F.struct("times", "centre")).alias("centre")), "ngram-most")
         links = self.links(self._ordered(most))
         open_ = self._open(self.members, links)
         release(self.members, centre, most)
@@ -403,26 +427,33 @@ class Join:
             if not open_.count():
                 return links
             centre = self._centres(open_, "component")
-            around = settle(open_.join(centre, F.col("tile") == F.col("of")).where(F.col("node") != F.col("centre.node")), "ngram-around")
+            around = self._small(open_.join(centre, F.col("tile") == F.col("of")).where(F.col("node") != F.col("centre.node")), "ngram-around")
             release(open_, centre)
             found = self.links(self._ordered(around.where(F.col("component") != F.col("centre.component"))))
             links = links.unionByName(found)
             # The centre has met every member, so it leaves the tile.
             open_ = self._open(around, links)
             release(around)
-        return links.unionByName(self.links(self._rest(open_))) if open_.count() else links
+        for best in [True] * self.bests + [False]:
+            if not open_.count():
+                return links
+            pairs = self._small(self._rest(open_, best), "ngram-rest")
+            links = links.unionByName(self._verified(pairs))
+            before, open_ = open_, self._open(open_, links) if best else open_
+            release(pairs, before)
+        return links
 
-    def _rest(self, open_: DataFrame) -> DataFrame:
+    def _rest(self, open_: DataFrame, best: bool) -> DataFrame:
         """Pairs of different components in one tile that the bitmaps allow; large tiles are dealt out in blocks."""
         size = open_.groupBy(F.col("tile").alias("of")).agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
-        size = settle(size, "ngram-tile-sizes")
+        size = self._small(size, "ngram-tile-sizes")
         rows = open_.join(size, F.col("tile") == F.col("of")).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")))
         others = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
         rows = rows.select("tile", "node", "component", "block", others.alias("other"))
         rows = rows.select(
             "tile", F.least("block", "other").alias("left"), F.greatest("block", "other").alias("right"), "node", "component", "block"
-        ).join(self.near.selectExpr("node x", "n", "bits"), F.col("node") == F.col("x")).drop("x")
-        return rows.groupBy("tile", "left", "right").applyInArrow(_block_pairs(self.percent), "a long, b long").distinct()
+        ).join(self.near.select(F.col("node").alias("x"), "n", F.col("bits" if best else "wide").alias("bits")), F.col("node") == F.col("x")).drop("x")
+        return rows.groupBy("tile", "left", "right").applyInArrow(_block_pairs(self.percent, best), "a long, b long").distinct()
 
     def result(self) -> DataFrame:
         """For each row: doc_id, n_shingles, component_id."""
