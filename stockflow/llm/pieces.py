@@ -112,10 +112,11 @@ class Vocabulary(dict):
                 some = every[start : start + ROWS]
                 points = np.frombuffer("".join(some).encode("utf-32-le"), np.uint32).reshape(-1, n)
                 for row, codes in self._merged_rows(self.code[points]):
-                    for k, ids in zip(row.tolist(), codes.tolist(), strict=True):
-                        if max(ids) >= self.size:
-                            ids = list(chain.from_iterable((i,) if i < self.size else self._of_symbol(chr(i - self.size)) for i in ids))
-                        self[some[k]] = tuple(ids)
+                    strange = (codes >= self.size).any(axis=1)  # a character that is no piece
+                    plain = ~strange
+                    self.update(zip(map(some.__getitem__, row[plain].tolist()), map(tuple, codes[plain].tolist()), strict=True))
+                    for k, ids in zip(row[strange].tolist(), codes[strange].tolist(), strict=True):
+                        self[some[k]] = tuple(chain.from_iterable((i,) if i < self.size else self._of_symbol(chr(i - self.size)) for i in ids))
 
     def _merged_rows(self, codes: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """(rows, their codes) as they come to an end."""
@@ -164,18 +165,28 @@ class Vocabulary(dict):
             return (i,)
         return [self.bytes[b] for b in symbol.encode()] if self.bytes else (self.unknown,)
 
-    def encode(self, texts: list[str | None], check: bool = False) -> list[list[int]]:
-        """The ids of each text; `check`: new answers are held against the library's."""
+    def encode(self, texts: list[str | None], check: bool = False) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, and where each text's begin (n + 1 places); `check`: new answers are held against the library's."""
         split = [self.stretch.findall(MARK + t.replace(" ", MARK)) if t else [] for t in texts]
-        every = set(chain.from_iterable(split))
-        new = every - self.keys()
+        places = np.cumsum([0, *map(len, split)])
+        coded = pa.array(list(chain.from_iterable(split)), pa.large_string()).dictionary_encode()
+        every = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        new = [s for s in every if s not in self]
         if len(self) + len(new) > KEPT:
             self.clear()
             new = every
         self.learn({s for s in new if len(s) <= SHORT})
         if check:
             self.compare([s for s in new if s != MARK])  # the mark alone is no text's
-        return [list(chain.from_iterable(map(self.__getitem__, x))) for x in split]
+        # Each different stretch is looked up once; its ids are laid out by places.
+        answers = list(map(self.__getitem__, every))
+        size = np.fromiter(map(len, answers), np.int64, len(every))
+        flat = np.fromiter(chain.from_iterable(answers), np.int32, int(size.sum()))
+        which = coded.indices.to_numpy()
+        many = size[which]
+        ends = np.concatenate([[0], np.cumsum(many)])
+        ids = flat[np.repeat((np.cumsum(size) - size)[which] - ends[:-1], many) + np.arange(ends[-1])]
+        return ids, ends[places]
 
     def compare(self, stretches: list[str]) -> None:
         """A stretch begins with a mark, which the library puts before every text."""
@@ -198,6 +209,11 @@ class Vocabulary(dict):
         return "".join(parts)[bool(spoken) and spoken[0] in self.spaced :]
 
 
+    def decode_all(self, ids: list[int], places: list[int]) -> pa.Array:
+        with no_collection():
+            return pa.array([self.decode(ids[a:b]) for a, b in zip(places[:-1], places[1:], strict=True)], pa.string())
+
+
 def merged(stretch: str, ranks: dict[str, int]) -> list[str]:
     """The symbols left when no pair of neighbours is a piece any more."""
     symbols: list[str] = list(stretch)
@@ -254,24 +270,38 @@ def no_collection() -> Iterator[None]:
         gc.enable()
 
 
+def _encoded(part: pa.RecordBatch, words: Vocabulary, check: bool) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    """The ids of a slice of documents, where each one's begin, and both as a column."""
+    with no_collection():
+        ids, places = words.encode(part.column("text").to_pylist(), check)
+    return ids, places, pa.ListArray.from_arrays(pa.array(places.astype(np.int32)), pa.array(ids))
+
+
 def encode(docs: DataFrame, model: str, check: bool = True) -> DataFrame:
     """(doc_id, ids) of every row; `model`: a vocabulary file that every executor has."""
     ship(docs.sparkSession)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = vocabulary(model)
         for part in text_slices(batches):
-            texts = part.column("text").to_pylist()
-            with no_collection():
-                ids = words.encode(texts, check)
-            ends = np.cumsum([0, *map(len, ids)]).astype(np.int32)
-            flat = np.fromiter(chain.from_iterable(ids), np.int32, int(ends[-1]))
-            lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
-            yield pa.RecordBatch.from_arrays([part.column("doc_id"), lists], ["doc_id", "ids"])
+            yield pa.RecordBatch.from_arrays([part.column("doc_id"), _encoded(part, vocabulary(model), check)[2]], ["doc_id", "ids"])
 
     return docs.selectExpr("cast(doc_id as long) doc_id", "text").mapInArrow(rows, "doc_id long, ids array<int>")
 
 
+def round_trip(docs: DataFrame, model: str, check: bool = True) -> DataFrame:
+    """(doc_id, ids, text) of every row: encoded, and decoded from those ids, in one pass."""
+    ship(docs.sparkSession)
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = vocabulary(model)
+        for part in text_slices(batches):
+            ids, places, column = _encoded(part, words, check)
+            texts = words.decode_all(ids.tolist(), places.tolist())
+            yield pa.RecordBatch.from_arrays([part.column("doc_id"), column, texts], ["doc_id", "ids", "text"])
+
+    return docs.selectExpr("cast(doc_id as long) doc_id", "text").mapInArrow(rows, "doc_id long, ids array<int>, text string")
+
+
 def decode(encoded: DataFrame, model: str) -> DataFrame:
     """(doc_id, ids, text) of rows with ids; null ids: an empty text; an id outside the vocabulary is an error."""
     ship(encoded.sparkSession)
@@ -282,9 +312,8 @@ def decode(encoded: DataFrame, model: str) -> DataFrame:
             for start in range(0, batch.num_rows, 256):
                 part = batch.slice(start, 256)
                 ids = part.column("ids").fill_null([])
-                flat, ends = ids.flatten().to_numpy(zero_copy_only=False).tolist(), np.cumsum([0, *pc.list_value_length(ids).to_pylist()]).tolist()
-                with no_collection():
-                    texts = pa.array([words.decode(flat[a:b]) for a, b in zip(ends[:-1], ends[1:], strict=True)], pa.string())
+                flat, places = ids.flatten().to_numpy(zero_copy_only=False).tolist(), np.cumsum([0, *pc.list_value_length(ids).to_pylist()]).tolist()
+                texts = words.decode_all(flat, places)
                 yield pa.RecordBatch.from_arrays([*(part.column(c) for c in ("doc_id", "ids")), texts], ["doc_id", "ids", "text"])
 
     return encoded.select("doc_id", "ids").mapInArrow(rows, "doc_id long, ids array<int>, text string")

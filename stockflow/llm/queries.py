@@ -97,7 +97,7 @@ def op11_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op12_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = public_tokenizers.path("piece_bpe_32k.model")
-    rows = pieces.decode(pieces.encode(read(spark, sf_dir, "documents"), model), model)
+    rows = pieces.round_trip(read(spark, sf_dir, "documents"), model)
     return rows.select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary"), 256).alias("ids_sha256"),
