@@ -142,9 +142,8 @@ def read_table(spark: SparkSession, root: str, name: str, id_type: T.DataType =
 def _newest(spark: SparkSession, name: str, now: Manifest | None, kind: str) -> DataFrame | None:
     if now is None:
         return None
-    known = [v for v in now.parts if v != NULL_VALUE]
-    newest = spark.createDataFrame([(max(known, default=None),)], f"{PARTITIONED_BY[name]} string")
-    return newest.select(F.col(PARTITIONED_BY[name]).cast(kind))
+    newest = max((v for v in now.parts if v != NULL_VALUE), default=None)
+    return spark.sql("SELECT 1").select(F.lit(newest).cast(kind).alias(PARTITIONED_BY[name]))
 
 
 def read_tables(spark: SparkSession, root: str, id_type: T.DataType = T.StringType()) -> Tables:

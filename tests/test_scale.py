@@ -156,7 +156,8 @@ def test_the_newest_snapshot_is_found_without_opening_the_others(tables, name, c
     assert stock and all("PartitionFilters" in x for x in stock)
     # The walk over a whole table for its greatest partition would read no column at all.
     assert not [x for x in scans if "ReadSchema: struct<>" in x]
-    assert any("ReadSchema: struct<snapshot_date:date>" in x for x in scans)
+    # The manifest tells the newest date: no scan reads dates.
+    assert not [x for x in scans if "ReadSchema: struct<snapshot_date:date>" in x]
 
 
 def test_only_a_local_master_may_do_without_a_shared_folder():
