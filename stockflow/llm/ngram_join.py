@@ -139,7 +139,7 @@ def tiles(elements: np.ndarray, offsets: np.ndarray, bands: Bands) -> tuple[np.n
     return np.concatenate(texts or [np.zeros(0, np.int64)]), np.concatenate(keys or [np.zeros(0, np.uint64)])
 
 
-def bitmaps(elements: np.ndarray, offsets: np.ndarray, bands: Bands, each: int) -> list[bytes]:
+def bitmaps(elements: np.ndarray, offsets: np.ndarray, bands: Bands, each: int = NARROW) -> list[bytes]:
     """Each text's bitmap: as many bits as the power of two over `each` times the largest size of its band."""
     sizes = np.diff(offsets)
     own = bands.of(np.maximum(sizes, 1))
