@@ -19,6 +19,13 @@ from ..sources.tables import LOOK_UP_KEYS, look_up
 
 BLOCK_BITS = 32768
 HASHES = 3
+#: Keys of the whole history that a block is meant for, and blocks of a small history.
+BLOCK_KEYS, LEAST_BLOCKS = 2048, 64
+
+
+def blocks_for(keys: int) -> int:
+    """Blocks for a history of so many keys: with fewer, bits are set by chance and every key is looked for in the history."""
+    return max(LEAST_BLOCKS, -(-keys // BLOCK_KEYS))
 
 
 def _cells(second: Column) -> list[Column]:
@@ -32,13 +39,13 @@ def _is_set(cell: Column) -> Column:
 
 @dataclass(frozen=True)
 class KeyHistory:
-    """The filters of one table's keys below `root`. `blocks`: of 4 KB, the same for all pulls; 2,048 keys of the whole history a block keep false alarms rare."""
+    """The filters of one table's keys below `root`. `blocks`: of 4 KB, the same for all pulls; `blocks_for` the keys of the whole history keep false alarms rare."""
 
     spark: SparkSession
     root: str
     name: str
     keys: tuple[str, ...]
-    blocks: int = 64
+    blocks: int = LEAST_BLOCKS
 
     @property
     def _table(self) -> str:
@@ -49,8 +56,9 @@ class KeyHistory:
         return rows.withColumn("block", F.pmod(F.xxhash64(*keys), F.lit(self.blocks))).withColumn("second", F.xxhash64(*keys, F.lit(1)))
 
     def add(self, pull: DataFrame, name: str) -> None:
-        """Remember the keys of a pull. Bits are put together in each task first, so that a block crosses the network once a task."""
-        cells = self._hashed(pull.select(*self.keys)).select("block", F.explode(F.array(*_cells(F.col("second")))).alias("cell"))
+        """Remember the keys of a pull. Two hashes of a key go to the task of its block, once a key and task; a block itself crosses no network."""
+        met = self._hashed(pull.select(*self.keys)).select("block", "second").distinct().repartition("block")
+        cells = met.select("block", F.explode(F.array(*_cells(F.col("second")))).alias("cell"))
         made = f"v={uuid.uuid4().hex}"
         cells.groupBy("block").agg(F.bitmap_construct_agg("cell").alias("bits")).write.parquet(f"{self.root}/{self._table}/{made}")
         manifest.commit(self.spark, self.root, self._table, lambda now: now.replaced({name: [made]}))

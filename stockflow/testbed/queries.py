@@ -15,7 +15,7 @@ from ..functions.numbers import integer, money
 from ..functions.text import strip, title_case
 from ..operators import integrity
 from ..operators.dedupe import drop_copies
-from ..operators.key_history import KeyHistory
+from ..operators.key_history import KeyHistory, blocks_for
 from ..operators.impute import fill_with_median
 from ..plans import cleaning, feed
 from ..plans.analyses import stock_and_sales
@@ -210,7 +210,8 @@ def dq_incremental_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All sales in three pulls, each checked against those before; what was found of a key last is its number of rows."""
     rows = _typed(spark, sf_dir, "sales").withColumn("pull", F.pmod(F.xxhash64("sale_date", "location", "unit_price", "discount"), F.lit(PULLS)))
     rows = settle(rows, "typed-sales")
-    known = KeyHistory(spark, new_path(spark, "key-history"), "sales", tuple(schema.KEYS["sales"]))
+    keys = tuple(schema.KEYS["sales"])
+    known = KeyHistory(spark, new_path(spark, "key-history"), "sales", keys, blocks=blocks_for(rows.count()))  # from the footers of the files
     found = []
     for i in range(PULLS):
         pull, before = rows.filter(F.col("pull") == i), rows.filter(F.col("pull") < i)
