@@ -15,6 +15,13 @@ from pyspark.sql import functions as F
 from .tables import PARTITIONED_BY, Tables
 
 KEY = "product_id"
+#: Rows of a bucket, which one task sorts and writes, and buckets of small tables.
+BUCKET_ROWS, LEAST_BUCKETS = 2_000_000, 8
+
+
+def bucket_count(rows: int) -> int:
+    """Buckets for so many rows of both tables together: a bucket does not grow with them."""
+    return max(LEAST_BUCKETS, -(-rows // BUCKET_ROWS))
 
 
 def _write(df: DataFrame, path: str, table: str, partition: str | None, buckets: int) -> DataFrame:
@@ -26,7 +33,7 @@ def _write(df: DataFrame, path: str, table: str, partition: str | None, buckets:
 
 
 def write_bucketed(t: Tables, root: str, prefix: str, buckets: int) -> Tables:
-    """Write stock and products into `buckets` each, and give the tables with those. `buckets`: about the size of both over 128 MB, the same for both."""
+    """Write stock and products into `buckets` each, and give the tables with those. `buckets`: `bucket_count` of their rows, the same for both."""
     inventory = _write(t.inventory, f"{root}/inventory", f"{prefix}_inventory", PARTITIONED_BY["inventory"], buckets)
     products = _write(t.products, f"{root}/products", f"{prefix}_products", None, buckets)
     return replace(t, inventory=inventory, products=products, made=None)

@@ -26,7 +26,7 @@ from ..sources.clean_csv import read_clean_csv, write_clean_csv
 from ..sources.landed_json import read_landed
 from ..sources.raw_csv import read_raw_csv
 from ..sources import manifest
-from ..sources.bucketed import write_bucketed
+from ..sources.bucketed import bucket_count, write_bucketed
 from ..sources.tables import Tables, look_up, read_directories, row_counts, write_snapshots
 from ..streaming.orders import LINES, ingest_orders, read_lines
 from ..streaming.revenue import keep_daily_revenue, monthly_from_daily, read_days
@@ -78,8 +78,9 @@ def bucketed(spark: SparkSession, sf_dir: str) -> Tables:
     """The clean tables with stock and products bucketed by product, written once per application."""
     key = f"{spark.sparkContext.applicationId}:{sf_dir}"
     if key not in BUCKETED:
-        prefix = f"b{zlib.crc32(key.encode()):08x}"
-        BUCKETED[key] = write_bucketed(land.tables(spark, sf_dir), new_path(spark, "bucketed"), prefix, buckets=8)
+        prefix, t = f"b{zlib.crc32(key.encode()):08x}", land.tables(spark, sf_dir)
+        buckets = bucket_count(t.inventory.count() + t.products.count())  # from the footers of the files
+        BUCKETED[key] = write_bucketed(t, new_path(spark, "bucketed"), prefix, buckets)
     return BUCKETED[key]
 
 
