@@ -10,9 +10,11 @@ from pyspark.sql import functions as F
 
 from stockflow import schema, session
 from stockflow.operators.key_history import KeyHistory, blocks_for
+from stockflow.operators.recent import latest_snapshot
 from stockflow.sources import landed_json
 from stockflow.sources.bucketed import bucket_count
 from stockflow.sources.landed_json import read_landed, write_landed
+from stockflow.sources.tables import write_table
 from stockflow.streaming.orders import ingest_orders, read_lines, read_versions
 from stockflow.testbed import land, queries, views
 
@@ -35,6 +37,25 @@ def test_all_is_landed_if_nothing_is_named(spark, sf_dir, nothing_landed):
     assert {k for k in nothing_landed() if k.startswith("feed/")} == {f"feed/{e}" for e in schema.LANDED}
 
 
+def test_exports_and_documents_need_no_clean_sales_or_stock(spark, sf_dir, nothing_landed):
+    made = {}
+    for name in ("parse_mixed_dates", "json_sales", "snapshot_append", "scan_raw_inventory"):
+        made[name] = spark_rows(queries.QUERIES[name](spark, sf_dir))
+    assert nothing_landed() == {"raw/sales", "feed/orders", "feed/item_stocks", "raw/inventory"}
+    # The same rows come from clean tables that are there already.
+    land._landed.clear()
+    land.tables(spark, sf_dir)
+    for name, rows in made.items():
+        assert spark_rows(queries.QUERIES[name](spark, sf_dir)) == rows, name
+    assert spark_rows(land.latest_stock(spark, sf_dir)) == spark_rows(latest_snapshot(land.table(spark, sf_dir, "inventory")))
+
+
+def test_clean_tables_are_written_small(spark, sf_dir, tmp_path):
+    write_table(views.sales(spark, sf_dir), str(tmp_path), "sales")
+    files = [p for p in Path(tmp_path, "sales").rglob("part-*") if not p.name.startswith(".")]
+    assert files and all(".zstd." in p.name for p in files)
+
+
 def documents(spark):
     rows = [(str(i), None, "no name" if i % 2 else "a - b", f"s{i % 3}", f"2025-0{1 + i % 2}-01") for i in range(30)]
     rows.append(("x", None, None, None, None))
