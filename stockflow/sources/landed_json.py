@@ -7,6 +7,7 @@ from pyspark.sql import types as T
 
 from ..schema import LANDED
 from ..session import settings
+from .tables import TASK_BYTES
 
 #: Documents of a file at most: a compressed file is read by one task.
 DOCUMENTS_PER_FILE = 500_000
@@ -43,8 +44,9 @@ def stream_landed(spark: SparkSession, root: str, entity: str, files_per_batch:
 def write_landed(docs: DataFrame, root: str, entity: str, mode: str = "overwrite") -> None:
     """Land documents, compressed, where they are made: documents are the widest rows there are, so they are neither shuffled nor sorted by store.
 
-    A task has a file open for each store and pull it meets, and begins another when one is full.
+    A task has a file open for each store and pull it meets, and begins another when one is full. Where the rows come out of a join
+    that sorts both sides, its tasks take TASK_BYTES.
     """
     writer = docs.write.mode(mode).option("compression", "gzip").option("maxRecordsPerFile", DOCUMENTS_PER_FILE)
-    with settings(docs.sparkSession, maxConcurrentOutputFileWriters=OPEN_FILES):
+    with settings(docs.sparkSession, maxConcurrentOutputFileWriters=OPEN_FILES, adaptive__advisoryPartitionSizeInBytes=TASK_BYTES):
         writer.partitionBy("pull_date", "location").json(f"{root}/{entity}")

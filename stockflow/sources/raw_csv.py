@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import settings
+from .tables import TASK_BYTES
 
 # The texts that pandas reads as missing by default.
 NULL_WORDS = (
@@ -46,11 +48,8 @@ def read_raw_csv(
 
 
 def write_raw_csv(df: DataFrame, path: str) -> None:
-    (
-        df.write.mode("overwrite")
-        .option("header", True)
-        .option("escape", '"')
-        .option("ignoreLeadingWhiteSpace", False)
-        .option("ignoreTrailingWhiteSpace", False)
-        .csv(path)
-    )
+    """Write an export where its rows are made; where they come out of a join that sorts both sides, its tasks take TASK_BYTES."""
+    writer = df.write.mode("overwrite").option("header", True).option("escape", '"')
+    writer = writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+    with settings(df.sparkSession, adaptive__advisoryPartitionSizeInBytes=TASK_BYTES):
+        writer.csv(path)

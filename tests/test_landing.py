@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from stockflow import schema, session
 from stockflow.operators.key_history import KeyHistory, blocks_for
 from stockflow.operators.recent import latest_snapshot
-from stockflow.sources import landed_json
+from stockflow.sources import landed_json, raw_csv
 from stockflow.sources.bucketed import bucket_count
 from stockflow.sources.landed_json import read_landed, write_landed
 from stockflow.sources.tables import write_table
@@ -76,6 +76,21 @@ def test_documents_are_landed_compressed_and_come_back(spark, tmp_path, monkeypa
     assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters", None) is None
 
 
+@pytest.mark.parametrize("module", [landed_json, raw_csv])
+def test_exports_and_documents_are_made_by_small_tasks(spark, tmp_path, monkeypatch, module):
+    monkeypatch.setattr(module, "TASK_BYTES", "2k", raising=False)
+    rows = spark.range(4000).select(F.xxhash64("id").alias("id")).distinct().select(F.col("id").cast("string").alias("id"), F.lit("s").alias("location"), F.lit("2025-01-01").alias("pull_date"))
+    with session.settings(spark, adaptive__coalescePartitions__parallelismFirst="false", adaptive__coalescePartitions__minPartitionSize="1k"):
+        if module is raw_csv:
+            raw_csv.write_raw_csv(rows, f"{tmp_path}/out")
+        else:
+            write_landed(rows, str(tmp_path), "out")
+    files = [p for p in Path(tmp_path, "out").rglob("part-*") if not p.name.startswith(".")]
+    assert len(files) == 4  # the shuffle's partitions, which few rows would otherwise share
+    back = spark.read.option("header", True).csv(f"{tmp_path}/out") if module is raw_csv else spark.read.json(f"{tmp_path}/out")
+    assert back.select("id").distinct().count() == back.count() == 4000
+
+
 def test_settings_leave_what_the_application_has_set(spark):
     key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
     with session.settings(spark, adaptive__advisoryPartitionSizeInBytes="16m"):
