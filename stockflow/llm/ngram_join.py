@@ -37,7 +37,7 @@ from stockflow.llm import bloom
 from stockflow.llm.common import ship, text_slices
 from stockflow.llm.components import components
 from stockflow.llm.words import Words, mix
-from stockflow.session import release, settle
+from stockflow.session import release, settings, settle
 
 #: Bits of a shingle's hash; the other bits of a 64-bit value hold the text's place in a slice.
 BITS = 51
@@ -52,6 +52,9 @@ BLOCK = 256
 PACKED, RANGE_TILES, RANGES = 1 << 20, 1 << 20, 64
 #: Bits of a bitmap for each element of the largest set of a band, at least: those that are compared first, and those that settle what is left.
 NARROW, WIDE = 2, 8
+#: Rows that Spark and a Python worker hand each other at once, and bytes of text worked on at once: rows hold whole texts or sets, and both sides
+#: keep several copies of what they hand over.
+ARROW_ROWS, SLICE_BYTES = 512, 512 << 10
 #: Rows of a file of what is written between steps: few rows make few tasks, whatever the shuffles' number of partitions.
 ROWS_PER_FILE = 400_000
 
@@ -165,7 +168,7 @@ def may_link(n1, n2, lost1, lost2, percent: int):
 
 def _sketch_rows(gram: int):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in text_slices(batches, rows=PLACES):
+        for part in text_slices(batches, most=SLICE_BYTES, rows=PLACES):
             elements, offsets = sets(part.column("text"), gram)
             columns = [part.column("doc_id"), part.column("hash"), pa.array(np.diff(offsets).astype(np.int64)), pa.array(names(elements, offsets))]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "hash", "n", "node"])
@@ -209,7 +212,7 @@ def _tile_messages(bands: Bands, gram: int, ranges: int):
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, n = [], 0
-        for part in text_slices(batches, rows=PLACES):
+        for part in text_slices(batches, most=SLICE_BYTES, rows=PLACES):
             elements, offsets = sets(part.column("text"), gram)
             texts, keys = tiles(elements, offsets, bands)
             held.append((keys, names(elements, offsets)[texts]))
@@ -313,6 +316,12 @@ def _block_pairs(percent: int, best: bool):
     return rows
 
 
+def _written(df: DataFrame, name: str) -> DataFrame:
+    """Written and read back; rows go through Python `ARROW_ROWS` at a time."""
+    with settings(df.sparkSession, execution__arrow__maxRecordsPerBatch=str(ARROW_ROWS)):
+        return settle(df, name)
+
+
 class Join:
     """The join over one table of documents; each step is written before the next reads it."""
 
@@ -320,9 +329,9 @@ class Join:
         ship(docs.sparkSession)
         self.gram, self.percent, self.stars, self.bests, self.bands = gram, percent, stars, bests, Bands(percent)
         self.docs = docs.selectExpr("cast(doc_id as long) doc_id", "text", "xxhash64(text) hash")
-        self.sketch = settle(self.docs.mapInArrow(_sketch_rows(gram), "doc_id long, hash long, n long, node long"), "ngram-sketch")
+        self.sketch = _written(self.docs.mapInArrow(_sketch_rows(gram), "doc_id long, hash long, n long, node long"), "ngram-sketch")
         named = self.sketch.where("n > 0 and doc_id is not null")
-        self.nodes = settle(
+        self.nodes = _written(
             named.groupBy("node").agg(F.min(F.struct("doc_id", "n", "hash")).alias("least")).select("node", "least.doc_id", "least.n", "least.hash"),
             "ngram-nodes",
         )
@@ -339,18 +348,18 @@ class Join:
             _tile_messages(self.bands, self.gram, max(RANGES, tiles_ // RANGE_TILES)), "range long, shared boolean, tiles binary, nodes binary"
         )
         every = messages.groupBy("range").applyInArrow(_shared_members, "tile long, node long")
-        every = settle(every, "ngram-tile-members")
-        members = settle(every.distinct(), "ngram-members")
+        every = _written(every, "ngram-tile-members")
+        members = _written(every.distinct(), "ngram-members")
         alike = members.groupBy("tile").agg(F.count("*").alias("n"), F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("sum")).where("n > 1")
-        once = settle(alike.groupBy("n", "sum").agg(F.min("tile").alias("once"), F.count("*").alias("times")).select("once", "times"), "ngram-tiles-once")
-        kept = settle(members.join(once, F.col("tile") == F.col("once")).select("tile", "node", "times"), "ngram-members-once")
+        once = _written(alike.groupBy("n", "sum").agg(F.min("tile").alias("once"), F.count("*").alias("times")).select("once", "times"), "ngram-tiles-once")
+        kept = _written(members.join(once, F.col("tile") == F.col("once")).select("tile", "node", "times"), "ngram-members-once")
         release(every, members, once)
         return kept
 
     def _near(self) -> DataFrame:
         """(node, n, bits, wide, set) of the nodes that share a tile, from the text of each one's least document; other texts are not shuffled."""
         shared = self.members.select(F.col("node").alias("m")).distinct()
-        ids = settle(self.nodes.join(shared, F.col("node") == F.col("m"), "left_semi").selectExpr("doc_id id", "hash of_text"), "ngram-wanted")
+        ids = _written(self.nodes.join(shared, F.col("node") == F.col("m"), "left_semi").selectExpr("doc_id id", "hash of_text"), "ngram-wanted")
         filter_ = bloom.build(ids, F.col("id"), ids.count())
         maybe = bloom.probe(self.docs, F.col("doc_id"), filter_, "maybe").where("maybe")
         # Repeated rows come together before the shuffle and are one row of the join.
@@ -359,20 +368,20 @@ class Join:
         gram, bands = self.gram, self.bands
 
         def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for part in text_slices(batches, rows=PLACES):
+            for part in text_slices(batches, most=SLICE_BYTES, rows=PLACES):
                 elements, offsets = sets(part.column("text"), gram)
                 lists = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(elements.view(np.int64)))
                 maps = [pa.array(bitmaps(elements, offsets, bands, each), pa.binary()) for each in (NARROW, WIDE)]
                 columns = [pa.array(names(elements, offsets)), pa.array(np.diff(offsets).astype(np.int64)), *maps, lists]
                 yield pa.RecordBatch.from_arrays(columns, ["node", "n", "bits", "wide", "set"])
 
-        near = settle(texts.mapInArrow(rows, "node long, n long, bits binary, wide binary, set array<long>"), "ngram-near")
+        near = _written(texts.mapInArrow(rows, "node long, n long, bits binary, wide binary, set array<long>"), "ngram-near")
         release(ids, filter_.table)
         return near
 
     def _small(self, df: DataFrame, name: str) -> DataFrame:
         """Written in few files: rows of ids, at most as many as there are members of tiles."""
-        return settle(df.coalesce(self.files), name)
+        return _written(df.coalesce(self.files), name)
 
     def links(self, pairs: DataFrame) -> DataFrame:
         """The pairs (a, b) that link: within the bound of the bitmaps first, then by intersection."""
@@ -380,7 +389,7 @@ class Join:
         sides = pairs.distinct().join(bits.selectExpr("node x", "n n1", "bits bits1"), F.col("a") == F.col("x")).join(
             bits.selectExpr("node y", "n n2", "bits bits2"), F.col("b") == F.col("y")
         )
-        bound = settle(sides.select("a", "b", "n1", "n2", "bits1", "bits2").mapInArrow(_within_bound(self.percent), "a long, b long"), "ngram-bound")
+        bound = _written(sides.select("a", "b", "n1", "n2", "bits1", "bits2").mapInArrow(_within_bound(self.percent), "a long, b long"), "ngram-bound")
         found = self._verified(bound)
         release(bound)
         return found
@@ -390,7 +399,7 @@ class Join:
         ends = self._small(bound.select(F.explode(F.array("a", "b")).alias("end")).distinct(), "ngram-ends")
         kept = self.near.select("node", "set").join(ends, F.col("node") == F.col("end"), "left_semi")
         sides = bound.join(kept.selectExpr("node x", "set set1"), F.col("a") == F.col("x")).join(kept.selectExpr("node y", "set set2"), F.col("b") == F.col("y"))
-        found = settle(sides.select("a", "b", "set1", "set2").mapInArrow(_linked(self.percent), "a long, b long"), "ngram-links")
+        found = _written(sides.select("a", "b", "set1", "set2").mapInArrow(_linked(self.percent), "a long, b long"), "ngram-links")
         release(ends)
         return found
 
@@ -457,13 +466,13 @@ class Join:
 
     def result(self) -> DataFrame:
         """For each row: doc_id, n_shingles, component_id."""
-        joined = settle(components(self.node_links()), "ngram-final")
+        joined = _written(components(self.node_links()), "ngram-final")
         release(self.near)
         joined = joined.select(F.col("node").alias("of"), "component")
         named = self.nodes.join(joined, F.col("node") == F.col("of"), "left").select("node", F.coalesce("component", "node").alias("component"), "doc_id")
-        named = settle(named, "ngram-named")
-        least = settle(named.groupBy(F.col("component").alias("c")).agg(F.min("doc_id").alias("component_id")), "ngram-least")
-        of_node = settle(named.join(least, F.col("component") == F.col("c")).select(F.col("node").alias("of"), "component_id"), "ngram-node-components")
+        named = _written(named, "ngram-named")
+        least = _written(named.groupBy(F.col("component").alias("c")).agg(F.min("doc_id").alias("component_id")), "ngram-least")
+        of_node = _written(named.join(least, F.col("component") == F.col("c")).select(F.col("node").alias("of"), "component_id"), "ngram-node-components")
         own = F.when((F.col("n") > 0) & F.col("doc_id").isNotNull(), F.col("node"))
         rows = self.sketch.select("doc_id", "n", own.alias("node"))
         alone = rows.where("node is null").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
@@ -477,5 +486,5 @@ def join(docs: DataFrame, gram: int = 3, percent: int = 90) -> DataFrame:
 
 def representatives(docs: DataFrame, gram: int = 3, percent: int = 90) -> DataFrame:
     """The rows of `docs` without those that are not the first of their group."""
-    told = settle(join(docs, gram, percent).where("doc_id <> component_id").select("doc_id").distinct(), "ngram-gone")
+    told = _written(join(docs, gram, percent).where("doc_id <> component_id").select("doc_id").distinct(), "ngram-gone")
     return bloom.without(docs, F.col("doc_id").cast("long"), told, told.count())

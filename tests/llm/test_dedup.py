@@ -150,6 +150,18 @@ def test_join_edges(spark):
     assert ngram_join.join(no_docs(spark)).count() == 0 and ngram_join.representatives(no_docs(spark)).count() == 0
 
 
+def test_join_hands_few_rows_to_python_at_once(spark, monkeypatch):
+    key, held, settle = "spark.sql.execution.arrow.maxRecordsPerBatch", [], ngram_join.settle
+    monkeypatch.setattr(ngram_join, "ARROW_ROWS", 7, raising=False)
+    monkeypatch.setattr(ngram_join, "settle", lambda df, name: held.append((name, spark.conf.get(key, None))) or settle(df, name))
+    words = [f"w{i}" for i in range(60)]
+    texts = [(d, " ".join(words[: 40 + d % 3])) for d in range(20)]
+    got = ngram_join.join(spark.createDataFrame(texts, "doc_id long, text string").coalesce(1)).collect()
+    assert {r.component_id for r in got} == {0} and len(got) == 20
+    assert {"ngram-sketch", "ngram-tile-members", "ngram-near", "ngram-bound", "ngram-links"} <= {name for name, _ in held}
+    assert {rows for _, rows in held} == {"7"} and spark.conf.get(key, None) is None
+
+
 def test_components(spark):
     rng = np.random.default_rng(5)
     pairs = [(i, i + 1) for i in range(100, 180)] + [(1, int(x)) for x in range(500, 700)] + [(int(a), int(b)) for a, b in rng.integers(1000, 1400, (150, 2))]
