@@ -36,7 +36,8 @@ def _root(spark: SparkSession, sf_dir: str, kind: str) -> str:
 
 def _land_table(spark: SparkSession, sf_dir: str, name: str) -> str:
     root = _root(spark, sf_dir, "tables")
-    _once(spark, sf_dir, f"tables/{name}", lambda: write_table(getattr(views, name)(spark, sf_dir), root, name))
+    make, widen = views.NARROW.get(name, (getattr(views, name), None))
+    _once(spark, sf_dir, f"tables/{name}", lambda: write_table(make(spark, sf_dir), root, name, widen))
     return root
 
 

@@ -44,8 +44,8 @@ def stores(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Line items with order date, store and price.
+def sale_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items with order date, store and price; `sale_columns` makes the other columns of sales.
 
     The joins carry no hint: each side is broadcast by its file size or else shuffled, and the
     runtime splits an order, product or supplier that holds a large share of the lines. Orders, the
@@ -54,28 +54,38 @@ def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity")
     orders = table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_orderdate").cast("date").alias("sale_date"))
     prices = products(spark, sf_dir).select("product_id", F.col("price").alias("unit_price"))
-    discount = F.expr(
-        "CAST(CASE l_orderkey % 20 WHEN 0 THEN 5 WHEN 1 THEN 2 WHEN 2 THEN 2 ELSE 0 END AS DECIMAL(12,2))"
-    )
     joined = (
         lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
         .join(prices, F.col("l_partkey") == F.col("product_id"))
         .join(stores(spark, sf_dir), F.col("l_suppkey") == F.col("s_suppkey"))
     )
-    rows = joined.select(
-        F.concat_ws("-", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", F.col("l_quantity").cast("bigint")).alias("sale_id"),
-        "sale_date",
-        "location",
-        "product_id",
-        F.col("l_quantity").cast("bigint").alias("quantity"),
-        "unit_price",
-        discount.alias("discount"),
+    return joined.select("l_orderkey", "l_suppkey", "l_linenumber", "l_quantity", "sale_date", "location", "product_id", "unit_price")
+
+
+def sale_columns(facts: DataFrame) -> DataFrame:
+    """Facts with id, quantity, discount and net amount instead of the keys that these are made from."""
+    discount = F.expr(
+        "CAST(CASE l_orderkey % 20 WHEN 0 THEN 5 WHEN 1 THEN 2 WHEN 2 THEN 2 ELSE 0 END AS DECIMAL(12,2))"
     )
+    quantity = F.col("l_quantity").cast("bigint")
+    made = {
+        "sale_id": F.concat_ws("-", "l_orderkey", "product_id", "l_suppkey", "l_linenumber", quantity),
+        "quantity": quantity,
+        "discount": discount,
+    }
+    rows = facts.withColumns(made).drop("l_orderkey", "l_suppkey", "l_linenumber", "l_quantity")
     return rows.withColumn(
         "net_amount", (F.col("quantity") * (F.col("unit_price") - F.col("discount"))).cast("decimal(18,2)")
     )
 
 
+def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items with order date, store and price."""
+    return sale_columns(sale_facts(spark, sf_dir)).select(
+        "sale_id", "sale_date", "location", "product_id", "quantity", "unit_price", "discount", "net_amount"
+    )
+
+
 def month_ends(spark: SparkSession, sf_dir: str) -> Column:
     """Month ends of the last year of orders, as an array: thirteen dates at most."""
     orders = table(spark, sf_dir, "orders").select(F.col("o_orderdate").cast("date").alias("d"))
@@ -84,8 +94,8 @@ def month_ends(spark: SparkSession, sf_dir: str) -> Column:
     return recent.agg(F.sort_array(F.collect_list("d"))).scalar()
 
 
-def inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per month end, region and part, made by unfolding each part where it is.
+def stock_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per month end, region and part, made by unfolding each part where it is; `stock_columns` makes the other columns of inventory.
 
     A part is a few bytes and becomes some sixty rows, so parts are dealt out by their number first: one task would
     otherwise unfold all parts of a small file, and its rows of a month cannot be split between the tasks that sort them.
@@ -98,15 +108,25 @@ def inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
         .select("p_partkey", F.explode(regions).alias("r"))
         .select("p_partkey", "r.r_regionkey", "r.r_name", F.explode(month_ends(spark, sf_dir)).alias("snapshot_date"))
     )
-    wave = "(p_partkey * 7 + r_regionkey * 13 + month(snapshot_date) * 5) % 23"
-    return grid.select(
-        "snapshot_date",
-        F.col("r_name").alias("location"),
-        F.col("p_partkey").cast("bigint").alias("product_id"),
-        F.expr(f"CAST(greatest(0, {wave} - 8) AS INT)").alias("quantity_on_hand"),
-        F.expr(
-            f"CAST(CASE WHEN {wave} <= 8 THEN 0"
-            " ELSE (p_partkey * 31 + r_regionkey * 17 + month(snapshot_date) * 3) % 320 END AS INT)"
-        ).alias("days_in_stock"),
-        F.expr("CAST(1 + (p_partkey + r_regionkey) % 3 AS INT)").alias("reorder_level"),
-    )
+    return grid.select("snapshot_date", F.col("r_name").alias("location"), F.col("p_partkey").cast("bigint").alias("product_id"), "r_regionkey")
+
+
+def stock_columns(grid: DataFrame) -> DataFrame:
+    """The grid with stock, days and reorder level instead of the region's key."""
+    wave = "(product_id * 7 + r_regionkey * 13 + month(snapshot_date) * 5) % 23"
+    made = {
+        "quantity_on_hand": f"CAST(greatest(0, {wave} - 8) AS INT)",
+        "days_in_stock": f"CAST(CASE WHEN {wave} <= 8 THEN 0"
+        " ELSE (product_id * 31 + r_regionkey * 17 + month(snapshot_date) * 3) % 320 END AS INT)",
+        "reorder_level": "CAST(1 + (product_id + r_regionkey) % 3 AS INT)",
+    }
+    return grid.withColumns({c: F.expr(e) for c, e in made.items()}).drop("r_regionkey")
+
+
+def inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per month end, region and part."""
+    return stock_columns(stock_grid(spark, sf_dir))
+
+
+#: What is shuffled of a table that is written, and what makes its other columns afterwards.
+NARROW = {"sales": (sale_facts, sale_columns), "inventory": (stock_grid, stock_columns)}

@@ -14,7 +14,7 @@ from stockflow.operators.recent import latest_snapshot
 from stockflow.sources import landed_json, raw_csv
 from stockflow.sources.bucketed import bucket_count
 from stockflow.sources.landed_json import read_landed, write_landed
-from stockflow.sources.tables import write_table
+from stockflow.sources.tables import layout, write_table
 from stockflow.streaming.orders import ingest_orders, read_lines, read_versions
 from stockflow.testbed import land, queries, views
 
@@ -56,6 +56,23 @@ def test_clean_tables_are_written_small(spark, sf_dir, tmp_path):
     assert files and all(".zstd." in p.name for p in files)
 
 
+def test_filters_are_as_small_as_what_they_hold(spark, tmp_path):
+    write_table(spark.range(100).selectExpr("id AS product_id", "'s' AS location", "DATE '2025-08-31' AS snapshot_date"), str(tmp_path), "inventory")
+    files = [p for p in Path(tmp_path, "inventory").rglob("part-*") if not p.name.startswith(".")]
+    # 1 MB each, if a filter does not shrink to its hundred values.
+    assert files and max(p.stat().st_size for p in files) < 300_000
+
+
+@pytest.mark.parametrize(("name", "made"), [("sales", "sale_id"), ("inventory", "days_in_stock")])
+def test_columns_that_follow_from_others_are_not_shuffled(spark, sf_dir, nothing_landed, name, made):
+    facts, widen = views.NARROW[name]
+    plan = layout(facts(spark, sf_dir), name, widen)._jdf.queryExecution().optimizedPlan().toString()
+    above, below = plan.split("RebalancePartitions", 1)
+    assert f"AS {made}" in above and made not in below
+    whole = getattr(views, name)(spark, sf_dir)
+    assert spark_rows(land.table(spark, sf_dir, name).select(*whole.columns)) == spark_rows(whole)
+
+
 def documents(spark):
     rows = [(str(i), None, "no name" if i % 2 else "a - b", f"s{i % 3}", f"2025-0{1 + i % 2}-01") for i in range(30)]
     rows.append(("x", None, None, None, None))
