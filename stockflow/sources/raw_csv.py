@@ -15,6 +15,8 @@ NULL_WORDS = (
     "nan", "null",
 )
 CORRUPT = "corrupt_line"
+#: Rows of an export's file at most: a compressed file is read by one task, and Spark gives a task some thirty small files.
+ROWS_PER_FILE = 125_000
 
 
 def read_raw_csv(
@@ -48,8 +50,9 @@ def read_raw_csv(
 
 
 def write_raw_csv(df: DataFrame, path: str) -> None:
-    """Write an export where its rows are made; where they come out of a join that sorts both sides, its tasks take TASK_BYTES."""
+    """Write an export where its rows are made, compressed; where they come out of a join that sorts both sides, its tasks take TASK_BYTES."""
     writer = df.write.mode("overwrite").option("header", True).option("escape", '"')
+    writer = writer.option("compression", "gzip").option("maxRecordsPerFile", ROWS_PER_FILE)
     writer = writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
     with settings(df.sparkSession, adaptive__advisoryPartitionSizeInBytes=TASK_BYTES):
         writer.csv(path)

@@ -21,7 +21,7 @@ from ..plans import cleaning, feed
 from ..plans.analyses import stock_and_sales
 from ..plans.jobs import clean_exports, write_suite
 from ..plans.suite import RESULTS
-from ..session import new_path, settle
+from ..session import new_path, settings, settle
 from ..sources.clean_csv import read_clean_csv, write_clean_csv
 from ..sources.landed_json import read_landed
 from ..sources.raw_csv import read_raw_csv
@@ -174,7 +174,8 @@ def net_amount(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def impute_median(spark: SparkSession, sf_dir: str) -> DataFrame:
     # Written once: the median would otherwise read the export and shuffle it for duplicates a second time.
-    typed = settle(cleaning.type_inventory(drop_copies(raw(spark, sf_dir, "inventory"))), "typed-inventory")
+    with settings(spark, parquet__compression__codec="zstd"):
+        typed = settle(cleaning.type_inventory(drop_copies(raw(spark, sf_dir, "inventory"))), "typed-inventory")
     return fill_with_median(typed, "location", "reorder_level").select(*schema.RAW_INVENTORY.names)
 
 

@@ -73,6 +73,18 @@ def test_columns_that_follow_from_others_are_not_shuffled(spark, sf_dir, nothing
     assert spark_rows(land.table(spark, sf_dir, name).select(*whole.columns)) == spark_rows(whole)
 
 
+def test_exports_are_written_compressed_and_come_back(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(raw_csv, "ROWS_PER_FILE", 2, raising=False)
+    kind = schema.RAW_INVENTORY
+    rows = spark.createDataFrame([(f"day {i}", ' "a", b ', None, "" if i % 2 else "x", "1", "2") for i in range(5)], kind).coalesce(1)
+    raw_csv.write_raw_csv(rows, f"{tmp_path}/out")
+    files = [p for p in Path(tmp_path, "out").rglob("part-*") if not p.name.startswith(".")]
+    assert files and all(p.name.endswith(".csv.gz") for p in files)
+    assert max(len(gzip.open(p, "rt").readlines()) for p in files) == 3  # with the header
+    back = raw_csv.read_raw_csv(spark, f"{tmp_path}/out", kind)
+    assert spark_rows(back) == spark_rows(rows.replace("", None))
+
+
 def documents(spark):
     rows = [(str(i), None, "no name" if i % 2 else "a - b", f"s{i % 3}", f"2025-0{1 + i % 2}-01") for i in range(30)]
     rows.append(("x", None, None, None, None))
