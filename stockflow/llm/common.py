@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import zipfile
 from collections.abc import Iterator
@@ -18,6 +19,8 @@ _shipped: set[str] = set()
 
 #: Texts are worked on in slices of about so many bytes, which bounds a Python worker's memory; a longer text is a slice of its own.
 SLICE_BYTES = 2 << 20
+#: The same where a pipeline's workers go on to other stages, with what their largest slice took.
+SMALL_SLICE_BYTES = 512 << 10
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -53,6 +56,14 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")
 
 
+def give_back() -> None:
+    """Give memory that nothing uses any more back to the system: Spark keeps its Python workers, and their pools keep what they once took."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the GNU C library only
+    if trim:
+        trim(0)
+
+
 #: Rows in a slice at most.
 SLICE_ROWS = 8192
 
@@ -69,3 +80,5 @@ def text_slices(batches: Iterator[pa.RecordBatch], column: str = "text", most: i
             held += int(n)
         if len(sizes) > start:
             yield batch.slice(start)
+        del batch
+        give_back()

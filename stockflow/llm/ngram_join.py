@@ -51,7 +51,7 @@ BLOCK = 256
 #: Tiles that a task packs together, and about how many of them a range of tile names holds; there are `RANGES` at least.
 PACKED, RANGE_TILES, RANGES = 1 << 20, 1 << 20, 64
 #: Bits of a bitmap for each element of the largest set of a band, at least: those that are compared first, and those that settle what is left.
-NARROW, WIDE = 2, 8
+NARROW, WIDE = 2, 4
 #: Rows that Spark and a Python worker hand each other at once, and bytes of text worked on at once: rows hold whole texts or sets, and both sides
 #: keep several copies of what they hand over.
 ARROW_ROWS, SLICE_BYTES = 512, 512 << 10

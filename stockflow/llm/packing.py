@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
 from stockflow.llm import tokens
-from stockflow.llm.common import ship, text_slices
+from stockflow.llm.common import SMALL_SLICE_BYTES, ship, text_slices
 
 SCHEMA = "doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary"
 
@@ -162,7 +162,7 @@ def pack(docs: DataFrame, tokenizer: str, size: int = 2048, end_id: int = 1, cut
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, line = tokens.encoder(tokenizer), Line(size, cut, short)
-        for part in text_slices(batches):
+        for part in text_slices(batches, most=SMALL_SLICE_BYTES):
             line.add(part.column("doc_id").to_pylist(), *encoder.encode(part.column("text"), end_id))
             if len(line.ids) >= run:
                 yield from line.pack(last=False)

@@ -17,6 +17,8 @@ from stockflow.llm.words import Words, text_buffer
 
 #: Kept words; beyond that the store starts anew. Only speed depends on it.
 MOST_KEPT = 1_000_000
+#: New words encoded at once: the tokenizer takes some hundred bytes for each of their characters.
+AT_ONCE = 4096
 _SENTENCE_ENDS = np.isin(np.arange(256), np.frombuffer(b".!?", np.uint8))
 _CLOSING = np.isin(np.arange(256), np.frombuffer(b".,;:!?", np.uint8))
 _RAW_SALT = np.uint64(0xD6E8FEB86659FD93)
@@ -57,7 +59,9 @@ class Encoder:
         return found
 
     def _learn(self, keys: np.ndarray, units: list[bytes], plain: np.ndarray) -> None:
-        found = self._encode(units, plain)
+        found = []
+        for i in range(0, len(units), AT_ONCE):
+            found += self._encode(units[i : i + AT_ONCE], plain[i : i + AT_ONCE])
         lengths = np.array([len(x) for x in found], np.int64)
         starts = len(self.ids) + np.cumsum(lengths) - lengths
         self.ids = np.concatenate([self.ids, *found])

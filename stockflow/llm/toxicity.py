@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stockflow.llm.common import held_out, ship, text_slices
+from stockflow.llm.common import SMALL_SLICE_BYTES, held_out, ship, text_slices
 from stockflow.llm.words import Words, mix
 from stockflow.session import settle
 
@@ -121,7 +121,7 @@ def sample(docs: DataFrame, labels: DataFrame, positives: int, unlabelled: int)
 
 def _spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """How many positive and unlabelled texts have each feature."""
-    for part in text_slices(batches):
+    for part in text_slices(batches, most=SMALL_SLICE_BYTES):
         doc, key, _ = counted(Words(part.column("text")))
         positive = part.column("positive").to_numpy(zero_copy_only=False)[doc]
         keys, at = np.unique(key, return_inverse=True)
@@ -200,7 +200,7 @@ def learn(docs: DataFrame, labels: DataFrame, positives: int = 6000, unlabelled:
     model = Model(keys, np.zeros(len(keys)), 0.0)
 
     def known(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in text_slices(batches):
+        for part in text_slices(batches, most=SMALL_SLICE_BYTES):
             doc, at, x = model.known(Words(part.column("text")))
             cuts = np.searchsorted(doc, np.arange(part.num_rows + 1))
             columns = (part.column("positive").to_numpy(zero_copy_only=False), cuts.astype(np.int32), at.astype(np.int32), x.astype(np.float32))
@@ -225,7 +225,7 @@ def scorer(model: Model):
     def score(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for array in texts:
             batch = pa.RecordBatch.from_arrays([array], ["text"])
-            yield pa.array(np.concatenate([model.score(p.column("text")) for p in text_slices([batch])] or [np.zeros(0)]))
+            yield pa.array(np.concatenate([model.score(p.column("text")) for p in text_slices([batch], most=SMALL_SLICE_BYTES)] or [np.zeros(0)]))
 
     return score
 

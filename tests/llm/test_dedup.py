@@ -274,3 +274,10 @@ def test_released_steps_leave_nothing_behind(spark):
     ngram_join.join(spark.createDataFrame(rows, "doc_id long, text string"), 3, 80).count()
     left = sorted(n.rsplit("-", 1)[0] for n in tables() - before)
     assert len(left) <= 12 and not {"ngram-near", "ngram-members", "ngram-tile-members", "ngram-bound", "ngram-around", "star-least"} & set(left), left
+
+
+def test_wide_bitmaps_take_a_byte_an_element_at_most():
+    bands = ngram_join.Bands(80)
+    for n in (40, 300, 2000, 20_000):
+        largest = bands.edges[bands.of(np.array([n]))[0] + 1]
+        assert len(ngram_join.bitmaps(np.arange(n, dtype=np.uint64), np.array([0, n]), bands, ngram_join.WIDE)[0]) <= largest

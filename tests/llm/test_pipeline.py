@@ -2,6 +2,8 @@ import sys
 from collections import Counter
 from pathlib import Path
 
+import public_tokenizers
+import pyarrow as pa
 import pytest
 from edges import edge_docs, no_docs
 from test_dedup import brute_join
@@ -10,7 +12,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[2]))
 
 import corpus_pipeline as pipeline
 
-from stockflow.llm import mixing, toxicity
+from stockflow.llm import common, mixing, tokens, toxicity
 from stockflow.llm.common import read
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -70,3 +72,24 @@ def test_stages_take_edge_rows(spark, sf_dir, make):
     for _, stage in pipeline.STAGES:
         docs = stage(spark, docs, sf_dir).persist()
         docs.count()
+
+
+def test_workers_give_memory_back_after_each_batch(monkeypatch):
+    given = []
+    monkeypatch.setattr(common, "give_back", lambda: given.append(1), raising=False)
+    batches = [pa.RecordBatch.from_pydict({"text": ["a b", None, "c" * 50] * 4}) for _ in range(3)]
+    slices = [s.num_rows for s in common.text_slices(iter(batches), most=100)]
+    assert sum(slices) == 36 and len(slices) > 3
+    assert len(given) == 3
+
+
+def test_new_words_are_encoded_in_parts(monkeypatch):
+    texts = pa.array([" ".join(f"{a}{b}{c} word{a}." for b in "aeiou") for a in "bcdfg" for c in "klmn"])
+    whole = tokens.Encoder(public_tokenizers.path(pipeline.TOKENIZER)).encode(texts, 1)
+    parts, encoder = [], tokens.Encoder(public_tokenizers.path(pipeline.TOKENIZER))
+    monkeypatch.setattr(tokens, "AT_ONCE", 7, raising=False)
+    encode = encoder._encode
+    monkeypatch.setattr(encoder, "_encode", lambda units, plain: parts.append(len(units)) or encode(units, plain))
+    for one, other in zip(whole, encoder.encode(texts, 1), strict=True):
+        assert one.tolist() == other.tolist()
+    assert len(parts) > 1 and max(parts) == 7
