@@ -4,10 +4,13 @@ import json
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
+from pyspark.sql.classic.dataframe import DataFrame
 
 from stockflow.plans.feed import order_lines
 from stockflow.sources.landed_json import read_corrupt, read_landed
-from stockflow.streaming.orders import LINES, ingest_orders, read_lines, read_versions, superseded_lines
+from stockflow.streaming import orders as orders_module
+from stockflow.streaming.orders import LINES, ingest_orders, newest, read_lines, read_versions, superseded_lines, touched_lines
 from stockflow.streaming.revenue import compact_days, daily_revenue, keep_daily_revenue, monthly_from_daily, read_days
 
 JULY = 1751587200000  # 2025-07-04
@@ -179,3 +182,49 @@ def test_corrupt_lines_are_shown_and_wrong_types_read_as_null(spark, tmp_path):
     assert {r.sale_id for r in lines.collect()} >= {"a"}
     bad = [r.corrupt_line for r in read_corrupt(spark, str(tmp_path), "orders").collect()]
     assert any("o3" in b for b in bad) and not any('"o1"' in b for b in bad)
+
+
+def test_state_of_a_line_is_plain(spark, landed):
+    """Lists in the state would make each of the four groupings of a batch keep objects for its groups."""
+    plan = touched_lines(read_landed(spark, str(landed), "orders"))._jdf.queryExecution().executedPlan().toString()
+    assert "ObjectHashAggregate" not in plan and "collect_set" not in plan
+
+
+def versions_of_lines(spark, tmp_path, sink):
+    """A line of three values, one that goes back to its first, one without an id, one that stays."""
+    for i, (pull, a, d) in enumerate((("2025-08-01", 1000, 300), ("2025-09-01", 900, 400), ("2025-10-01", 800, 300))):
+        docs = [order("o1", JULY + i * 40 * DAY, ("a", a, 2000, {"id": "P1"}), B), order("o2", JULY, ("d", d, 1000, None), (None, 100, 1000, {"id": "P9"}))]
+        land_docs(tmp_path, pull, "s1", f"{i}.json", docs)
+        keep_daily_revenue(spark, str(tmp_path), sink, files_per_batch=1).awaitTermination()
+
+
+def test_lines_of_one_version_are_read_without_grouping(spark, tmp_path, monkeypatch):
+    sink = f"{tmp_path}/sink"
+    versions_of_lines(spark, tmp_path, sink)
+    want = [("None", 1.0, "2025-07"), ("a", 8.0, "2025-09"), ("b", 5.0, "2025-09"), ("d", 3.0, "2025-07")]
+
+    def read():
+        return sorted((str(r.sale_id), float(r.unit_price), r.sale_month) for r in read_lines(spark, sink).collect())
+
+    grouped = []
+    monkeypatch.setattr(orders_module, "newest", lambda versions: grouped.append({r.line for r in versions.collect()}) or newest(versions))
+    assert read() == want and grouped == [{"a", "b", "d"}]
+    assert read_versions(spark, sink).filter("is_new").count() == 4
+    # More lines of several versions than are looked up, and a sink that was written before it was kept which rows are new.
+    monkeypatch.setattr(orders_module, "FEW", 0)
+    assert read() == want and len(grouped[-1]) == 4
+    monkeypatch.undo()
+    monkeypatch.setattr(orders_module, "read_versions", lambda spark, sink: read_versions(spark, sink).withColumn("is_new", F.lit(None).cast("boolean")))
+    assert read() == want
+
+
+def test_the_state_is_gone_through_once_and_nothing_is_kept_in_memory(spark, tmp_path, monkeypatch):
+    def kept(*args):
+        raise AssertionError("persisted")
+
+    monkeypatch.setattr(DataFrame, "persist", kept)
+    sink = f"{tmp_path}/sink"
+    versions_of_lines(spark, tmp_path, sink)
+    assert revenue(spark, sink) == {"2025-07": (4.0, 2.0), "2025-09": (21.0, 3.0)}
+    lines = daily_revenue(read_lines(spark, sink))
+    assert {r.month: float(r.revenue) for r in monthly_from_daily(lines).collect()} == {"2025-07": 4.0, "2025-09": 21.0}
