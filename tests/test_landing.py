@@ -2,6 +2,8 @@
 
 import gzip
 import json
+import time
+from dataclasses import replace
 from pathlib import Path
 
 import pytest
@@ -11,7 +13,9 @@ from pyspark.sql import functions as F
 from stockflow import schema, session
 from stockflow.operators.key_history import KeyHistory, blocks_for
 from stockflow.operators.recent import latest_snapshot
+from stockflow.plans.suite import RESULTS
 from stockflow.sources import landed_json, raw_csv
+from stockflow.sources import tables as tables_module
 from stockflow.sources.bucketed import bucket_count
 from stockflow.sources.landed_json import read_landed, write_landed
 from stockflow.sources.tables import layout, write_table
@@ -167,3 +171,40 @@ def test_a_stream_takes_landed_files_in_batches(spark, tmp_path, monkeypatch):
     ingest_orders(spark, str(tmp_path), sink).awaitTermination()
     assert read_versions(spark, sink).select("batch_id").distinct().count() > 1
     assert read_lines(spark, sink).count() == 20
+
+
+def test_a_result_lands_the_tables_that_it_reads(spark, sf_dir, nothing_landed):
+    made = {name: spark_rows(queries.QUERIES[name](spark, sf_dir)) for name in ("condition_share", "monthly_revenue")}
+    assert {k for k in nothing_landed() if k.startswith("tables/")} == {"tables/products", "tables/sales"}
+    all_of_them = land.tables(spark, sf_dir)
+    assert {k for k in nothing_landed() if k.startswith("tables/")} == {"tables/products", "tables/sales", "tables/inventory"}
+    asked = land.asked_tables(spark, sf_dir)
+    assert asked.sales is asked.sales and replace(asked, cube=None).months.collect() == all_of_them.months.collect()
+    assert asked.snapshots.collect() == all_of_them.snapshots.collect()
+    for name, rows in made.items():
+        assert spark_rows(queries.plain(RESULTS[name](all_of_them))) == rows
+
+
+@pytest.mark.parametrize("write", ["table", "export", "documents"])
+def test_shuffles_and_memory_are_let_go_after_each_write(spark, sf_dir, tmp_path, monkeypatch, write):
+    cleaned = []
+    for module in (tables_module, raw_csv, landed_json):
+        monkeypatch.setattr(module, "clean_up", lambda spark: cleaned.append(1))
+    rows = spark.range(10).selectExpr("id AS product_id", "'s' AS location", "DATE '2025-08-31' AS snapshot_date", "DATE '2025-08-31' AS pull_date")
+    {"table": lambda: write_table(rows, str(tmp_path), "inventory"), "export": lambda: raw_csv.write_raw_csv(rows, f"{tmp_path}/x"), "documents": lambda: write_landed(rows, str(tmp_path), "orders")}[write]()
+    assert cleaned == [1]
+
+
+def test_a_written_table_leaves_no_shuffle(spark, tmp_path):
+    """Else the shuffles of each table lie beside those of the next until its own is written."""
+    statuses = spark._jvm.org.apache.spark.SparkEnv.get().mapOutputTracker().shuffleStatuses
+    spark.range(1).collect()
+    session.clean_up(spark)
+    time.sleep(1)
+    before = statuses().size()
+    rows = spark.range(1000).selectExpr("id AS product_id", "'s' AS location", "DATE '2025-08-31' AS snapshot_date", "id % 7 AS n").distinct()
+    write_table(rows, str(tmp_path), "inventory")
+    until = time.time() + 10
+    while statuses().size() > before and time.time() < until:
+        time.sleep(0.1)
+    assert statuses().size() <= before
